@@ -16,34 +16,41 @@ from termshard.operators.bounds import broadcast_if_small, materialized
 DOCUMENT = ("theme", "doc_id")
 
 
-def shard_by_document(tokens: DataFrame) -> DataFrame:
-    """The one exchange of a build; token arrays travel whole."""
-    return tokens.select(*DOCUMENT, "tokens").repartition(*DOCUMENT)
+def shard_by_document(tokens: DataFrame, shards: int | None = None) -> DataFrame:
+    """The one exchange of a build; token arrays travel whole.
+
+    The key is the id alone: it is what an index on disk is bucketed by, and it spreads a
+    theme of any size. With a number of shards the partitions are the buckets.
+    """
+    rows = tokens.select(*DOCUMENT, "tokens")
+    return rows.repartition("doc_id") if shards is None else rows.repartition(shards, "doc_id")
 
 
-def counted_terms(sharded: DataFrame) -> DataFrame:
-    """``(theme, doc_id, term, tf)``; words of one letter are not counted.
+def _counted(sharded: DataFrame) -> DataFrame:
+    """``(theme, doc_id, term, tf)``, with a row of count 0 for what is too short or absent.
 
     The outer form of explode keeps Spark from deriving a filter on the array, which would
-    run the analysis of the text twice; the length filter drops the empty rows.
+    run the analysis of the text twice.
     """
+    word = F.when(F.length("term") >= MIN_INDEXED_LENGTH, F.col("term"))
     return (
         sharded.select(*DOCUMENT, F.explode_outer("tokens").alias("term"))
-        .filter(F.length("term") >= MIN_INDEXED_LENGTH)
+        .select(*DOCUMENT, word.alias("term"))
         .groupBy(*DOCUMENT, "term")
-        .agg(F.count("*").alias("tf"))
+        .agg(F.count("term").alias("tf"))
     )
 
 
-def term_frequencies(tokens: DataFrame) -> DataFrame:
-    return counted_terms(shard_by_document(tokens))
+def term_frequencies(tokens: DataFrame, shards: int | None = None) -> DataFrame:
+    """``(theme, doc_id, term, tf)``; words of one letter are not counted."""
+    return _counted(shard_by_document(tokens, shards)).filter("term is not null")
 
 
-def postings(tokens: DataFrame) -> DataFrame:
+def postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """``(theme, term, doc_id, tf, dl, norm_sq)``: each posting carries the length and the
     squared norm of its document, so scoring joins nothing to the document side."""
     document = Window.partitionBy(*DOCUMENT)
-    return term_frequencies(tokens).select(
+    return term_frequencies(tokens, shards).select(
         "theme",
         "term",
         "doc_id",
@@ -62,19 +69,12 @@ def vocabulary(postings: DataFrame) -> DataFrame:
 
 def doc_stats(tokens: DataFrame) -> DataFrame:
     """``(theme, doc_id, dl, norm)`` of every document, also of those without tokens."""
-    sharded = shard_by_document(tokens)
-    totals = (
-        counted_terms(sharded)
-        .groupBy(*DOCUMENT)
-        .agg(F.sum("tf").alias("dl"), F.sum(F.col("tf") * F.col("tf")).alias("norm_sq"))
-    )
     return (
-        sharded.select(*DOCUMENT)
-        .join(totals, list(DOCUMENT), "left")
-        .select(
-            *DOCUMENT,
-            F.coalesce("dl", F.lit(0)).alias("dl"),
-            F.sqrt(F.coalesce("norm_sq", F.lit(0)).cast("double")).alias("norm"),
+        _counted(shard_by_document(tokens))
+        .groupBy(*DOCUMENT)
+        .agg(
+            F.sum("tf").alias("dl"),
+            F.sqrt(F.sum(F.col("tf") * F.col("tf")).cast("double")).alias("norm"),
         )
     )
 

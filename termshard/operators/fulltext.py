@@ -64,10 +64,10 @@ class TextIndex:
         )
 
 
-def text_postings(tokens: DataFrame) -> DataFrame:
+def text_postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """Positions count the words the analyser keeps, so a phrase may span a left-out word."""
     words = shard_by_document(
-        tokens.select(*DOCUMENT, indexed_words(F.col("tokens")).alias("tokens"))
+        tokens.select(*DOCUMENT, indexed_words(F.col("tokens")).alias("tokens")), shards
     )
     return (
         words.select(
@@ -197,7 +197,7 @@ def expand_patterns(clauses: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return terms.join(side, "head").filter(matches).select("query_id", "clause_id", "term")
 
 
-def _wanted_terms(clauses: DataFrame, index: TextIndex) -> DataFrame:
+def _wanted_terms(clauses: DataFrame, kinds: set[str], index: TextIndex) -> DataFrame:
     """One row per clause and term to look up, with the place of the term in a phrase."""
     keys = ["query_id", "clause_id"]
     terms = clauses.filter("kind = 'term'").select(
@@ -207,10 +207,13 @@ def _wanted_terms(clauses: DataFrame, index: TextIndex) -> DataFrame:
     phrases = clauses.filter("kind = 'phrase'").select(
         *keys, F.size(words).alias("words"), F.posexplode(words).alias("offset", "term")
     )
+    wanted = terms.unionByName(phrases) if "phrase" in kinds else terms
+    if not kinds & set(EXPANDED):
+        return wanted
     expanded = expand_patterns(clauses, index.vocabulary).select(
         *keys, "term", F.lit(0).alias("offset"), F.lit(1).alias("words")
     )
-    return terms.unionByName(phrases).unionByName(expanded)
+    return wanted.unionByName(expanded)
 
 
 def _weights(
@@ -238,7 +241,7 @@ def _clause_hits(
     Every grouping has the document among its keys and stays in the partition of the
     document.
     """
-    wanted = _wanted_terms(clauses, index)
+    wanted = _wanted_terms(clauses, kinds, index)
     if kinds & set(EXPANDED):
         wanted = materialized(wanted)
     rows, _ = measured_size(wanted)
@@ -274,7 +277,7 @@ def _clause_hits(
         .groupBy(*keys)
         .agg(best)
     )
-    return single.unionByName(phrase) if kinds & {"term", *EXPANDED} else phrase
+    return single.unionByName(phrase)
 
 
 def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:

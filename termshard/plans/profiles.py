@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termshard.functions.normalize import normalize, query_letters, squeeze
 from termshard.functions.tokens import HEADER_WORDS, drop_noise, drop_words, is_noise, split_words
 from termshard.operators.bounds import BROADCAST_ROWS, listed, materialized
-from termshard.operators.bow import DOCUMENT
+from termshard.operators.bow import DOCUMENT, shard_by_document
 from termshard.operators.skew import join_by_term
 from termshard.operators.stemming import distinct_terms, stem_map, stem_rows
 
@@ -75,7 +75,7 @@ def stemmable(documents: DataFrame, profile: Profile, stop: DataFrame) -> DataFr
 
 def stem_tokens(tokens: DataFrame, stems: DataFrame) -> DataFrame:
     """Replace tokens by their stems, order kept; documents without tokens stay."""
-    rows = tokens.repartition(*DOCUMENT).select(
+    rows = shard_by_document(tokens).select(
         *DOCUMENT, F.posexplode_outer("tokens").alias("pos", "term")
     )
     stemmed = stem_rows(rows, stems, DOCUMENT)

@@ -12,8 +12,14 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termshard.operators.bow import postings, shard_by_document, vocabulary
 from termshard.operators.cosine import BowIndex
-from termshard.operators.fulltext import TextIndex, corpus_stats
+from termshard.operators.fulltext import (
+    TextIndex,
+    corpus_stats,
+    text_doc_stats,
+    text_postings,
+)
 
 DEFAULT_BUCKETS = 64
 
@@ -25,13 +31,13 @@ def _table_name(path: str, part: str) -> str:
 def _write_bucketed(
     df: DataFrame, path: str, part: str, buckets: int, sort_by: list[str]
 ) -> None:
-    """One file per theme and bucket: the rows are first brought to the task of their bucket."""
+    """``df`` comes hash-partitioned by document into ``buckets`` partitions, so each task
+    holds one bucket and writes one file per theme."""
     spark = df.sparkSession
     name = _table_name(path, part)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     (
-        df.repartition(buckets, "doc_id")
-        .write.partitionBy("theme")
+        df.write.partitionBy("theme")
         .bucketBy(buckets, "doc_id")
         .sortBy(*sort_by)
         .option("path", f"{path}/{part}")
@@ -63,16 +69,20 @@ def _open_bucketed(spark: SparkSession, path: str, part: str, sort_by: list[str]
     return spark.table(name)
 
 
-def save_bow_index(index: BowIndex, path: str, buckets: int = DEFAULT_BUCKETS) -> BowIndex:
-    """Write the index to an empty folder and give it back as read from there."""
-    spark = index.postings.sparkSession
+def build_bow_index(
+    tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, themes: DataFrame | None = None
+) -> BowIndex:
+    """Count the tokens, write the index to an empty folder and give it back as read.
+
+    One exchange of token arrays: counting, sorting and writing happen in the same tasks.
+    """
+    spark = tokens.sparkSession
     _write_info(spark, path, buckets)
-    _write_bucketed(index.postings, path, "postings", buckets, ["term"])
+    _write_bucketed(postings(tokens, buckets), path, "postings", buckets, ["term"])
     stored = _open_bucketed(spark, path, "postings", ["term"])
-    from termshard.operators.bow import vocabulary
-
     _write_by_term(vocabulary(stored), f"{path}/vocabulary")
-    themes = index.themes
+    if themes is None:
+        themes = tokens.select("theme").distinct()
     if "ordinal" not in themes.columns:
         themes = themes.withColumn("ordinal", F.lit(None).cast("int"))
     themes.select("theme", "ordinal").write.parquet(f"{path}/themes")
@@ -90,16 +100,19 @@ def open_bow_index(spark: SparkSession, path: str) -> BowIndex:
     )
 
 
-def save_text_index(index: TextIndex, path: str, buckets: int = DEFAULT_BUCKETS) -> TextIndex:
-    spark = index.postings.sparkSession
+def build_text_index(
+    tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS
+) -> TextIndex:
+    spark = tokens.sparkSession
     _write_info(spark, path, buckets)
-    _write_bucketed(index.postings, path, "postings", buckets, ["term"])
+    _write_bucketed(text_postings(tokens, buckets), path, "postings", buckets, ["term"])
     stored = _open_bucketed(spark, path, "postings", ["term"])
     counts = stored.groupBy("theme", "term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf")
     )
     _write_by_term(counts, f"{path}/vocabulary")
-    _write_bucketed(index.doc_stats, path, "doc_stats", buckets, ["doc_id"])
+    stats = text_doc_stats(tokens).repartition(buckets, "doc_id")
+    _write_bucketed(stats, path, "doc_stats", buckets, ["doc_id"])
     corpus_stats(_open_bucketed(spark, path, "doc_stats", ["doc_id"])).write.parquet(
         f"{path}/corpus_stats"
     )
@@ -118,7 +131,8 @@ def open_text_index(spark: SparkSession, path: str) -> TextIndex:
 def save_tokens(tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Token arrays bucketed by document, so that a few documents are fetched by bucket."""
     _write_info(tokens.sparkSession, path, buckets)
-    _write_bucketed(tokens, path, "tokens", buckets, ["doc_id"])
+    sharded = shard_by_document(tokens, buckets)
+    _write_bucketed(sharded, path, "tokens", buckets, ["doc_id"])
     return open_tokens(tokens.sparkSession, path)
 
 
