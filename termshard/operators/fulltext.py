@@ -285,7 +285,7 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
         "query_id",
         "clause_id",
         F.regexp_extract("value", r"^(.*)_\d+$", 1).alias("theme"),
-        F.regexp_extract("value", r"_(\d+)$", 1).cast("bigint").alias("doc_id"),
+        F.regexp_extract("value", r"_(\d+)$", 1).try_cast("bigint").alias("doc_id"),
         F.col("boost").alias("score"),
     )
     found = index.doc_stats.select(*DOCUMENT)
