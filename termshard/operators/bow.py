@@ -115,5 +115,5 @@ def vectors(postings: DataFrame, numbered: DataFrame) -> DataFrame:
     return (
         join_by_term(postings.select("theme", "term", "doc_id", "tf"), ids, ["theme", "term"])
         .groupBy(*DOCUMENT)
-        .agg(F.array_sort(F.collect_list(entry)).alias("vector"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("vector"))
     )

@@ -16,6 +16,7 @@ from termshard.operators.bounds import (
     listed,
     materialized,
     measured_size,
+    one_of,
 )
 from termshard.operators.ranking import COSINE_DIGITS, by_score, checked_count, top_n
 from termshard.operators.skew import join_postings
@@ -78,8 +79,8 @@ def scores(terms: DataFrame, index: BowIndex, limit: int | None = None) -> DataF
     postings, vocabulary = index.postings, index.vocabulary
     words = listed(terms, "term") if small else None
     if words is not None:
-        postings = postings.filter(F.col("term").isin(words))
-        vocabulary = vocabulary.filter(F.col("term").isin(words))
+        postings = postings.filter(one_of("term", words))
+        vocabulary = vocabulary.filter(one_of("term", words))
     weights = query_weights(terms, vocabulary, small)
     needed = postings.select("theme", "term", "doc_id", "tf", "norm_sq")
     dots = (
@@ -140,7 +141,7 @@ def with_content(hits: DataFrame, tokens: DataFrame) -> DataFrame:
     ids = listed(hits, "doc_id")
     content = tokens.select("theme", "doc_id", F.col("tokens").alias("content"))
     if ids is not None:
-        content = content.filter(F.col("doc_id").isin(ids))
+        content = content.filter(one_of("doc_id", ids))
     return hits.join(content, ["theme", "doc_id"], "left")
 
 

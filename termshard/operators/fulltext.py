@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from termshard.functions.display import document_key
 from termshard.functions.tokens import ENGLISH_STOP_WORDS, drop_short, drop_words, indexed_words
-from termshard.operators.bounds import BROADCAST_ROWS, listed, materialized, measured_size
+from termshard.operators.bounds import BROADCAST_ROWS, listed, materialized, measured_size, one_of
 from termshard.operators.bow import DOCUMENT, shard_by_document
 from termshard.operators.ranking import SUM_DIGITS, by_score, checked_count, top_n
 from termshard.operators.skew import join_postings
@@ -79,7 +79,7 @@ def text_postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
         .groupBy(*DOCUMENT, "term")
         .agg(
             F.count("*").alias("tf"),
-            F.array_sort(F.collect_list("position")).alias("positions"),
+            F.sort_array(F.collect_list("position")).alias("positions"),
             F.max("dl").alias("dl"),
         )
         .select("theme", "term", "doc_id", "tf", "positions", "dl")
@@ -251,8 +251,8 @@ def _clause_hits(
     if small:
         terms = listed(wanted, "term")
         if terms is not None:
-            postings = postings.filter(F.col("term").isin(terms))
-            vocabulary = vocabulary.filter(F.col("term").isin(terms))
+            postings = postings.filter(one_of("term", terms))
+            vocabulary = vocabulary.filter(one_of("term", terms))
         # The clauses are no more than the terms wanted, but for those without any.
         wanted, corpus = F.broadcast(wanted), F.broadcast(corpus)
     weights = _weights(wanted, clauses, vocabulary, corpus)
@@ -291,7 +291,7 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
     found = index.doc_stats.select(*DOCUMENT)
     keys = listed(ids, "doc_id")
     if keys is not None:
-        found = found.filter(F.col("doc_id").isin(keys))
+        found = found.filter(one_of("doc_id", keys))
     return ids.join(found, list(DOCUMENT)).select(
         "query_id", "theme", "doc_id", "clause_id", "score"
     )

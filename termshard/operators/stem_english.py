@@ -1,8 +1,9 @@
-"""English suffix stripping (Porter, 1980, with the usual later amendments) as Columns.
+"""English suffix stripping (Porter, 1980, with the usual later amendments) as one Column.
 
-Each step reads the word and its shape, a string with ``C`` or ``V`` for every letter; the
-number of ``VC`` in the shape of a stem is Porter's measure. Meant for a table of distinct
-words.
+Each step reads the word ``c.w`` and its shape ``c.s``, a string with ``C`` or ``V`` for every
+letter; the number of ``VC`` in the shape of a stem is Porter's measure. The steps are SQL
+text, which Spark parses far faster than Python can build the same tree call by call. Meant
+for a table of distinct words.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-Condition = Callable[[Column, Column], Column]
+# A condition on the SQL of a stem and of its shape.
+Condition = Callable[[str, str], str]
 
 # Words with a stem of their own.
 IRREGULAR = {
@@ -43,123 +45,116 @@ STEP4 = [
 # Endings that make a word a candidate for English stemming.
 ENGLISH_ENDING = "^[a-z]*(?:ing|ed|tion|s)$"
 
-# A y is a vowel after a consonant; in a run of them every other one is.
-VOWEL_Y = "(?<=C(?:yy){0,40})y|(?<=(?:^|V)y(?:yy){0,40})y"
+# A y is a vowel after a consonant; in a run of them every other one is. The look-behind
+# comes after the y, so that it is tried at a y only.
+VOWEL_Y = "y(?<=C(?:yy){0,40}y)|y(?<=(?:^|V)y(?:yy){0,40}y)"
 
 
-def shape(word: Column) -> Column:
-    letters = F.translate(word, "abcdefghijklmnopqrstuvwxz", "VCCCVCCCVCCCCCVCCCCCVCCCC")
-    return F.translate(F.regexp_replace(letters, VOWEL_Y, "V"), "y", "C")
+def shape(word: str) -> str:
+    letters = f"translate({word}, 'abcdefghijklmnopqrstuvwxz', 'VCCCVCCCVCCCCCVCCCCCVCCCC')"
+    with_y = f"translate(regexp_replace({letters}, '{VOWEL_Y}', 'V'), 'y', 'C')"
+    return f"CASE WHEN contains({word}, 'y') THEN {with_y} ELSE {letters} END"
 
 
-def measure(stem_shape: Column) -> Column:
-    return F.regexp_count(stem_shape, F.lit("VC"))
+def measure(stem_shape: str) -> str:
+    return f"regexp_count({stem_shape}, 'VC')"
 
 
 def _more_than(m: int) -> Condition:
-    return lambda stem, stem_shape: measure(stem_shape) > m
+    return lambda stem, stem_shape: f"{measure(stem_shape)} > {m}"
 
 
-def _short_syllable(stem: Column, stem_shape: Column) -> Column:
+def _short_syllable(stem: str, stem_shape: str) -> str:
     """Ends consonant, vowel, consonant other than w, x, y; or is one vowel and a consonant."""
-    closed = stem_shape.endswith("CVC") & ~stem.rlike("[wxy]$")
-    return closed | (stem_shape == "VC")
+    closed = f"endswith({stem_shape}, 'CVC') AND NOT {stem} RLIKE '[wxy]$'"
+    return f"(({closed}) OR {stem_shape} = 'VC')"
 
 
-def _without(text: Column, letters: int) -> Column:
-    return F.left(text, F.length(text) - letters)
+def _without(letters: int, text: str = "c.w") -> str:
+    return f"left({text}, length({text}) - {letters})"
 
 
-def _by_suffix(word: Column, forms: Column, rules: list[tuple[str, str, Condition | None]]):
+def _by_suffix(rules: list[tuple[str, str, Condition | None]]) -> str:
     """The first suffix that matches decides, whether or not its condition holds."""
-    chain = None
+    branches = []
     for suffix, replacement, condition in rules:
-        stem, stem_shape = _without(word, len(suffix)), _without(forms, len(suffix))
-        stripped = F.concat(stem, F.lit(replacement))
+        stem, stem_shape = _without(len(suffix)), _without(len(suffix), "c.s")
+        to = f"concat({stem}, '{replacement}')"
         if condition is not None:
-            stripped = F.when(condition(stem, stem_shape), stripped).otherwise(word)
-        hit = word.endswith(suffix)
-        chain = F.when(hit, stripped) if chain is None else chain.when(hit, stripped)
-    return chain.otherwise(word)
+            to = f"CASE WHEN {condition(stem, stem_shape)} THEN {to} ELSE c.w END"
+        branches.append(f"WHEN endswith(c.w, '{suffix}') THEN {to}")
+    return f"CASE {' '.join(branches)} ELSE c.w END"
 
 
-def _plurals(w: Column, s: Column) -> Column:
-    rules = [("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)]
-    return F.when(w.rlike("^.ies$"), _without(w, 1)).otherwise(_by_suffix(w, s, rules))
+def _plurals() -> str:
+    rules = _by_suffix([("sses", "ss", None), ("ies", "i", None), ("ss", "ss", None), ("s", "", None)])
+    return f"CASE WHEN c.w RLIKE '^.ies$' THEN {_without(1)} ELSE {rules} END"
 
 
-def _past(w: Column, s: Column) -> Column:
+def _past() -> str:
     """Marks what is left to repair after -ed or -ing with a trailing ``+``."""
-    def has_vowel(stem: Column, stem_shape: Column) -> Column:
-        return stem_shape.contains("V")
-
-    ied = F.when(F.length(w) == 4, _without(w, 1)).otherwise(_without(w, 2))
-    rules = [("eed", "ee", _more_than(0)), ("ed", "+", has_vowel), ("ing", "+", has_vowel)]
-    return F.when(w.endswith("ied"), ied).otherwise(_by_suffix(w, s, rules))
-
-
-def _repair(w: Column, s: Column) -> Column:
-    stem, stem_shape = _without(w, 1), _without(s, 1)
-    double = stem.rlike(r"(.)\1$") & stem_shape.endswith("C")
-    repaired = (
-        F.when(stem.rlike("(?:at|bl|iz)$"), F.concat(stem, F.lit("e")))
-        .when(double & stem.rlike("[lsz]$"), stem)
-        .when(double, _without(stem, 1))
-        .when(
-            (measure(stem_shape) == 1) & _short_syllable(stem, stem_shape),
-            F.concat(stem, F.lit("e")),
-        )
-        .otherwise(stem)
-    )
-    return F.when(w.endswith("+"), repaired).otherwise(w)
+    def has_vowel(stem: str, stem_shape: str) -> str:
+        return f"contains({stem_shape}, 'V')"
 
+    rules = _by_suffix([("eed", "ee", _more_than(0)), ("ed", "+", has_vowel), ("ing", "+", has_vowel)])
+    ied = f"CASE WHEN length(c.w) = 4 THEN {_without(1)} ELSE {_without(2)} END"
+    return f"CASE WHEN endswith(c.w, 'ied') THEN {ied} ELSE {rules} END"
 
-def _final_y(w: Column, s: Column) -> Column:
-    def after_consonant(stem: Column, stem_shape: Column) -> Column:
-        return (F.length(stem) > 1) & stem_shape.endswith("C")
 
-    return _by_suffix(w, s, [("y", "i", after_consonant)])
+def _repair() -> str:
+    stem, stem_shape = _without(1), _without(1, "c.s")
+    double = f"substring(c.w, -2, 1) = substring(c.w, -3, 1) AND endswith({stem_shape}, 'C')"
+    short = f"{measure(stem_shape)} = 1 AND {_short_syllable(stem, stem_shape)}"
+    return f"""CASE WHEN NOT endswith(c.w, '+') THEN c.w
+        WHEN {stem} RLIKE '(?:at|bl|iz)$' THEN concat({stem}, 'e')
+        WHEN {double} AND {stem} RLIKE '[lsz]$' THEN {stem}
+        WHEN {double} THEN {_without(2)}
+        WHEN {short} THEN concat({stem}, 'e')
+        ELSE {stem} END"""
 
 
-def _alli(w: Column, s: Column) -> Column:
-    return _by_suffix(w, s, [("alli", "al", _more_than(0))])
+def _final_y() -> str:
+    def after_consonant(stem: str, stem_shape: str) -> str:
+        return f"length({stem}) > 1 AND endswith({stem_shape}, 'C')"
 
+    return _by_suffix([("y", "i", after_consonant)])
 
-def _step2(w: Column, s: Column) -> Column:
-    rules = [(suffix, to, _more_than(0)) for suffix, to in STEP2]
 
-    def before_ogi(stem: Column, stem_shape: Column) -> Column:
-        return measure(F.left(s, F.length(s) - 3)) > 0
+def _alli() -> str:
+    return _by_suffix([("alli", "al", _more_than(0))])
 
-    return _by_suffix(w, s, [*rules, ("logi", "log", before_ogi)])
 
+def _step2() -> str:
+    def before_ogi(stem: str, stem_shape: str) -> str:
+        return f"{measure(_without(3, 'c.s'))} > 0"
+
+    rules = [(suffix, to, _more_than(0)) for suffix, to in STEP2]
+    return _by_suffix([*rules, ("logi", "log", before_ogi)])
 
-def _step3(w: Column, s: Column) -> Column:
-    return _by_suffix(w, s, [(suffix, to, _more_than(0)) for suffix, to in STEP3])
 
+def _step3() -> str:
+    return _by_suffix([(suffix, to, _more_than(0)) for suffix, to in STEP3])
 
-def _step4(w: Column, s: Column) -> Column:
-    def long(stem: Column, stem_shape: Column) -> Column:
-        return measure(stem_shape) > 1
 
-    def long_after_s_or_t(stem: Column, stem_shape: Column) -> Column:
-        return (measure(stem_shape) > 1) & stem.rlike("[st]$")
+def _step4() -> str:
+    def after_s_or_t(stem: str, stem_shape: str) -> str:
+        return f"{measure(stem_shape)} > 1 AND {stem} RLIKE '[st]$'"
 
-    special = {"ion": long_after_s_or_t}
-    return _by_suffix(w, s, [(suffix, "", special.get(suffix, long)) for suffix in STEP4])
+    special = {"ion": after_s_or_t}
+    return _by_suffix([(suffix, "", special.get(suffix, _more_than(1))) for suffix in STEP4])
 
 
-def _final_e(w: Column, s: Column) -> Column:
-    def droppable(stem: Column, stem_shape: Column) -> Column:
+def _final_e() -> str:
+    def droppable(stem: str, stem_shape: str) -> str:
         m = measure(stem_shape)
-        return (m > 1) | ((m == 1) & ~_short_syllable(stem, stem_shape))
+        return f"{m} > 1 OR ({m} = 1 AND NOT {_short_syllable(stem, stem_shape)})"
 
-    return _by_suffix(w, s, [("e", "", droppable)])
+    return _by_suffix([("e", "", droppable)])
 
 
-def _double_l(w: Column, s: Column) -> Column:
-    long = measure(_without(s, 1)) > 1
-    return F.when(w.endswith("ll") & long, _without(w, 1)).otherwise(w)
+def _double_l() -> str:
+    long = f"{measure(_without(1, 'c.s'))} > 1"
+    return f"CASE WHEN endswith(c.w, 'll') AND {long} THEN {_without(1)} ELSE c.w END"
 
 
 STEPS = [
@@ -167,23 +162,20 @@ STEPS = [
 ]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Name a value: a step mentions its word many times, and would otherwise be copied into
-    the next one as often."""
-    return F.transform(F.array(value), body)[0]
+def english_stem(term: str) -> Column:
+    """The stem of the word in a column.
 
-
-def _apply(step: Callable[[Column, Column], Column], word: Column) -> Column:
-    shaped = _let(word, lambda w: F.struct(w.alias("w"), shape(w).alias("s")))
-    return _let(shaped, lambda c: step(c["w"], c["s"]))
-
-
-def english_stem(term: Column) -> Column:
+    Each step runs over a one-element array, which names its word: written out, a step would
+    repeat the steps before it at every mention.
+    """
     word = term
     for step in STEPS:
-        word = _apply(step, word)
-    own = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])[term]
-    return F.coalesce(own, F.when(F.length(term) <= 2, term).otherwise(word))
+        shaped = f"transform(array({word}), w -> struct(w AS w, {shape('w')} AS s))"
+        word = f"transform({shaped}, c -> {step()})[0]"
+    own = ", ".join(f"'{w}', '{stem}'" for w, stem in IRREGULAR.items())
+    return F.expr(
+        f"coalesce(map({own})[{term}], CASE WHEN length({term}) <= 2 THEN {term} ELSE {word} END)"
+    )
 
 
 def looks_english(term: Column) -> Column:

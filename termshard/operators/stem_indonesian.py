@@ -81,95 +81,74 @@ FORBIDDEN = ("be-i", "di-an", "ke-i", "ke-kan", "me-an", "se-i", "se-kan", "te-a
 PREFIX_FIRST = "^(?:be.+lah|be.+an|me.+i|di.+i|pe.+i|te.+i)$"
 
 
-def _candidate(
-    form: Column, suffix: Column, stripped: Column, family: Column, prefixes: Column, path: Column
-) -> Column:
-    return F.struct(
-        form.alias("form"),
-        suffix.alias("suffix"),
-        stripped.alias("stripped"),
-        family.alias("family"),
-        prefixes.alias("prefixes"),
-        path.alias("path"),
-    )
-
-
-def _grow(candidates: Column, options) -> Column:
-    """Each candidate followed by what ``options`` makes of it, the impossible ones dropped."""
-    grown = F.flatten(F.transform(candidates, lambda c: F.concat(F.array(c), options(c))))
-    return F.filter(grown, lambda c: F.length(c["form"]) >= MIN_STEM_LENGTH)
+# A candidate, with the SQL of its fields.
+FIELDS = ("form", "suffix", "stripped", "family", "prefixes", "path")
 
 
-def _ending(endings: tuple[str, ...], is_suffix: bool):
-    def options(c: Column) -> Column:
-        def shorter(ending: Column) -> Column:
-            return _candidate(
-                F.left(c["form"], F.length(c["form"]) - F.length(ending)),
-                ending if is_suffix else c["suffix"],
-                c["stripped"] + 1,
-                c["family"],
-                c["prefixes"],
-                c["path"],
-            )
+def _candidate(form: str, **changed: str) -> str:
+    values = {f: f"c.{f}" for f in FIELDS} | {"form": form} | changed
+    return f"struct({', '.join(f'{v} AS {f}' for f, v in values.items())})"
 
-        listed = F.array(*[F.lit(e) for e in endings])
-        return F.transform(F.filter(listed, lambda e: c["form"].endswith(e)), shorter)
 
-    return options
+def _grow(candidates: str, options: str) -> str:
+    """Each candidate followed by what ``options`` makes of it, the too short ones dropped."""
+    grown = f"flatten(transform({candidates}, c -> concat(array(c), {options})))"
+    return f"filter({grown}, c -> length(c.form) >= {MIN_STEM_LENGTH})"
 
 
-def _rules_of(family: str) -> Column:
-    rules = [r for r in enumerate(PREFIX_RULES, 1) if r[1][0] == family]
-    return F.array(
-        *[
-            F.struct(
-                F.lit(pattern).alias("pattern"), F.lit(left).alias("left"), F.lit(n).alias("n")
-            )
-            for n, (_, pattern, left) in rules
-        ]
+def _without_ending(endings: tuple[str, ...], is_suffix: bool) -> str:
+    listed = ", ".join(f"'{e}'" for e in endings)
+    shorter = _candidate(
+        "left(c.form, length(c.form) - length(e))",
+        suffix="e" if is_suffix else "c.suffix",
+        stripped="c.stripped + 1",
     )
+    return f"transform(filter(array({listed}), e -> endswith(c.form, e)), e -> {shorter})"
 
 
-def _prefix(round_no: int, rules: Column):
-    """One more prefix off candidates that have lost ``round_no - 1``; no family twice running."""
-    def options(c: Column) -> Column:
-        family = F.left(c["form"], F.lit(2))
-        ready = (c["prefixes"] == round_no - 1) & (c["family"] != family)
-        if round_no == 1:
-            ready = ready & ~F.concat(family, F.lit("-"), c["suffix"]).isin(*FORBIDDEN)
-        usable = F.when(ready, rules[family])
-
-        def stripped(rule: Column) -> Column:
-            return _candidate(
-                F.regexp_replace(c["form"], rule["pattern"], rule["left"]),
-                c["suffix"],
-                c["stripped"],
-                family,
-                F.lit(round_no),
-                c["path"] * 100 + rule["n"],
-            )
+def _rules_map() -> str:
+    """Prefix family to its rules, numbered in order."""
+    families: dict[str, list[str]] = {}
+    for n, (family, pattern, left) in enumerate(PREFIX_RULES, 1):
+        rule = f"struct('{pattern}' AS pattern, '{left}' AS left, {n} AS n)"
+        families.setdefault(family, []).append(rule)
+    return ", ".join(f"'{f}', array({', '.join(rules)})" for f, rules in families.items())
 
-        matching = F.filter(usable, lambda rule: F.rlike(c["form"], rule["pattern"]))
-        return F.coalesce(F.transform(matching, stripped), F.slice(F.array(c), 1, 0))
 
-    return options
+def _without_prefix(round_no: int) -> str:
+    """One more prefix off candidates that have lost ``round_no - 1``; no family twice running."""
+    ready = f"c.prefixes = {round_no - 1} AND c.family <> left(c.form, 2)"
+    if round_no == 1:
+        banned = ", ".join(f"'{pair}'" for pair in FORBIDDEN)
+        ready += f" AND concat(left(c.form, 2), '-', c.suffix) NOT IN ({banned})"
+    usable = f"CASE WHEN {ready} THEN map({_rules_map()})[left(c.form, 2)] END"
+    stripped = _candidate(
+        "regexp_replace(c.form, r.pattern, r.left)",
+        family="left(c.form, 2)",
+        prefixes=str(round_no),
+        path="c.path * 100 + r.n",
+    )
+    matching = f"filter({usable}, r -> c.form RLIKE r.pattern)"
+    return f"coalesce(transform({matching}, r -> {stripped}), array())"
 
 
-def _bare(term: Column) -> Column:
-    none, zero = F.lit(""), F.lit(0)
-    return F.array(_candidate(term, none, zero, none, zero, F.lit(0).cast("bigint")))
+def _bare(term: str) -> str:
+    first = _candidate(
+        term, suffix="''", stripped="0", family="''", prefixes="0", path="CAST(0 AS BIGINT)"
+    )
+    return f"array({first})"
 
 
-def candidates(term: Column) -> Column:
-    """All candidates of a word, the word itself among them."""
+def candidates(term: str) -> Column:
+    """All candidates of the word in a column, the word itself among them."""
     grown = _bare(term)
     for endings, is_suffix in ((PARTICLES, False), (POSSESSIVES, False), (SUFFIXES, True)):
-        grown = _grow(grown, _ending(endings, is_suffix))
-    families = dict.fromkeys(family for family, _, _ in PREFIX_RULES)
-    rules = F.create_map(*[x for f in families for x in (F.lit(f), _rules_of(f))])
+        grown = _grow(grown, _without_ending(endings, is_suffix))
     for round_no in range(1, MAX_PREFIXES + 1):
-        grown = _grow(grown, _prefix(round_no, rules))
-    return grown
+        grown = _grow(grown, _without_prefix(round_no))
+    return F.expr(
+        f"CASE WHEN length({term}) >= {SHORTEST_STEMMED} THEN {grown} ELSE {_bare(term)} END"
+    )
 
 
 def _order(term: Column, c: Column) -> Column:
@@ -194,12 +173,10 @@ def with_indonesian_stem(
     themselves.
     """
     others = [c for c in words.columns if c != term]
-    expandable = F.length(term) >= SHORTEST_STEMMED
-    forms = F.when(expandable, candidates(F.col(term))).otherwise(_bare(F.col(term)))
     root = roots.select(F.col("term").alias("form"), F.lit(True).alias("is_root"))
     best = F.min(F.when(F.col("is_root"), F.col("at")))
     return (
-        words.select("*", F.explode(forms).alias("c"))
+        words.select("*", F.explode_outer(candidates(term)).alias("c"))
         .select(
             term,
             *others,

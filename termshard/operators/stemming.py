@@ -47,7 +47,7 @@ def stem_map(
     if stemmer == "hybrid":
         stem = (
             F.when(F.col("id_stem") != F.col("term"), F.col("id_stem"))
-            .when(looks_english(F.col("term")), english_stem(F.col("term")))
+            .when(looks_english(F.col("term")), english_stem("term"))
             .otherwise(F.col("term"))
         )
     return stemmed.select("term", stem.alias("stem"), "uses")

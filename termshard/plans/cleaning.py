@@ -36,18 +36,13 @@ def clean_corpus(
 ) -> CleaningReport:
     """Read a CSV corpus, analyse it, write ``(theme, doc_id, tokens)``.
 
-    The raw rows are staged as Parquet first: the CSV is parsed once, and the stem map and
-    the tokens both read the stage. Both counts come from the writes themselves.
+    The CSV is parsed once, into the stored words. Both counts come from the jobs themselves.
     """
-    from termshard.operators.bounds import scratch_path
-
     raw = read_csv_corpus(
         spark, source, theme, text_col, id_col, repair, first_if_none=profile.name == "news"
     )
     read, written = Observation(), Observation()
-    stage = scratch_path(spark, f"raw-{theme}")
-    raw.observe(read, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
-    documents = spark.read.schema(raw.schema).parquet(stage)
-    tokens = analyse(documents, profile, stop, roots)
+    counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
+    tokens = analyse(counted, profile, stop, roots)
     write_tokens(tokens.observe(written, F.count(F.lit(1)).alias("rows")), target)
     return CleaningReport(theme, read.get["rows"], written.get["rows"])

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termshard.functions.normalize import normalize, query_letters, squeeze
-from termshard.functions.tokens import HEADER_WORDS, drop_noise, drop_words, is_noise, split_words
-from termshard.operators.bounds import BROADCAST_ROWS, listed, materialized
+from termshard.functions.tokens import HEADER_WORDS, drop_words, is_noise, split_words
+from termshard.operators.bounds import broadcast_if_small, fits_broadcast, listed, materialized
 from termshard.operators.bow import DOCUMENT, shard_by_document
 from termshard.operators.skew import join_by_term
 from termshard.operators.stemming import distinct_terms, stem_map, stem_rows
@@ -47,69 +47,78 @@ def words_of(text: Column, profile: Profile) -> Column:
     return split_words(normalize(text, profile.form))
 
 
-def _drop_listed(tokens: DataFrame, stop: DataFrame, column: str = "tokens") -> DataFrame:
-    """Remove stop words from token arrays: a short list in place, a long one by a join."""
+def _in_list(rows: DataFrame, column: str, stop: DataFrame) -> DataFrame:
+    """Flag rows whose word is listed: by a literal set if the list is short, else by a join."""
     words = listed(stop, "term")
     if words is not None:
-        return tokens.withColumn(column, drop_words(F.col(column), words))
-    others = [c for c in tokens.columns if c not in (*DOCUMENT, column)]
-    rows = tokens.select(*DOCUMENT, *others, F.posexplode_outer(column).alias("pos", "term"))
-    # Each stop word with its uses, so that a frequent one does not crowd a partition.
-    uses = distinct_terms(tokens, column).join(stop.select("term").distinct(), "term")
-    marked = join_by_term(rows, uses.withColumn("is_stop", F.lit(True)), ["term"])
-    kept = F.when(F.col("is_stop").isNull() & F.col("term").isNotNull(), F.struct("pos", "term"))
-    return (
-        marked.groupBy(*DOCUMENT, *others)
-        .agg(F.array_sort(F.collect_list(kept)).alias("kept"))
-        .select(*DOCUMENT, *others, F.transform("kept", lambda k: k["term"]).alias(column))
-    )
+        flag = F.col(column).isin(words) if words else F.lit(False)
+        return rows.withColumn("is_listed", flag)
+    marks = stop.select(F.col("term").alias(column), F.lit(True).alias("is_listed")).distinct()
+    marked = rows.join(broadcast_if_small(marks), column, "left")
+    return marked.withColumn("is_listed", F.coalesce("is_listed", F.lit(False)))
 
 
-def stemmable(documents: DataFrame, profile: Profile, stop: DataFrame) -> DataFrame:
-    """``(theme, doc_id, tokens)`` up to stemming; no shuffle while the stop list is short."""
-    tokens = documents.select(*DOCUMENT, words_of(F.col("text"), profile).alias("tokens"))
-    tokens = _drop_listed(tokens, stop)
-    kept = drop_words(F.col("tokens"), profile.extra_words)
-    return tokens.withColumn("tokens", drop_noise(kept) if profile.noise_first else kept)
-
+def term_table(
+    terms: DataFrame, profile: Profile, stop: DataFrame, roots: DataFrame
+) -> DataFrame:
+    """``(term, stem, uses)``: what the profile makes of each distinct word, null if it drops it.
 
-def stem_tokens(tokens: DataFrame, stems: DataFrame) -> DataFrame:
-    """Replace tokens by their stems, order kept; documents without tokens stay."""
+    All its filters look at one word only, so they run once per word and not once per token.
+    """
+    marked = _in_list(terms, "term", stop)
+    dropped = F.col("is_listed")
+    if profile.extra_words:
+        dropped = dropped | F.col("term").isin(*profile.extra_words)
+    if profile.noise_first:
+        dropped = dropped | is_noise(F.col("term"))
+    stems = stem_map(marked.filter(~dropped).select("term", "uses"), roots, profile.stemmer)
+    if not profile.noise_first:
+        clean = F.when(~(F.col("is_listed") | is_noise(F.col("stem"))), F.col("stem"))
+        stems = _in_list(stems, "stem", stop).withColumn("stem", clean)
+    gone = marked.filter(dropped).select("term", F.lit(None).cast("string").alias("stem"), "uses")
+    return stems.select("term", "stem", "uses").unionByName(gone)
+
+
+def map_tokens(tokens: DataFrame, table: DataFrame, keep_unknown: bool = False) -> DataFrame:
+    """Replace each token by its stem, order kept, and drop those without one, unless
+    ``keep_unknown``; documents that lose all their tokens stay."""
+    fits = fits_broadcast(table)
+    if fits:
+        table = table.filter("stem is not null")
     rows = shard_by_document(tokens).select(
         *DOCUMENT, F.posexplode_outer("tokens").alias("pos", "term")
     )
-    stemmed = stem_rows(rows, stems, DOCUMENT)
-    kept = F.when(F.col("term").isNotNull(), F.struct("pos", "stem"))
+    mapped = join_by_term(rows, table, ["term"], DOCUMENT, broadcast=fits)
+    if keep_unknown:
+        mapped = mapped.withColumn("stem", F.coalesce("stem", "term"))
+    kept = F.when(F.col("stem").isNotNull(), F.struct("pos", "stem"))
     return (
-        stemmed.groupBy(*DOCUMENT)
-        .agg(F.array_sort(F.collect_list(kept)).alias("kept"))
-        .select(*DOCUMENT, F.transform("kept", lambda k: k["stem"]).alias("tokens"))
+        mapped.groupBy(*DOCUMENT)
+        .agg(F.sort_array(F.collect_list(kept)).alias("kept"))
+        .select(*DOCUMENT, F.col("kept.stem").alias("tokens"))
     )
 
 
-def finish(stemmed: DataFrame, profile: Profile, stop: DataFrame) -> DataFrame:
-    if profile.noise_first:
-        return stemmed
-    return _drop_listed(stemmed, stop).withColumn("tokens", drop_noise(F.col("tokens")))
-
-
 def analyse(
     documents: DataFrame,
     profile: Profile,
     stop: DataFrame,
     roots: DataFrame | None = None,
-    stems: DataFrame | None = None,
+    table: DataFrame | None = None,
 ) -> DataFrame:
     """``(theme, doc_id, tokens)`` of a corpus under a profile.
 
-    The stem map is built from the distinct words and stored, unless the caller brings one.
+    Without a term table of the caller it is built from the corpus. The words are then stored
+    first, since both the table and the result need them.
     """
-    tokens = stemmable(documents, profile, stop)
-    if stems is None:
+    words = documents.select(*DOCUMENT, words_of(F.col("text"), profile).alias("tokens"))
+    if table is None:
         if roots is None:
-            raise ValueError("give the root words or a stem map")
-        stems = materialized(stem_map(distinct_terms(tokens), roots, profile.stemmer))
-    return finish(stem_tokens(tokens, stems), profile, stop)
+            raise ValueError("give the root words or a term table")
+        words = materialized(words)
+        terms = materialized(distinct_terms(words))
+        table = materialized(term_table(terms, profile, stop, roots))
+    return map_tokens(words, table)
 
 
 def analyse_queries(
@@ -125,13 +134,21 @@ def analyse_queries(
     stay unstemmed.
     """
     asked = queries.filter(squeeze(F.col("text")) != "")
-    pieces = asked.select("query_id", F.split(query_letters(F.col("text")), " ").alias("tokens"))
-    words = listed(stop, "term", BROADCAST_ROWS)
-    if words is None:
-        raise ValueError("the stop list of a query must fit one task")
-    kept = drop_words(F.col("tokens"), words)
-    tokens = pieces.select(
-        "query_id", split_words(squeeze(F.array_join(kept, " "))).alias("tokens")
+    pieces = asked.select("query_id", F.split(query_letters(F.col("text")), " ").alias("pieces"))
+    words = listed(stop, "term")
+    if words is not None:
+        kept = pieces.select("query_id", drop_words(F.col("pieces"), words).alias("kept"))
+    else:
+        rows = pieces.select("query_id", F.posexplode("pieces").alias("pos", "piece"))
+        entry = F.when(~F.col("is_listed"), F.struct("pos", "piece"))
+        kept = (
+            _in_list(rows, "piece", stop)
+            .groupBy("query_id")
+            .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+            .select("query_id", F.col("entries.piece").alias("kept"))
+        )
+    tokens = kept.select(
+        "query_id", split_words(squeeze(F.array_join("kept", " "))).alias("tokens")
     )
     if stems is None and roots is not None:
         stems = materialized(stem_map(distinct_terms(tokens), roots, "indonesian"))
@@ -142,8 +159,8 @@ def analyse_queries(
     return (
         stem_rows(rows, stems, ("query_id",))
         .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(entry)).alias("kept"))
-        .select("query_id", F.transform("kept", lambda k: k["stem"]).alias("tokens"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("kept"))
+        .select("query_id", F.col("kept.stem").alias("tokens"))
     )
 
 

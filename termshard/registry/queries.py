@@ -231,13 +231,13 @@ def _stems(stemmer: str) -> Query:
 
 def stem_english(spark: SparkSession, folder: str) -> DataFrame:
     terms = stemming.distinct_terms(tokens(spark, folder))
-    return terms.select("term", english_stem(F.col("term")).alias("stem"))
+    return terms.select("term", english_stem("term").alias("stem"))
 
 
 def stem_tokens(spark: SparkSession, folder: str) -> DataFrame:
     words = tokens(spark, folder)
     stems = stemming.stem_map(stemming.distinct_terms(words), roots(spark, folder), "hybrid")
-    stemmed = P.stem_tokens(words, materialized(stems))
+    stemmed = P.map_tokens(words, materialized(stems), keep_unknown=True)
     return stemmed.select("theme", "doc_id", _joined("tokens"))
 
 

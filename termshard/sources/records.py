@@ -86,7 +86,7 @@ def csv_records(
             F.struct("split", "at", "part", "line").alias("piece"),
         )
     )
-    pieces = F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["line"])
+    pieces = F.transform(F.sort_array(F.collect_list("piece")), lambda p: p["line"])
     record = F.regexp_replace(F.array_join(pieces, glue), r"\r$", "")
     return numbered.groupBy("file", "record_no").agg(record.alias("record"))
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from termshard.operators import skew
 from termshard.plans import cleaning, profiles as P
 from termshard.sources import records, stopwords
 
@@ -50,6 +51,18 @@ def test_long_stop_list_joins(spark, resources, monkeypatch):
     assert expected == [["makan", "main"], [], [], []]
     monkeypatch.setattr(P, "listed", lambda df, column, limit=0: None)
     assert run(spark, resources, P.THESIS, *rows) == expected
+    queries = spark.createDataFrame([(1, "Makanan yang  dan ini")], "query_id bigint, text string")
+    assert P.query_text(P.analyse_queries(queries, *resources)).first()["query"] == "makan"
+
+
+def test_large_term_table_is_shuffled(spark, resources, monkeypatch):
+    rows = ("makanan dan yang permainan dan", "", "dan yang", "monitoring", None)
+    expected = run(spark, resources, P.NEWS, *rows)
+    assert expected == [["makan", "main"], [], [], ["monitor"], []]
+    monkeypatch.setattr(P, "fits_broadcast", lambda df: False)
+    assert run(spark, resources, P.NEWS, *rows) == expected
+    monkeypatch.setattr(skew, "MIN_HOT_USES", 1)
+    assert run(spark, resources, P.NEWS, *rows) == expected
 
 
 def test_query_profile(spark, resources):

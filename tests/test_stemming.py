@@ -33,7 +33,7 @@ def table(spark, words):
 
 def test_english(spark):
     golden = pairs(ENGLISH)
-    got = table(spark, golden).select("term", english_stem(F.col("term")).alias("stem")).collect()
+    got = table(spark, golden).select("term", english_stem("term").alias("stem")).collect()
     assert {r["term"]: r["stem"] for r in got} == golden
 
 
