@@ -65,10 +65,9 @@ def main() -> None:
     documents, words = Q.documents(spark, FOLDER), Q.tokens(spark, FOLDER)
     clean = materialized(words)
     stop, roots = Q.stop(spark), materialized(Q.roots(spark, FOLDER))
-    query_stop = stopwords.words_table(spark, stopwords.INDONESIAN_STOP_WORDS)
 
     def asked(queries):
-        return P.analyse_queries(queries, query_stop)
+        return P.analyse_queries(queries, stopwords.INDONESIAN_STOP_WORDS)
 
     batch = Q.benchmark_queries(spark, FOLDER)
     first = batch.filter("query_id = 0")

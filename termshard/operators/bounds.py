@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-LISTED_VALUES = 5_000
+LISTED_VALUES = 2_000
 PUSHED_VALUES = 64
 
 
@@ -43,6 +43,15 @@ def listed(df: DataFrame, column: str, limit: int = LISTED_VALUES) -> list | Non
     return None if len(rows) > limit else sorted(r[0] for r in rows if r[0] is not None)
 
 
+def counted_values(df: DataFrame, column: str) -> tuple[int, list | None]:
+    """The number of rows and, if they are few enough to be pushed into a scan, the distinct
+    values. One job where they are few, a second one where they are not."""
+    groups = df.groupBy(column).agg(F.count("*").alias("n")).limit(PUSHED_VALUES + 1).collect()
+    if len(groups) > PUSHED_VALUES:
+        return measured_size(df)[0], None
+    return sum(g["n"] for g in groups), sorted(g[0] for g in groups if g[0] is not None)
+
+
 def one_of(column: str, values: list) -> Column:
     """Equal to one of the values. A Parquet scan skips pages by single equalities, but turns
     a longer IN list into its range."""

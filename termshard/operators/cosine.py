@@ -13,9 +13,9 @@ from termshard.operators import bow
 from termshard.operators.bounds import (
     BROADCAST_ROWS,
     broadcast_if_small,
+    counted_values,
     listed,
     materialized,
-    measured_size,
     one_of,
 )
 from termshard.operators.ranking import COSINE_DIGITS, by_score, checked_count, top_n
@@ -74,10 +74,9 @@ def query_weights(terms: DataFrame, vocabulary: DataFrame, small: bool = False)
 
 def scores(terms: DataFrame, index: BowIndex, limit: int | None = None) -> DataFrame:
     """``(query_id, theme, doc_id, similarity_score)`` of every document that shares a word."""
-    rows, _ = measured_size(terms)
+    rows, words = counted_values(terms, "term")
     small = rows * max(index.themes.count(), 1) <= BROADCAST_ROWS
     postings, vocabulary = index.postings, index.vocabulary
-    words = listed(terms, "term") if small else None
     if words is not None:
         postings = postings.filter(one_of("term", words))
         vocabulary = vocabulary.filter(one_of("term", words))

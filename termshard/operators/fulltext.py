@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 
 from termshard.functions.display import document_key
 from termshard.functions.tokens import ENGLISH_STOP_WORDS, drop_short, drop_words, indexed_words
-from termshard.operators.bounds import BROADCAST_ROWS, listed, materialized, measured_size, one_of
+from termshard.operators.bounds import (
+    BROADCAST_ROWS,
+    counted_values,
+    listed,
+    materialized,
+    one_of,
+)
 from termshard.operators.bow import DOCUMENT, shard_by_document
 from termshard.operators.ranking import SUM_DIGITS, by_score, checked_count, top_n
 from termshard.operators.skew import join_postings
@@ -167,37 +173,55 @@ def _literal_head(clauses: DataFrame) -> DataFrame:
     )
 
 
-def expand_patterns(clauses: DataFrame, vocabulary: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class _Shape:
+    """What one look at the clauses tells: their number, kinds and lengths of literal heads."""
+
+    rows: int
+    kinds: frozenset[str]
+    heads: tuple[int, ...]
+
+
+def _shape_of(clauses: DataFrame) -> _Shape:
+    is_pattern = F.col("kind").isin(*EXPANDED)
+    row = (
+        _literal_head(clauses)
+        .agg(
+            F.count("*").alias("rows"),
+            F.collect_set("kind").alias("kinds"),
+            F.collect_set(F.when(is_pattern, F.length("head"))).alias("heads"),
+        )
+        .first()
+    )
+    return _Shape(row["rows"], frozenset(row["kinds"]), tuple(sorted(row["heads"])))
+
+
+def expand_patterns(
+    clauses: DataFrame, vocabulary: DataFrame, shape: _Shape | None = None
+) -> DataFrame:
     """``(query_id, clause_id, term)`` of prefix, wildcard and range clauses.
 
     Terms and clauses meet on the literal head of the pattern, so only terms that start like
     a clause are tested against it.
     """
+    shape = shape or _shape_of(clauses)
     patterns = _literal_head(clauses.filter(F.col("kind").isin(*EXPANDED)))
-    lengths = listed(patterns.select(F.length("head").alias("n")), "n")
-    rows, _ = measured_size(patterns)
-    if lengths is None:
-        heads = F.transform(
-            F.sequence(F.lit(0), F.length("term")), lambda n: F.left(F.col("term"), n)
-        )
-    else:
-        # Text of differing length only: a longer head than the term is no head of it.
-        usable = F.filter(
-            F.array(*[F.lit(n) for n in lengths]).cast("array<int>"),
-            lambda n: n <= F.length("term"),
-        )
-        heads = F.transform(usable, lambda n: F.left(F.col("term"), n))
+    lengths = F.filter(
+        F.array(*[F.lit(n) for n in shape.heads]).cast("array<int>"),
+        lambda n: n <= F.length("term"),
+    )
+    heads = F.transform(lengths, lambda n: F.left(F.col("term"), n))
     terms = vocabulary.select("term").distinct().select("term", F.explode(heads).alias("head"))
     matches = (
         F.when(F.col("kind") == "wildcard", F.rlike(F.col("term"), F.col("pattern")))
         .when(F.col("kind") == "range", F.col("term").between(F.col("value"), F.col("upper")))
         .otherwise(F.lit(True))
     )
-    side = F.broadcast(patterns) if rows <= BROADCAST_ROWS else patterns
+    side = F.broadcast(patterns) if shape.rows <= BROADCAST_ROWS else patterns
     return terms.join(side, "head").filter(matches).select("query_id", "clause_id", "term")
 
 
-def _wanted_terms(clauses: DataFrame, kinds: set[str], index: TextIndex) -> DataFrame:
+def _wanted_terms(clauses: DataFrame, shape: _Shape, index: TextIndex) -> DataFrame:
     """One row per clause and term to look up, with the place of the term in a phrase."""
     keys = ["query_id", "clause_id"]
     terms = clauses.filter("kind = 'term'").select(
@@ -207,10 +231,10 @@ def _wanted_terms(clauses: DataFrame, kinds: set[str], index: TextIndex) -> Data
     phrases = clauses.filter("kind = 'phrase'").select(
         *keys, F.size(words).alias("words"), F.posexplode(words).alias("offset", "term")
     )
-    wanted = terms.unionByName(phrases) if "phrase" in kinds else terms
-    if not kinds & set(EXPANDED):
+    wanted = terms.unionByName(phrases) if "phrase" in shape.kinds else terms
+    if not shape.kinds & set(EXPANDED):
         return wanted
-    expanded = expand_patterns(clauses, index.vocabulary).select(
+    expanded = expand_patterns(clauses, index.vocabulary, shape).select(
         *keys, "term", F.lit(0).alias("offset"), F.lit(1).alias("words")
     )
     return wanted.unionByName(expanded)
@@ -234,25 +258,24 @@ def _weights(
 
 
 def _clause_hits(
-    clauses: DataFrame, kinds: set[str], index: TextIndex, limit: int | None
+    clauses: DataFrame, shape: _Shape, index: TextIndex, limit: int | None
 ) -> DataFrame:
     """``(query_id, theme, doc_id, clause_id, score)``: the documents each clause matches.
 
     Every grouping has the document among its keys and stays in the partition of the
     document.
     """
-    wanted = _wanted_terms(clauses, kinds, index)
-    if kinds & set(EXPANDED):
+    wanted = _wanted_terms(clauses, shape, index)
+    if shape.kinds & set(EXPANDED):
         wanted = materialized(wanted)
-    rows, _ = measured_size(wanted)
+    rows, terms = counted_values(wanted, "term")
     n_themes = max(index.corpus_stats.count(), 1)
     small = rows * n_themes <= BROADCAST_ROWS
     postings, vocabulary, corpus = index.postings, index.vocabulary, index.corpus_stats
+    if terms is not None:
+        postings = postings.filter(one_of("term", terms))
+        vocabulary = vocabulary.filter(one_of("term", terms))
     if small:
-        terms = listed(wanted, "term")
-        if terms is not None:
-            postings = postings.filter(one_of("term", terms))
-            vocabulary = vocabulary.filter(one_of("term", terms))
         # The clauses are no more than the terms wanted, but for those without any.
         wanted, corpus = F.broadcast(wanted), F.broadcast(corpus)
     weights = _weights(wanted, clauses, vocabulary, corpus)
@@ -266,7 +289,7 @@ def _clause_hits(
     keys = ["query_id", "theme", "doc_id", "clause_id"]
     best = F.max("score").alias("score")
     single = found.filter("words = 1").groupBy(*keys).agg(best)
-    if "phrase" not in kinds:
+    if "phrase" not in shape.kinds:
         return single
     phrase = (
         found.filter("words > 1")
@@ -299,11 +322,11 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
 
 def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> DataFrame:
     """``(query_id, theme, doc_id, score)`` of every hit, unranked."""
-    kinds = {r[0] for r in clauses.select("kind").distinct().collect()}
+    shape = _shape_of(clauses)
     hits = None
-    if kinds - {"id"}:
-        hits = _clause_hits(clauses, kinds, index, limit)
-    if "id" in kinds:
+    if shape.kinds - {"id"}:
+        hits = _clause_hits(clauses, shape, index, limit)
+    if "id" in shape.kinds:
         by_id = _id_hits(clauses, index)
         hits = by_id if hits is None else hits.unionByName(by_id)
     if hits is None:
@@ -315,8 +338,7 @@ def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> D
         "occur",
         F.sum((F.col("occur") == "must").cast("int")).over(per_query).alias("needed"),
     )
-    rows, _ = measured_size(clauses)
-    if rows <= BROADCAST_ROWS:
+    if shape.rows <= BROADCAST_ROWS:
         needs = F.broadcast(needs)
     positive = F.col("occur").isin(*POSITIVE)
     return (

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.plans.profiles import Profile, analyse
+from termshard.plans.profiles import Profile, StopWords, analyse
 from termshard.sources.corpora import read_csv_corpus
 
 
@@ -28,7 +28,7 @@ def clean_corpus(
     target: str,
     theme: str,
     profile: Profile,
-    stop: DataFrame,
+    stop: StopWords,
     roots: DataFrame,
     text_col: str | None = None,
     id_col: str | None = None,

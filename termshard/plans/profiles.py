@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,9 +48,17 @@ def words_of(text: Column, profile: Profile) -> Column:
     return split_words(normalize(text, profile.form))
 
 
-def _in_list(rows: DataFrame, column: str, stop: DataFrame) -> DataFrame:
+# A stop list: words, or a table of any size with a column ``term``.
+StopWords = DataFrame | Iterable[str]
+
+
+def _short_list(stop: StopWords) -> list[str] | None:
+    return listed(stop, "term") if isinstance(stop, DataFrame) else sorted(set(stop))
+
+
+def _in_list(rows: DataFrame, column: str, stop: StopWords) -> DataFrame:
     """Flag rows whose word is listed: by a literal set if the list is short, else by a join."""
-    words = listed(stop, "term")
+    words = _short_list(stop)
     if words is not None:
         flag = F.col(column).isin(words) if words else F.lit(False)
         return rows.withColumn("is_listed", flag)
@@ -59,7 +68,7 @@ def _in_list(rows: DataFrame, column: str, stop: DataFrame) -> DataFrame:
 
 
 def term_table(
-    terms: DataFrame, profile: Profile, stop: DataFrame, roots: DataFrame
+    terms: DataFrame, profile: Profile, stop: StopWords, roots: DataFrame
 ) -> DataFrame:
     """``(term, stem, uses)``: what the profile makes of each distinct word, null if it drops it.
 
@@ -102,7 +111,7 @@ def map_tokens(tokens: DataFrame, table: DataFrame, keep_unknown: bool = False)
 def analyse(
     documents: DataFrame,
     profile: Profile,
-    stop: DataFrame,
+    stop: StopWords,
     roots: DataFrame | None = None,
     table: DataFrame | None = None,
 ) -> DataFrame:
@@ -123,7 +132,7 @@ def analyse(
 
 def analyse_queries(
     queries: DataFrame,
-    stop: DataFrame,
+    stop: StopWords,
     roots: DataFrame | None = None,
     stems: DataFrame | None = None,
 ) -> DataFrame:
@@ -135,7 +144,7 @@ def analyse_queries(
     """
     asked = queries.filter(squeeze(F.col("text")) != "")
     pieces = asked.select("query_id", F.split(query_letters(F.col("text")), " ").alias("pieces"))
-    words = listed(stop, "term")
+    words = _short_list(stop)
     if words is not None:
         kept = pieces.select("query_id", drop_words(F.col("pieces"), words).alias("kept"))
     else:

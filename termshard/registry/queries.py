@@ -56,8 +56,8 @@ def spoken_queries(spark: SparkSession, folder: str) -> DataFrame:
     return said.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
 
 
-def analysed(spark: SparkSession, queries: DataFrame) -> DataFrame:
-    return P.analyse_queries(queries, stopwords.words_table(spark, stopwords.INDONESIAN_STOP_WORDS))
+def analysed(queries: DataFrame) -> DataFrame:
+    return P.analyse_queries(queries, stopwords.INDONESIAN_STOP_WORDS)
 
 
 def _joined(column: str) -> Column:
@@ -214,7 +214,7 @@ def tokenize(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query_analysis(spark: SparkSession, folder: str) -> DataFrame:
-    return P.query_text(analysed(spark, benchmark_queries(spark, folder)))
+    return P.query_text(analysed(benchmark_queries(spark, folder)))
 
 
 # --- stemming and profiles -----------------------------------------------------------------
@@ -283,7 +283,7 @@ def bow_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    terms = cosine.query_terms(analysed(spark, benchmark_queries(spark, folder)))
+    terms = cosine.query_terms(analysed(benchmark_queries(spark, folder)))
     weights = cosine.query_weights(terms, bow.vocabulary(bow.postings(tokens(spark, folder))))
     norm = F.round(F.sqrt(F.col("q_norm_sq").cast("double")), 6).alias("query_norm")
     return weights.select("query_id", "theme", "term", "qtf", norm)
@@ -305,24 +305,24 @@ def _shown(hits: DataFrame, score: str = "similarity_score") -> DataFrame:
 
 def cosine_single(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
-    queries = analysed(spark, benchmark_queries(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
     return _shown(cosine.search_theme(queries, index, ONE_THEME))
 
 
 def cosine_each(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
-    queries = analysed(spark, benchmark_queries(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
     return _shown(cosine.search_each(queries, index, 3))
 
 
 def cosine_all(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
-    return _shown(cosine.search_all(analysed(spark, benchmark_queries(spark, folder)), index))
+    return _shown(cosine.search_all(analysed(benchmark_queries(spark, folder)), index))
 
 
 def cosine_batch(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
-    return _shown(cosine.search_all(analysed(spark, spoken_queries(spark, folder)), index, 10))
+    return _shown(cosine.search_all(analysed(spoken_queries(spark, folder)), index, 10))
 
 
 def cosine_stored(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,12 +331,12 @@ def cosine_stored(spark: SparkSession, folder: str) -> DataFrame:
     names = [r["theme"] for r in words.select("theme").distinct().collect()]
     registry = corpora.themes_table(spark, sorted(names, reverse=True))
     index = index_store.build_bow_index(words, scratch_path(spark, "bow"), 8, registry)
-    return _shown(cosine.search_all(analysed(spark, benchmark_queries(spark, folder)), index))
+    return _shown(cosine.search_all(analysed(benchmark_queries(spark, folder)), index))
 
 
 def cosine_with_content(spark: SparkSession, folder: str) -> DataFrame:
     words = tokens(spark, folder)
-    queries = analysed(spark, benchmark_queries(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
     hits = cosine.with_content(cosine.search_all(queries, cosine.bow_index(words)), words)
     return hits.select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "theme", "doc_id",
@@ -346,14 +346,14 @@ def cosine_with_content(spark: SparkSession, folder: str) -> DataFrame:
 
 def result_preview(spark: SparkSession, folder: str) -> DataFrame:
     words = tokens(spark, folder)
-    queries = analysed(spark, benchmark_queries(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
     hits = cosine.with_content(cosine.search_all(queries, cosine.bow_index(words)), words)
     return cosine.listing(hits).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def result_counts(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
-    queries = analysed(spark, benchmark_queries(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
     return cosine.result_counts(cosine.search_each(queries, index))
 
 
