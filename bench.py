@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from termshard.operators import bow, cosine, fulltext, stemming
+from termshard.operators import cosine, fulltext, stemming
 from termshard.operators.bounds import materialized, scratch_path
 from termshard.plans import profiles as P
 from termshard.registry import queries as Q
@@ -87,7 +87,6 @@ def main() -> None:
         "stem_map": lambda: run(stemming.stem_map(stemming.distinct_terms(words), roots, "hybrid")),
         "profile_thesis": lambda: run(P.analyse(documents, P.THESIS, stop, roots)),
         "profile_news": lambda: run(P.analyse(documents, P.NEWS, stop, roots)),
-        "term_frequencies": lambda: run(bow.term_frequencies(clean)),
         "build_bow_index": lambda: index_store.build_bow_index(
             clean, scratch_path(spark, "bow"), BUCKETS
         ),

@@ -14,6 +14,7 @@ from termshard.operators.bounds import (
     BROADCAST_ROWS,
     broadcast_if_small,
     counted_values,
+    fits_broadcast,
     listed,
     materialized,
     one_of,
@@ -134,14 +135,19 @@ def search_all(queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS) ->
 def with_content(hits: DataFrame, tokens: DataFrame) -> DataFrame:
     """Add the tokens of each hit as ``content``, null where the document is gone.
 
-    The hits are few and stored first; if their ids fit a list, it prunes the token table.
+    The hits are stored first. A short list of ids prunes the buckets of a stored token table,
+    and the keys of the hits, if they fit a broadcast, leave only their documents to the join.
     """
     hits = materialized(hits)
+    document = list(bow.DOCUMENT)
+    content = tokens.select(*document, F.col("tokens").alias("content"))
     ids = listed(hits, "doc_id")
-    content = tokens.select("theme", "doc_id", F.col("tokens").alias("content"))
     if ids is not None:
         content = content.filter(one_of("doc_id", ids))
-    return hits.join(content, ["theme", "doc_id"], "left")
+    keys = hits.select(*document).distinct()
+    if fits_broadcast(keys):
+        content = content.join(F.broadcast(keys), document, "left_semi")
+    return hits.join(content, document, "left")
 
 
 def listing(hits_with_content: DataFrame, rank: str = "rank") -> DataFrame:

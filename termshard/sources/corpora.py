@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from termshard.operators.bounds import BROADCAST_ROWS
 from termshard.sources import literals, records
 
 # Names a text column may have, best first.
@@ -36,13 +37,16 @@ def pick_text_column(
 def number_documents(rows: DataFrame, file: str = "file", row_no: str = "row_no") -> DataFrame:
     """``doc_id`` = position over all files of one corpus, files in name order.
 
-    Only per-file counts are ordered globally; the rows themselves are not sorted.
+    Only per-file counts are ordered globally; the rows themselves are not sorted. There is
+    one count per file of the scan, a number the driver knows from listing them.
     """
     files = rows.groupBy(file).agg((F.max(row_no) + 1).alias("rows_in_file"))
     in_order = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select(
         file, F.coalesce(F.sum("rows_in_file").over(in_order), F.lit(0)).alias("offset")
     )
+    if len(rows.inputFiles()) <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return rows.join(offsets, file).withColumn("doc_id", F.col("offset") + F.col(row_no)).drop(
         "offset", file, row_no
     )

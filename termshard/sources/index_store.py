@@ -146,6 +146,6 @@ def _write_by_term(vocabulary: DataFrame, path: str) -> None:
 
 
 def searchable_themes(index: BowIndex | TextIndex) -> list[str]:
-    """The themes that have postings; a bounded list, one name per corpus."""
-    table = index.themes if isinstance(index, BowIndex) else index.corpus_stats
-    return sorted(r["theme"] for r in table.select("theme").collect())
+    """The themes that have terms; a theme of empty documents cannot be searched. One name per
+    corpus comes back."""
+    return sorted(r["theme"] for r in index.vocabulary.select("theme").distinct().collect())

@@ -65,3 +65,11 @@ def test_registered_order_is_kept(spark, tiny, tmp_path):
     index = index_store.build_bow_index(tiny, str(tmp_path / "bow"), 2, themes)
     got = cosine.search_all(asked(spark, "api air"), index).orderBy("rank").collect()
     assert [(r["theme"], r["doc_id"]) for r in got] == [("b", 1), ("a", 1), ("a", 0)]
+
+
+def test_a_theme_without_words_is_not_searchable(spark, tmp_path):
+    tokens = spark.createDataFrame(
+        [("full", 1, ["kata"]), ("empty", 1, [])], "theme string, doc_id bigint, tokens array<string>"
+    )
+    index = index_store.build_bow_index(tokens, str(tmp_path / "bow"), 2)
+    assert index_store.searchable_themes(index) == ["full"]
