@@ -45,12 +45,14 @@ def blank_quotes(col: Column) -> Column:
 
 def blank_reduplicated(col: Column) -> Column:
     """``jalan-jalan`` disappears whole; ``kejar-kejaran`` stays."""
-    return F.regexp_replace(col, REDUPLICATED, " ")
+    return F.when(col.contains("-"), F.regexp_replace(col, REDUPLICATED, " ")).otherwise(col)
 
 
 def unglue_headers(col: Column) -> Column:
     """Set a blank after a header that is glued to the next capital. Runs before case folding."""
-    return F.regexp_replace(col, GLUED_HEADER, "$1 ")
+    text = text_or_empty(col)
+    may_hold = text.contains("ABSTRAK") | text.contains("Judul") | text.contains("Latar")
+    return F.when(may_hold, F.regexp_replace(text, GLUED_HEADER, "$1 ")).otherwise(text)
 
 
 def letters_only(col: Column) -> Column:
@@ -58,13 +60,15 @@ def letters_only(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, NOT_LETTERS, " "))
 
 
-def _words(lowered: Column) -> Column:
+def _words(lowered: Column, quotes_end_links: bool = False) -> Column:
     """Links and mentions are rare: a plain substring test saves most texts the two patterns.
 
-    A link that holds the only at-sign costs one needless pass and changes nothing.
+    A link that holds the only at-sign costs one needless pass and changes nothing. Quotes are
+    no letters and go in any case; blanking them first matters to a text with links only.
     """
     may_link = lowered.contains("http") | lowered.contains("www.")
-    linkless = F.when(may_link, blank_links(lowered)).otherwise(lowered)
+    before_links = blank_quotes(lowered) if quotes_end_links else lowered
+    linkless = F.when(may_link, blank_links(before_links)).otherwise(lowered)
     return letters_only(
         F.when(lowered.contains("@"), blank_mentions(linkless)).otherwise(linkless)
     )
@@ -75,11 +79,11 @@ def plain(col: Column) -> Column:
 
 
 def quoted(col: Column) -> Column:
-    return _words(blank_quotes(F.lower(text_or_empty(col))))
+    return _words(F.lower(text_or_empty(col)), quotes_end_links=True)
 
 
 def headed(col: Column) -> Column:
-    return quoted(unglue_headers(text_or_empty(col)))
+    return quoted(unglue_headers(col))
 
 
 def reduplicated(col: Column) -> Column:
