@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termshard.llm import content_sort, packing
+from termshard.llm import content_sort, minhash, packing
 from termshard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,5 +20,9 @@ def op5_content_sort(spark: SparkSession, folder: str) -> DataFrame:
     return content_sort.content_groups(table(spark, folder, "documents"), keep="largest")
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
+
+
 def llm_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
