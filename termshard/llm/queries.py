@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termshard.llm import content_sort, minhash, packing
+from termshard.llm import content_sort, minhash, mixing, packing, risk_rules
 from termshard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    taken = mixing.mixed(table(spark, folder, "documents"))
+    return taken.select("_row.doc_id", "_row.source", "weight", "epoch", "block", "block_order")
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
@@ -24,5 +29,9 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
 
+def op9_risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return risk_rules.quality_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
