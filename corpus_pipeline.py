@@ -6,19 +6,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termshard.llm.common import materialized, table
 from termshard.llm.content_sort import drop_copies
+from termshard.llm.minhash import drop_near_duplicates
+from termshard.llm.mixing import mixed_documents
 from termshard.llm.packing import pack_documents
+from termshard.llm.risk_rules import keep_quality
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a rule rejects go."""
+    return keep_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles, similarity 0.8 or more: one document of each component stays."""
+    return drop_near_duplicates(docs, width=5, percent=80)
+
+
+def temperature_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; small sources are repeated up to 1.5 times."""
+    return mixed_documents(docs, repetitions=1.5)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("temperature mixing", temperature_mixing),
     ("best-fit packing", best_fit_packing),
 ]
 
