@@ -45,14 +45,15 @@ def _grouped(docs: DataFrame, text: str, key: str, keep: str, carry: bool) -> Da
     )
     rows = docs.count()
     frequent = frequent_contents(base, rows, max(64, rows // (4 * parts)))
-    part = F.lit(0)
+    ranges = ["_start", "_hash"]  # all of them in the window's keys, which so need no exchange
     if frequent:
         hot = spark.createDataFrame(frequent, "_hash bigint, _parts bigint")
         base = base.join(F.broadcast(hot), "_hash", "left")  # fewer than 4 * parts rows
         part = F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_parts")), F.lit(0))
-    dealt = base.withColumn("_part", part.cast("int")).repartitionByRange("_start", "_hash", "_part")
+        base, ranges = base.withColumn("_part", part), [*ranges, "_part"]
+    dealt = base.repartitionByRange(*ranges)
     content = dealt.withColumn("_norm", ascii_lower(whole(F.col("_row")[text])))
-    same = Window.partitionBy("_start", "_hash", "_part", "_norm")
+    same = Window.partitionBy(*ranges, "_norm")
     ordered = same.orderBy(first("_id"))
     columns = ["_id", "_hash"] + ["_parts"] * bool(frequent) + ["_row"] * carry
     groups = content.select(
