@@ -1,17 +1,22 @@
 """Token ids of whole texts by a tokenizer of the tokenizers library, once per distinct word.
 
 The tokenizer's pre-tokenizer never joins characters across white space, so the ids of a text
-are those of its blank-separated words in order. Words repeat, so they are kept; of a new word
-only the parts that are new are handed to the library. Both stores are bounded: when one is
-full its words become the older generation, and what is not used again goes.
+are those of its blank-separated words in order. Words repeat, within a batch (Arrow's dictionary
+encoding finds the distinct ones) and between batches (a store), and of a new word only the
+parts that are new are handed to the library. Both stores are bounded: when one is full its
+words become the older generation, and what is not used again goes.
 """
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer
 
@@ -20,6 +25,7 @@ WORDS_FILE = "word_bpe_49k.json"
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Below this, no character is a combining mark: normalising changes nothing.
 LATIN_END = "ɐ"
+CHUNK_BYTES = 8 << 20
 
 
 def byte_letters() -> dict[int, int]:
@@ -49,8 +55,20 @@ class Store(dict):
             self.clear()
 
 
+def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """The texts, null as empty, in slices of about ``size`` bytes or one longer text."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(bounds, bounds[at] + size, "right")) - 1
+        to = min(max(to, at + 1), len(texts))
+        yield texts.slice(at, to - at)
+        at = to
+
+
 class Encoder:
-    def __init__(self, path: str, words: int = 250_000, parts: int = 150_000):
+    def __init__(self, path: str, words: int = 500_000, parts: int = 100_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.words, self.parts = Store(self._word, words), Store(self._part, parts)
@@ -58,23 +76,44 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         if not part.isascii():
             part = part.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(part)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         if (word.isascii() or max(word) < LATIN_END) and word.isprintable() and "<|" not in word:
-            parts = PARTS.findall(word.lower())
-            return b"".join(map(self.parts.__getitem__, parts))
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        ids = b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+            low = word.lower()
+            if low.isalpha():
+                return self._part(low)
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(low)))
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = pc.replace_substring(texts, "\n", " ")
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens have case
+            texts = pc.ascii_lower(texts)
+        # A point or comma that ends a word is a part of its own.
+        texts = pc.replace_substring_regex(texts, r"([a-z])([.,])( |$)", r"\1 \2\3")
+        lists = pc.split_pattern(texts, " ")
+        words = lists.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.__getitem__, distinct))
         self.words.trim()
         self.parts.trim()
-        return ids
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        first = np.cumsum(length) - length
+        which = words.indices.to_numpy()
+        length, first = length[which], first[which]
+        ends = np.cumsum(length)
+        at = np.repeat(first - (ends - length), length)
+        at += np.arange(len(at))
+        flat = np.frombuffer(b"".join(ids), "<u4")[at]
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return flat, np.concatenate([[0], ends])[bounds]
+
+    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of whole texts, a null one having none, and where each text's begin, with the
+        end: for slices of the texts of about CHUNK_BYTES, in order."""
+        for part in byte_slices(texts, CHUNK_BYTES):
+            yield self._encode(part)
 
 
 @lru_cache(1)

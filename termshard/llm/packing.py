@@ -39,14 +39,15 @@ def cut_pieces(
     path = path or default_path()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path).encode, np.array([end_id], "<u4")
         for batch in batches:
-            rows = []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(body.as_py()) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            rows, docs_left = [], iter(batch.column(0).to_pylist())
+            for flat, bounds in encode(batch.column(1)):
+                for at, to in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    doc, ids = next(docs_left), np.concatenate([flat[at:to], end])
+                    for piece, start in enumerate(range(0, len(ids), size)):
+                        part = ids[start : start + size]
+                        rows.append((doc, piece, start, len(part), zlib.crc32(part)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, TYPES)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
