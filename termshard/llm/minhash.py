@@ -5,16 +5,18 @@ the set into bins; the least hash of a bin is its value, and an empty bin borrow
 first filled one in a random order of its own (optimal densification). Bands of bins are
 bucket keys.
 
-Links are found and confirmed on full sets in three steps, each on less than the one before:
+Links are found and confirmed on full sets in steps, each on less than the one before:
 
 1. Texts with equal sets are one class; its smallest id stands for it.
-2. Stars: in a bucket, every member is compared with the bucket's smallest id only. First each
-   takes the one centre it shares most bands with; the components of the links found so far
-   settle most buckets. In the others all members are compared with the centre.
-3. What stars cannot see is a link between two members whose distances to the centre, a and b,
-   leave it open. Jaccard distance is a metric, so such a link needs |a - b| <= 1 - similarity,
-   and sets of similar size: pairs of a bucket's members in different components are compared
-   if they lie in neighbouring cells of both. This makes the links whole.
+2. Of the sets that share a bucket with another, the shingles that no other of them holds are
+   counted. They bound how similar a set can be to any other, and two sets to each other,
+   so many sets and pairs need no comparison.
+3. Stars: in a bucket, every member is compared with one centre, the member with the least
+   share of shingles of its own: where copies vary one text, that is the one nearest to it.
+4. Buckets whose members are then in several components: a link between two of them is
+   possible only if the bound of step 2 allows it and their distances to the centre differ by at
+   most 1 - similarity (Jaccard distance is a metric). Members outside the bucket's
+   largest component are compared with those. This makes the links whole.
 
 With 48 bands of 6 a pair at similarity 0.85 shares no bucket with probability 1e-10, at 0.8
 (64 bands of 6 are taken there) with 4e-9.
@@ -178,9 +180,9 @@ def near_duplicates(
     classes = told.groupBy("code").agg(F.min("id").alias("rep"))
     own = told.join(classes, "code").filter("id = rep").groupBy("id")
     reps = materialized(own.agg(F.min(F.struct("code", "n", "keys")).alias("r")).select("id", "r.*"))
-    spread = reps.select("id", "n", F.explode("keys").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("m")).filter("m > 1")
-    buckets = materialized(spread.join(shared.drop("m"), "bucket"))
+    spread = reps.select("id", F.explode("keys").alias("bucket"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1").select("bucket")
+    buckets = materialized(spread.join(shared, "bucket"))
 
     wanted = buckets.select("id").distinct().hint("shuffle_hash")
     texts = source.join(wanted, "id", "left_semi")
@@ -189,55 +191,59 @@ def near_duplicates(
     sets = sets.join(reps.select("id", "code"), ["id", "code"], "left_semi")
     sets = materialized(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
 
-    # Each member against the centre it shares most bands with.
-    votes = buckets.filter("id <> centre").groupBy("id", "n", "centre").agg(F.count("*").alias("shared"))
-    best = votes.groupBy("id", "n").agg(F.max(F.struct("shared", -F.col("centre"))).alias("best"))
-    pairs = best.select(F.col("id").alias("a"), (-F.col("best.col2")).alias("b"))
+    # What a set shares with any other candidate bounds its similarity to all of them.
+    held = sets.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle")
+    alone = held.agg(F.count("*").alias("m"), F.min("id").alias("id")).filter("m = 1")
+    alone = alone.groupBy("id").agg(F.count("*").alias("own"))
+    able = sets.select("id", F.size("shingles").cast("bigint").alias("n")).join(alone, "id", "left")
+    able = able.select("id", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"))
+    able = able.filter(f"100 * c >= {percent} * n")
+
+    live = buckets.join(able, "id")
+    rank = F.struct((F.col("c") / F.col("n")).alias("part"), (-F.col("id")).alias("id"), "n", "c")
+    best = live.groupBy("bucket").agg(F.max(rank).alias("best"), F.count("*").alias("m")).filter("m > 1")
+    best = best.select("bucket", (-F.col("best.id")).alias("centre"), F.col("best.n").alias("centre_n"),
+                       F.col("best.c").alias("centre_c"))
+    live = materialized(live.join(best, "bucket"))
+
+    def possible(n: str, c: str, other_n: str, other_c: str) -> Column:
+        return F.expr(f"(100 + {percent}) * least({c}, {other_c}) >= {percent} * ({n} + {other_n})")
+
+    star = live.filter((F.col("id") != F.col("centre")) & possible("n", "c", "centre_n", "centre_c"))
+    pairs = star.select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     tested = materialized(_compared(pairs, sets))
     links = tested.filter(_linked(percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
     roots = materialized(components(links))
 
-    # Buckets that hold more than one component: everyone against the centre.
-    def labelled(rows: DataFrame) -> DataFrame:
-        named = rows.join(roots.withColumnRenamed("root", "_r"), "id", "left")
-        return named.withColumn("root", F.coalesce("_r", "id")).drop("_r")
-
-    named = labelled(buckets)
-    mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_ = materialized(named.join(mixed.filter("lo < hi").select("bucket"), "bucket", "left_semi"))
-    pairs = open_.filter("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
-    again = materialized(_compared(pairs.join(tested, ["a", "b"], "left_anti"), sets).union(tested))
-    more = again.filter(_linked(percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    roots = materialized(components(more))
-
-    # Pairs that the distances to the centre leave open.
-    far = again.select(
+    # Buckets with several components: those outside the largest against all they may be linked to.
+    far = tested.select(
         F.col("a").alias("id"), F.col("b").alias("centre"),
         (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far"),
     )
-    named = labelled(open_.drop("root"))
-    mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    named = named.join(mixed.filter("lo < hi").select("bucket"), "bucket", "left_semi")
-    step, ratio = 1 - percent / 100, -math.log(percent / 100)
-    placed = named.filter("id <> centre").join(far, ["id", "centre"]).select(
-        "bucket", "id", "n", "root", "far",
-        F.floor(F.col("far") / step).alias("ring"), F.floor(F.log("n") / ratio).alias("scale"),
-    )
-    near = placed.withColumn("ring", F.explode(F.expr("array(ring - 1, ring, ring + 1)")))
-    near = near.withColumn("scale", F.explode(F.expr("array(scale - 1, scale, scale + 1)")))
-    x, y = placed.alias("x"), near.alias("y")
-    cells = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", "ring", "scale")]
-    left_open = (
-        (F.col("x.root") < F.col("y.root"))
-        & (F.abs(F.col("x.far") - F.col("y.far")) <= step + 1e-9)
-        & F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    named = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("l"), F.count("*").alias("k"))
+    largest = largest.filter("k > 1").select("bucket", F.col("l.root").alias("main"))
+    named = named.join(largest, "bucket").join(far, ["id", "centre"], "left")
+    ratio = -math.log(percent / 100)
+    named = materialized(
+        named.filter("id <> centre").select(
+            "bucket", "id", "n", "c", "root", "main", "far", F.floor(F.log("n") / ratio).alias("scale")
+        )
     )
-    pairs = x.join(y, [*cells, left_open]).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    near = named.withColumn("scale", F.explode(F.expr("array(scale - 1, scale, scale + 1)")))
+    x, y = named.filter("root <> main").alias("x"), near.alias("y")
+    apart = F.abs(F.col("x.far") - F.col("y.far"))
+    left_open = (
+        (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.scale") == F.col("y.scale"))
+        & (F.col("x.root") != F.col("y.root"))
+        & ((F.col("y.root") == F.col("y.main")) | (F.col("x.id") < F.col("y.id")))
+        & possible("x.n", "x.c", "y.n", "y.c")
+        & F.coalesce(apart <= 1 - percent / 100 + 1e-9, F.lit(True))
+    )
+    pairs = x.join(y, left_open).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     last = materialized(_compared(pairs.distinct(), sets).filter(_linked(percent)))
-    if last.isEmpty():
-        found = roots
-    else:
-        found = components(more.union(last.select("a", "b")))
+    found = roots if last.isEmpty() else components(links.union(last.select("a", "b")))
 
     named = signed.select("id", "n", "code").join(classes, "code", "left")
     named = named.join(found.withColumnRenamed("id", "rep"), "rep", "left")
