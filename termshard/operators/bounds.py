@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import or_
 
@@ -17,10 +18,19 @@ PUSHED_VALUES = 64
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """Rows and text bytes of ``df``; one aggregate job, nothing but two numbers comes back."""
-    strings = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-    fixed = 16 * (len(df.columns) - len(strings))
-    text = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(fixed))
+    """Rows and bytes of ``df``; one aggregate job, nothing but two numbers comes back. Of text
+    the length counts, of arrays, maps and structs that of their JSON form."""
+    sizes = []
+    for f in df.schema:
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif kind.startswith(("array", "map", "struct")):
+            value = F.to_json(F.struct(F.col(f.name)))
+            sizes.append(F.coalesce(F.octet_length(value), F.lit(0)))
+        else:
+            sizes.append(F.lit(16))
+    text = sum(sizes, F.lit(0))
     row = df.agg(F.count("*").alias("rows"), F.sum(text.cast("bigint")).alias("bytes")).first()
     return row["rows"], row["bytes"] or 0
 
@@ -61,23 +71,34 @@ def one_of(column: str, values: list) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, from ``spark.checkpoint.dir``.
+    """The folder every executor can reach: that of ``spark.checkpoint.dir``, or one below the
+    warehouse where it is not set."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
-    Only a local session may fall back to a temporary folder of its own.
-    """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="termshard-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+
+_scopes: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_space(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end every stage that was stored within. What is read lazily from them must
+    be read before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialized(df: DataFrame) -> DataFrame:

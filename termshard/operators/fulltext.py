@@ -1,15 +1,21 @@
 """Full-text search over positional postings: BM25 and structured boolean clauses.
 
-A clause is a row ``(query_id, clause_id, occur, kind, value, upper, boost)``:
+A clause is a row ``(query_id, clause_id, occur, kind, value, upper, boost, exclude_value,
+exclude_upper)``:
 
 ``occur``  ``must``, ``should`` or ``must_not``
 ``kind``   ``term``, ``phrase``, ``prefix``, ``wildcard`` (``*`` any run, ``?`` one letter),
-           ``range`` (``value`` to ``upper``, both included) or ``id`` (``theme_docid``)
+           ``range`` (``value`` to ``upper``; a null end is open, and ``exclude_value`` or
+           ``exclude_upper`` leaves that end out) or ``id`` (``theme_docid``)
+
+Values other than ids are lower-cased. Terms and phrases are analysed as text is: a term of
+several words needs them all, stop words and single letters are left out, and a clause with
+nothing left is ignored.
 
 A document is a hit if it matches every ``must`` clause, at least one ``should`` clause if
 there is no ``must``, and no ``must_not`` clause. Terms and phrases score by BM25, the other
-kinds score a constant 1; each score is multiplied by the boost. A query without a ``must``
-or ``should`` clause has no hits.
+kinds score a constant 1; each score is multiplied by the boost. A query of ``must_not``
+clauses alone has every other document as a hit, with the score 1.
 """
 
 from __future__ import annotations
@@ -24,6 +30,7 @@ from termshard.functions.display import document_key
 from termshard.functions.tokens import ENGLISH_STOP_WORDS, drop_short, drop_words, indexed_words
 from termshard.operators.bounds import (
     BROADCAST_ROWS,
+    broadcast_if_small,
     counted_values,
     listed,
     materialized,
@@ -44,7 +51,7 @@ QUERY_WORD = r"(?U)\w+(?:\.?\w+)*"
 
 CLAUSE_SCHEMA = (
     "query_id bigint, clause_id int, occur string, kind string, value string, "
-    "upper string, boost double"
+    "upper string, boost double, exclude_value boolean, exclude_upper boolean"
 )
 EXPANDED = ("prefix", "wildcard", "range")
 POSITIVE = ("must", "should")
@@ -135,12 +142,13 @@ def text_clauses(queries: DataFrame, occur: str = "must") -> DataFrame:
 
 
 def clauses_table(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
-    """Clauses from dicts; ``occur``, ``kind``, ``upper`` and ``boost`` have defaults."""
+    """Clauses from dicts; all but ``query_id`` and ``value`` have defaults."""
     rows = list(rows)
     filled = [
         (
             r["query_id"], r.get("clause_id", i), r.get("occur", "must"), r.get("kind", "term"),
-            r["value"], r.get("upper"), float(r.get("boost", 1.0)),
+            r.get("value"), r.get("upper"), float(r.get("boost", 1.0)),
+            bool(r.get("exclude_value")), bool(r.get("exclude_upper")),
         )
         for i, r in enumerate(rows)
     ]
@@ -152,6 +160,20 @@ def clauses_table(spark: SparkSession, rows: Iterable[dict]) -> DataFrame:
     return spark.createDataFrame(filled, CLAUSE_SCHEMA)
 
 
+def analysed_clauses(clauses: DataFrame) -> DataFrame:
+    """Clauses with lower-cased values and their ``words``, less those without any."""
+    for end in ("exclude_value", "exclude_upper"):
+        if end not in clauses.columns:
+            clauses = clauses.withColumn(end, F.lit(False))
+    is_text, is_id = F.col("kind").isin("term", "phrase"), F.col("kind") == "id"
+    words = query_words(F.coalesce("value", F.lit("")))
+    words = F.when(F.col("kind") == "term", F.array_distinct(words)).otherwise(words)
+    lowered = {c: F.when(is_id, F.col(c)).otherwise(F.lower(c)) for c in ("value", "upper")}
+    return clauses.withColumn("words", words).withColumns(lowered).filter(
+        ~is_text | (F.size("words") > 0)
+    )
+
+
 def _literal_head(clauses: DataFrame) -> DataFrame:
     """What every matching term starts with: the key that turns a pattern into an equi-join."""
     wildcard_head = F.regexp_extract("value", r"^[^*?]*", 0)
@@ -164,7 +186,7 @@ def _literal_head(clauses: DataFrame) -> DataFrame:
     head = (
         F.when(F.col("kind") == "prefix", F.col("value"))
         .when(F.col("kind") == "wildcard", wildcard_head)
-        .otherwise(range_head)
+        .otherwise(F.coalesce(range_head, F.lit("")))
     )
     escaped = F.regexp_replace("value", r"([^\w*?])", r"\\$1")
     pattern = F.replace(F.replace(escaped, F.lit("*"), F.lit(".*")), F.lit("?"), F.lit("."))
@@ -180,6 +202,7 @@ class _Shape:
     rows: int
     kinds: frozenset[str]
     heads: tuple[int, ...]
+    has_not: bool
 
 
 def _shape_of(clauses: DataFrame) -> _Shape:
@@ -190,10 +213,11 @@ def _shape_of(clauses: DataFrame) -> _Shape:
             F.count("*").alias("rows"),
             F.collect_set("kind").alias("kinds"),
             F.collect_set(F.when(is_pattern, F.length("head"))).alias("heads"),
+            F.coalesce(F.max(F.col("occur") == "must_not"), F.lit(False)).alias("has_not"),
         )
         .first()
     )
-    return _Shape(row["rows"], frozenset(row["kinds"]), tuple(sorted(row["heads"])))
+    return _Shape(row["rows"], frozenset(row["kinds"]), tuple(sorted(row["heads"])), row["has_not"])
 
 
 def expand_patterns(
@@ -212,9 +236,12 @@ def expand_patterns(
     )
     heads = F.transform(lengths, lambda n: F.left(F.col("term"), n))
     terms = vocabulary.select("term").distinct().select("term", F.explode(heads).alias("head"))
+    term, low, high = F.col("term"), F.col("value"), F.col("upper")
+    above = low.isNull() | F.when(F.col("exclude_value"), term > low).otherwise(term >= low)
+    below = high.isNull() | F.when(F.col("exclude_upper"), term < high).otherwise(term <= high)
     matches = (
         F.when(F.col("kind") == "wildcard", F.rlike(F.col("term"), F.col("pattern")))
-        .when(F.col("kind") == "range", F.col("term").between(F.col("value"), F.col("upper")))
+        .when(F.col("kind") == "range", above & below)
         .otherwise(F.lit(True))
     )
     side = F.broadcast(patterns) if shape.rows <= BROADCAST_ROWS else patterns
@@ -224,18 +251,13 @@ def expand_patterns(
 def _wanted_terms(clauses: DataFrame, shape: _Shape, index: TextIndex) -> DataFrame:
     """One row per clause and term to look up, with the place of the term in a phrase."""
     keys = ["query_id", "clause_id"]
-    terms = clauses.filter("kind = 'term'").select(
-        *keys, F.lower("value").alias("term"), F.lit(0).alias("offset"), F.lit(1).alias("words")
+    wanted = clauses.filter(F.col("kind").isin("term", "phrase")).select(
+        *keys, F.size("words").alias("words"), F.posexplode("words").alias("offset", "term")
     )
-    words = query_words(F.col("value"))
-    phrases = clauses.filter("kind = 'phrase'").select(
-        *keys, F.size(words).alias("words"), F.posexplode(words).alias("offset", "term")
-    )
-    wanted = terms.unionByName(phrases) if "phrase" in shape.kinds else terms
     if not shape.kinds & set(EXPANDED):
         return wanted
     expanded = expand_patterns(clauses, index.vocabulary, shape).select(
-        *keys, "term", F.lit(0).alias("offset"), F.lit(1).alias("words")
+        *keys, F.lit(1).alias("words"), F.lit(0).alias("offset"), "term"
     )
     return wanted.unionByName(expanded)
 
@@ -283,16 +305,20 @@ def _clause_hits(
     bm25 = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + length)
     constant = F.col("kind").isin(*EXPANDED)
     found = join_postings(postings, weights, vocabulary, small, limit).select(
-        "query_id", "theme", "doc_id", "clause_id", "words", "offset", "positions",
+        "query_id", "theme", "doc_id", "clause_id", "kind", "words", "offset", "positions",
         (F.col("boost") * F.when(constant, F.lit(1.0)).otherwise(bm25)).alias("score"),
     )
     keys = ["query_id", "theme", "doc_id", "clause_id"]
     best = F.max("score").alias("score")
     single = found.filter("words = 1").groupBy(*keys).agg(best)
+    if "term" in shape.kinds:
+        every = found.filter("words > 1 AND kind = 'term'").groupBy(*keys, "words")
+        every = every.agg(F.count("*").alias("matched"), F.sum("score").alias("score"))
+        single = single.unionByName(every.filter("matched = words").select(*keys, "score"))
     if "phrase" not in shape.kinds:
         return single
     phrase = (
-        found.filter("words > 1")
+        found.filter("words > 1 AND kind = 'phrase'")
         .select(*keys, "words", "score", F.explode("positions").alias("position"), "offset")
         .groupBy(*keys, "words", (F.col("position") - F.col("offset")).alias("start"))
         .agg(F.count("*").alias("matched"), F.sum("score").alias("score"))
@@ -322,6 +348,9 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
 
 def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> DataFrame:
     """``(query_id, theme, doc_id, score)`` of every hit, unranked."""
+    if clauses.isEmpty():
+        raise ValueError("there are no clauses")
+    clauses = analysed_clauses(clauses)
     shape = _shape_of(clauses)
     hits = None
     if shape.kinds - {"id"}:
@@ -329,8 +358,9 @@ def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> D
     if "id" in shape.kinds:
         by_id = _id_hits(clauses, index)
         hits = by_id if hits is None else hits.unionByName(by_id)
-    if hits is None:
-        raise ValueError("there are no clauses")
+    if hits is None:  # every clause was ignored
+        nothing = index.doc_stats.filter(F.lit(False)).select(*DOCUMENT)
+        return clauses.select("query_id").crossJoin(nothing).withColumn("score", F.lit(1.0))
     per_query = Window.partitionBy("query_id")
     needs = clauses.select(
         "query_id",
@@ -341,9 +371,9 @@ def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> D
     if shape.rows <= BROADCAST_ROWS:
         needs = F.broadcast(needs)
     positive = F.col("occur").isin(*POSITIVE)
-    return (
-        hits.join(needs, ["query_id", "clause_id"])
-        .groupBy("query_id", "theme", "doc_id")
+    hits = hits.join(needs, ["query_id", "clause_id"])
+    found = (
+        hits.groupBy("query_id", "theme", "doc_id")
         .agg(
             F.max("needed").alias("needed"),
             F.sum((F.col("occur") == "must").cast("int")).alias("matched"),
@@ -354,6 +384,15 @@ def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> D
         .filter("matched = needed and banned = 0 and positive > 0")
         .select("query_id", "theme", "doc_id", "score")
     )
+    only_not = clauses.groupBy("query_id").agg(F.max(positive).alias("p")).filter("NOT p")
+    only_not = only_not.select("query_id")
+    if not shape.has_not or only_not.isEmpty():
+        return found
+    # Every document against the queries of this kind, a stated set, less what they ban.
+    banned = hits.filter("occur = 'must_not'").select("query_id", *DOCUMENT)
+    others = index.doc_stats.select(*DOCUMENT).crossJoin(broadcast_if_small(only_not))
+    others = others.join(banned, ["query_id", *DOCUMENT], "left_anti")
+    return found.unionByName(others.select("query_id", *DOCUMENT, F.lit(1.0).alias("score")))
 
 
 def search(

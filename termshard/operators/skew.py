@@ -1,19 +1,25 @@
 """Joins on a term, where a frequent word may own a large part of all rows.
 
-The right side counts how often each key is used on the left (``uses``). Fewer than
-``HOT_KEYS`` keys can hold more than one part in ``HOT_KEYS`` of all uses, so the hot part
-of a table is small by arithmetic, whatever the size of the table.
+The right side of a join by term counts how often each key is used on the left (``uses``). Its
+most used keys, as many as a broadcast may hold, never enter a shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termshard.operators.bounds import fits_broadcast
+from termshard.operators.bounds import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    broadcast_if_small,
+    fits_broadcast,
+    materialized,
+)
 
 HOT_KEYS = 1_000
 MIN_HOT_USES = 1_000_000
+HOT_ROW_BYTES = 256
 
 
 def hot_limit(uses_total: int | None) -> int:
@@ -30,31 +36,36 @@ def join_by_term(
 ) -> DataFrame:
     """Left join of ``rows`` to a table with one row per key and a column ``uses``.
 
-    A small table is broadcast. Of a large one the hot keys are broadcast and the others
-    shuffled; a row already served by a hot key takes a key of its own in the shuffle, made
-    from its document, so the hot rows spread evenly.
+    A small table is broadcast. Of a large one the most used keys are: rows with such a key
+    take their values from the broadcast, rows without a key take none, and only the others
+    are shuffled. With ``limit`` the keys used more than that are the hot ones.
     """
     values = [c for c in table.columns if c not in keys and c != "uses"]
     if fits_broadcast(table) if broadcast is None else broadcast:
         return rows.join(F.broadcast(table.drop("uses")), keys, "left")
-    if limit is None:
-        limit = hot_limit(table.agg(F.sum("uses")).first()[0])
-    hot_values = F.struct(*values).alias("hot")
-    hot = table.filter(F.col("uses") > limit).select(*keys, hot_values)
-    cold = table.filter(F.col("uses") <= limit).select(
-        *[F.col(k).alias(f"cold_{k}") for k in keys], F.lit(0).alias("cold_spread"),
-        F.struct(*values).alias("cold"),
-    )
-    served = F.col("hot").isNotNull()
-    spread = F.when(served, F.xxhash64(*document)).otherwise(F.lit(0).cast("bigint"))
-    marked = rows.join(F.broadcast(hot), keys, "left").withColumn("spread", spread)
-    on: Column = F.col("spread") == F.col("cold_spread")
-    for key in keys:
-        on = on & (F.col(key) == F.col(f"cold_{key}"))
-    value = F.coalesce("hot", "cold")
-    return marked.join(cold, on, "left").select(
-        *rows.columns, *[value[v].alias(v) for v in values]
-    )
+    table = table.dropna(subset=keys)
+    hot = most_used(table, keys, limit)
+    known, other = hot.select(*keys), rows.dropna(subset=keys)
+    served = other.join(F.broadcast(hot.drop("uses")), keys)
+    cold = table.join(F.broadcast(known), keys, "left_anti").drop("uses")
+    shuffled = other.join(F.broadcast(known), keys, "left_anti").join(cold, keys, "left")
+    types = {f.name: f.dataType for f in table.schema}
+    nothing = [F.lit(None).cast(types[v]).alias(v) for v in values]
+    keyless = rows.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).select("*", *nothing)
+    columns = [*rows.columns, *values]
+    return served.select(columns).unionByName(shuffled.select(columns)).unionByName(keyless)
+
+
+def most_used(table: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+    """The rows of the most used keys within the bounds of a broadcast, stored. Rows longer than
+    HOT_ROW_BYTES are left out, so their number bounds their size."""
+    if limit is not None:
+        return materialized(table.filter(F.col("uses") > limit))
+    strings = [f.name for f in table.schema if f.dataType.simpleString() == "string"]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in strings), F.lit(0))
+    rows = min(BROADCAST_ROWS, BROADCAST_BYTES // (2 * HOT_ROW_BYTES))
+    ranked = table.filter(size <= HOT_ROW_BYTES).orderBy(F.desc("uses"), *keys)
+    return materialized(ranked.limit(rows))
 
 
 def join_postings(
@@ -67,18 +78,21 @@ def join_postings(
     """Inner join of postings and query terms on ``(theme, term)``.
 
     A small query side is broadcast. Beyond that both sides are shuffled; the postings of a
-    hot term are cut into slices by document and its query rows repeated once per slice.
+    term are cut into slices by document and its query rows repeated once per slice, so that
+    neither many postings nor many queries of a term make a large task.
     """
     keys = ["theme", "term"]
     if small:
         return postings.join(F.broadcast(wanted), keys)
     if limit is None:
         limit = hot_limit(vocabulary.agg(F.sum("df")).first()[0])
-    hot = F.broadcast(
-        vocabulary.filter(F.col("df") > limit).select(
-            *keys, F.ceil(F.col("df") / limit).alias("slices")
-        )
+    # Rows that a term gives: its postings times its queries. As there are fewer slices than
+    # postings, a slice has at least one.
+    asked = wanted.groupBy(*keys).agg(F.count("*").alias("asked"))
+    pairs = vocabulary.join(asked, keys).select(
+        *keys, F.least("df", F.ceil(F.col("df") * F.col("asked") / limit)).alias("slices")
     )
+    hot = broadcast_if_small(materialized(pairs.filter("slices > 1")))
     slices = F.coalesce("slices", F.lit(1).cast("bigint"))
     sliced = (
         postings.join(hot, keys, "left")

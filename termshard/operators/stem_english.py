@@ -45,14 +45,12 @@ STEP4 = [
 # Endings that make a word a candidate for English stemming.
 ENGLISH_ENDING = "^[a-z]*(?:ing|ed|tion|s)$"
 
-# A y is a vowel after a consonant; in a run of them every other one is. The look-behind
-# comes after the y, so that it is tried at a y only.
-VOWEL_Y = "y(?<=C(?:yy){0,40}y)|y(?<=(?:^|V)y(?:yy){0,40}y)"
-
 
 def shape(word: str) -> str:
+    """A y is a vowel after a consonant. One that starts the word or follows a vowel is none; of
+    a run left after that every other one is, which pairs from its start tell at any length."""
     letters = f"translate({word}, 'abcdefghijklmnopqrstuvwxz', 'VCCCVCCCVCCCCCVCCCCCVCCCC')"
-    with_y = f"translate(regexp_replace({letters}, '{VOWEL_Y}', 'V'), 'y', 'C')"
+    with_y = f"translate(replace(regexp_replace({letters}, '(^|V)y', '$1C'), 'yy', 'VC'), 'y', 'V')"
     return f"CASE WHEN contains({word}, 'y') THEN {with_y} ELSE {letters} END"
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from termshard.operators.bounds import scratch_space
 from termshard.plans.profiles import Profile, StopWords, analyse
 from termshard.sources.corpora import read_csv_corpus
 
@@ -36,13 +37,15 @@ def clean_corpus(
 ) -> CleaningReport:
     """Read a CSV corpus, analyse it, write ``(theme, doc_id, tokens)``.
 
-    The CSV is parsed once, into the stored words. Both counts come from the jobs themselves.
+    The CSV is parsed once, into the stored words, which are removed in the end. Both counts come
+    from the jobs themselves.
     """
-    raw = read_csv_corpus(
-        spark, source, theme, text_col, id_col, repair, first_if_none=profile.name == "news"
-    )
     read, written = Observation(), Observation()
-    counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
-    tokens = analyse(counted, profile, stop, roots)
-    write_tokens(tokens.observe(written, F.count(F.lit(1)).alias("rows")), target)
+    with scratch_space(spark):
+        raw = read_csv_corpus(
+            spark, source, theme, text_col, id_col, repair, first_if_none=profile.name == "news"
+        )
+        counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
+        tokens = analyse(counted, profile, stop, roots)
+        write_tokens(tokens.observe(written, F.count(F.lit(1)).alias("rows")), target)
     return CleaningReport(theme, read.get["rows"], written.get["rows"])

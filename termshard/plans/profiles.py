@@ -32,17 +32,6 @@ THESIS = Profile("thesis", "quoted", "indonesian", noise_first=True)
 HEADED_THESIS = Profile("headed", "headed", "indonesian", noise_first=True, extra_words=HEADER_WORDS)
 NEWS = Profile("news", "plain", "hybrid", noise_first=False)
 ESSAY = Profile("essay", "reduplicated", "hybrid", noise_first=False)
-PROFILES = {p.name: p for p in (THESIS, HEADED_THESIS, NEWS, ESSAY)}
-
-# The corpora of the collection, in order, and the profile of each.
-CORPORA = {
-    "etd_ugm_clean": "thesis",
-    "etd_usk_clean": "headed",
-    "kompas_clean": "news",
-    "mojok_clean_all": "essay",
-    "tempo_clean": "news",
-}
-
 
 def words_of(text: Column, profile: Profile) -> Column:
     return split_words(normalize(text, profile.form))
@@ -97,13 +86,18 @@ def map_tokens(tokens: DataFrame, table: DataFrame, keep_unknown: bool = False)
     rows = shard_by_document(tokens).select(
         *DOCUMENT, F.posexplode_outer("tokens").alias("pos", "term")
     )
+    if fits:
+        rows = rows.withColumn("places", F.array("pos"))
+    else:  # a word of a document is one row with its places: fewer rows to shuffle
+        rows = rows.groupBy(*DOCUMENT, "term").agg(F.collect_list("pos").alias("places"))
     mapped = join_by_term(rows, table, ["term"], DOCUMENT, broadcast=fits)
     if keep_unknown:
         mapped = mapped.withColumn("stem", F.coalesce("stem", "term"))
-    kept = F.when(F.col("stem").isNotNull(), F.struct("pos", "stem"))
+    placed = F.transform("places", lambda p: F.struct(p.alias("pos"), F.col("stem").alias("stem")))
+    kept = F.when(F.col("stem").isNotNull(), placed)
     return (
         mapped.groupBy(*DOCUMENT)
-        .agg(F.sort_array(F.collect_list(kept)).alias("kept"))
+        .agg(F.sort_array(F.flatten(F.collect_list(kept))).alias("kept"))
         .select(*DOCUMENT, F.col("kept.stem").alias("tokens"))
     )
 

@@ -103,7 +103,7 @@ qtf AS (SELECT query_id, term, count(*) AS qtf
 
 
 BENCHMARK = "SELECT item_id AS query_id, text FROM benchmark"
-SPOKEN = "SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'user'"
+SPOKEN = "SELECT conv_id * 1000 + turn AS query_id, text FROM conversations"
 
 
 def cosine_ctes(source: str) -> str:
@@ -198,10 +198,8 @@ id_stems AS (SELECT t.term, coalesce(best.form, t.term) AS id_stem, uses
 
 def _shape(word: str) -> str:
     shape = f"translate({word}, 'abcdefghijklmnopqrstuvwxz', 'VCCCVCCCVCCCCCVCCCCCVCCCC')"
-    shape = f"regexp_replace({shape}, '^y', 'C')"
-    for _ in range(6):
-        shape = f"replace(replace({shape}, 'Cy', 'CV'), 'Vy', 'VC')"
-    return shape
+    first = f"regexp_replace(regexp_replace({shape}, '^y', 'C'), 'Vy', 'VC', 'g')"
+    return f"replace(regexp_replace({first}, 'yy', 'VC', 'g'), 'y', 'V')"
 
 
 def _m(shape: str) -> str:
@@ -365,19 +363,28 @@ hits AS (SELECT query_id, theme, doc_id, sum(bm25) AS score
 {top_hits()}"""
 
 
+def _analysed(value: str) -> list[str]:
+    return [w for w in value.lower().split() if len(w) > 1 and w not in ENGLISH_STOP_WORDS]
+
+
 def clause_sql(name: str) -> str:
-    parts = []
-    rows = Q.CLAUSE_QUERIES[name]
-    for row in rows:
-        kind, value = row.get("kind", "term"), row["value"]
-        at = f"{row['query_id']}::BIGINT AS query_id, {row['clause_id']} AS clause_id"
+    parts, needed, positive = [], {}, {}
+    for row in Q.CLAUSE_QUERIES[name]:
+        kind, value, query = row.get("kind", "term"), row["value"], row["query_id"]
+        at = f"{query}::BIGINT AS query_id, {row['clause_id']} AS clause_id"
         boost = float(row.get("boost", 1.0))
+        words = _analysed(value) if kind in ("term", "phrase") else None
+        if words == []:
+            continue
+        occur = row.get("occur", "must")
+        needed[query] = needed.get(query, 0) + (occur == "must")
+        positive[query] = positive.get(query, False) or occur != "must_not"
         if kind == "term":
-            body = f"SELECT {at}, theme, doc_id, {boost}::DOUBLE * bm25 AS score FROM weighted WHERE term = '{value}'"
+            body = (
+                f"SELECT {at}, theme, doc_id, {boost}::DOUBLE * sum(bm25) AS score FROM weighted "
+                f"WHERE term IN {listed(words)} GROUP BY theme, doc_id HAVING count(*) = {len(set(words))}"
+            )
         elif kind == "phrase":
-            words = [w for w in value.lower().split() if len(w) > 1 and w not in ENGLISH_STOP_WORDS]
-            if not words:
-                continue
             joins = " ".join(
                 f"JOIN fwords w{i} ON w{i}.theme = w0.theme AND w{i}.doc_id = w0.doc_id "
                 f"AND w{i}.pos = w0.pos + {i} AND w{i}.term = '{w}'"
@@ -398,16 +405,21 @@ def clause_sql(name: str) -> str:
                 f"WHERE theme = '{theme}' AND doc_id = {doc_id}"
             )
         else:
-            test = {
-                "prefix": f"term LIKE '{value}%'",
-                "wildcard": "term LIKE '" + value.replace("*", "%").replace("?", "_") + "'",
-                "range": f"term BETWEEN '{value}' AND '{row.get('upper')}'",
-            }[kind]
+            low, high = value and value.lower(), (row.get("upper") or "").lower()
+            if kind == "range":
+                over, under = (">" if row.get("exclude_value") else ">="), ("<" if row.get("exclude_upper") else "<=")
+                test = " AND ".join([f"term {over} '{low}'"] * bool(low) + [f"term {under} '{high}'"] * bool(high))
+            elif kind == "prefix":
+                test = f"term LIKE '{low}%'"
+            else:
+                test = "term LIKE '" + low.replace("*", "%").replace("?", "_") + "'"
             body = f"SELECT DISTINCT {at}, theme, doc_id, {boost}::DOUBLE AS score FROM post WHERE {test}"
-        parts.append(f"SELECT *, '{row.get('occur', 'must')}' AS occur FROM ({body})")
-    needed = {}
-    for row in rows:
-        needed[row["query_id"]] = needed.get(row["query_id"], 0) + (row.get("occur", "must") == "must")
+        parts.append(f"SELECT *, '{occur}' AS occur FROM ({body})")
+    alone = [q for q, p in positive.items() if not p]
+    others = "".join(
+        f""" UNION ALL SELECT {q}::BIGINT, theme, doc_id, 1.0 FROM docs ANTI JOIN
+        (SELECT theme, doc_id FROM matched WHERE query_id = {q}) USING (theme, doc_id)""" for q in alone
+    )
     return f"""WITH {TEXT},
 matched AS ({' UNION ALL '.join(parts)}),
 needs AS (SELECT query_id::BIGINT AS query_id, needed
@@ -415,7 +427,7 @@ needs AS (SELECT query_id::BIGINT AS query_id, needed
 hits AS (SELECT query_id, theme, doc_id, sum(score) FILTER (occur <> 'must_not') AS score
   FROM matched JOIN needs USING (query_id) GROUP BY query_id, theme, doc_id
   HAVING count(*) FILTER (occur = 'must') = any_value(needed)
-     AND count(*) FILTER (occur = 'must_not') = 0 AND count(*) FILTER (occur <> 'must_not') > 0)
+     AND count(*) FILTER (occur = 'must_not') = 0 AND count(*) FILTER (occur <> 'must_not') > 0{others})
 {top_hits()}"""
 
 
@@ -518,7 +530,7 @@ SELECT query_id, rank::BIGINT AS rank, theme, doc_id"""
             round(avg_dl, 6) AS avg_dl FROM fvocab JOIN corpus USING (theme)""",
         "bm25_and": bm25_sql(required=True),
         "bm25_or": bm25_sql(required=False),
-        "bm25_stored": bm25_sql(required=True, where=f"theme = '{Q.ONE_THEME}'"),
+        "bm25_stored": bm25_sql(required=False),
         **{name: clause_sql(name) for name in Q.CLAUSE_QUERIES},
         "corpus_stats": """SELECT source AS theme, count(*) AS n_docs, grouping(source)::BIGINT AS is_total
             FROM documents GROUP BY ROLLUP (source)""",

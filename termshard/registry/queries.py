@@ -52,7 +52,7 @@ def benchmark_queries(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spoken_queries(spark: SparkSession, folder: str) -> DataFrame:
-    said = _table(spark, folder, "conversations").filter("role = 'user'")
+    said = _table(spark, folder, "conversations")
     return said.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
 
 
@@ -394,8 +394,8 @@ def bm25_or(spark: SparkSession, folder: str) -> DataFrame:
 def bm25_stored(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "text")
     index = index_store.build_text_index(tokens(spark, folder), path, 8)
-    queries = benchmark_queries(spark, folder)
-    return _hits(fulltext.search_text(queries, index, theme=ONE_THEME))
+    clauses = fulltext.text_clauses(benchmark_queries(spark, folder), occur="should")
+    return _hits(fulltext.search(clauses, index))
 
 
 # What a user would type, as clauses; the oracle reads the same rows.
@@ -430,6 +430,29 @@ CLAUSE_QUERIES: dict[str, list[dict]] = {
         dict(query_id=1, clause_id=0, kind="range", value="inta", upper="inth"),
         dict(query_id=2, clause_id=0, kind="range", value="y", upper="zb"),
     ],
+    "clause_analysis": [
+        dict(query_id=1, clause_id=0, value="the"),
+        dict(query_id=1, clause_id=1, value="INTH"),
+        dict(query_id=2, clause_id=0, kind="phrase", value="of the"),
+        dict(query_id=2, clause_id=1, value="la"),
+        dict(query_id=3, clause_id=0, kind="prefix", value="Inth"),
+        dict(query_id=4, clause_id=0, value="que la que de"),
+        dict(query_id=5, clause_id=0, kind="wildcard", value="IN?H*"),
+        dict(query_id=6, clause_id=0, kind="range", value="INTA", upper="INTH"),
+    ],
+    "open_range": [
+        dict(query_id=1, clause_id=0, kind="range", value="zu"),
+        dict(query_id=2, clause_id=0, kind="range", value=None, upper="ac"),
+        dict(query_id=3, clause_id=0, kind="range", value="in", upper="ind", exclude_value=True),
+        dict(query_id=4, clause_id=0, kind="range", value="in", upper="inth", exclude_upper=True),
+    ],
+    "only_not": [
+        dict(query_id=1, clause_id=0, value="la", occur="must_not"),
+        dict(query_id=1, clause_id=1, kind="prefix", value="th", occur="must_not"),
+        dict(query_id=2, clause_id=0, value="zzzzz", occur="must_not"),
+        dict(query_id=3, clause_id=0, value="die"),
+        dict(query_id=3, clause_id=1, value="ein", occur="must_not"),
+    ],
     "boosted": [
         dict(query_id=1, clause_id=0, value="inth", occur="should", boost=3.0),
         dict(query_id=1, clause_id=1, value="erth", occur="should"),

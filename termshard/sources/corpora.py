@@ -34,7 +34,9 @@ def pick_text_column(
     raise ValueError(f"no text column among {names}")
 
 
-def number_documents(rows: DataFrame, file: str = "file", row_no: str = "row_no") -> DataFrame:
+def number_documents(
+    rows: DataFrame, file: str = records.FILE, row_no: str = records.ROW_NO
+) -> DataFrame:
     """``doc_id`` = position over all files of one corpus, files in name order.
 
     Only per-file counts are ordered globally; the rows themselves are not sorted. There is
@@ -47,9 +49,9 @@ def number_documents(rows: DataFrame, file: str = "file", row_no: str = "row_no"
     )
     if len(rows.inputFiles()) <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    return rows.join(offsets, file).withColumn("doc_id", F.col("offset") + F.col(row_no)).drop(
-        "offset", file, row_no
-    )
+    position = (F.col("offset") + F.col(row_no)).alias("doc_id")
+    kept = [F.col(c) for c in rows.columns if c not in (file, row_no)]
+    return rows.join(offsets, file).select(*kept, position)
 
 
 def read_csv_corpus(
@@ -62,14 +64,14 @@ def read_csv_corpus(
     first_if_none: bool = False,
 ) -> DataFrame:
     """``(theme, doc_id, text)`` of one CSV corpus, numbered by position unless it has a key."""
-    rows = records.read_csv(spark, path, repair=repair)
-    data = T.StructType([f for f in rows.schema if f.name not in ("file", "row_no")])
-    text = F.col(pick_text_column(data, text_col, first_if_none)).alias("text")
+    rows = records.read_rows(spark, path, repair)
+    text = pick_text_column(rows.schema[records.DATA].dataType, text_col, first_if_none)
+    fields = [F.col(records.DATA)[text].alias("text")]
     if id_col:
-        key = F.col(id_col).cast("bigint")
-    else:
-        rows, key = number_documents(rows), F.col("doc_id")
-    return rows.select(F.lit(theme).alias("theme"), key.alias("doc_id"), text)
+        key = F.col(records.DATA)[id_col].cast("bigint").alias("doc_id")
+        return rows.select(F.lit(theme).alias("theme"), key, *fields)
+    numbered = number_documents(rows.select(records.FILE, records.ROW_NO, *fields))
+    return numbered.select(F.lit(theme).alias("theme"), "doc_id", "text")
 
 
 def as_documents(
@@ -126,25 +128,31 @@ def _open(spark: SparkSession, theme: Theme) -> DataFrame:
         tokens = stored.select(F.lit(theme.name).alias("theme"), "doc_id", "tokens")
     else:
         raise ValueError(f"unknown corpus format {theme.format!r}")
-    tokens.take(1)
     return tokens
 
 
 def load_corpora(
-    spark: SparkSession, themes: Iterable[Theme], searchable: Iterable[str] | None = None
+    spark: SparkSession,
+    themes: Iterable[Theme],
+    searchable: Iterable[str] | None = None,
+    index=None,
 ) -> Loaded:
-    """Open every corpus; one that fails is reported and the rest go on.
+    """Open and count every corpus; one that fails is reported and the rest go on.
 
-    ``searchable`` names the themes that have an index; a loaded theme without one counts in
-    the statistics but cannot be searched. The report has ``theme, ordinal, loaded,
+    A theme is searchable if the stored ``index`` (of counts or of text) has a word of it, or if
+    ``searchable`` names it; a loaded theme that is not counts in the statistics all the
+    same. The report has ``theme, ordinal, loaded,
     searchable, n_docs, error``.
     """
     themes = list(themes)
     opened: list[DataFrame] = []
     errors: dict[str, str] = {}
+    sizes: list[tuple[str, int]] = []
     for theme in themes:
         try:
-            opened.append(_open(spark, theme))
+            corpus = _open(spark, theme)
+            sizes.append((theme.name, corpus.count()))
+            opened.append(corpus)
         except Exception as error:  # any fault of one corpus must not stop the others
             known = isinstance(error, (AnalysisException, ValueError))
             errors[theme.name] = str(error).splitlines()[0] if known else type(error).__name__
@@ -155,11 +163,12 @@ def load_corpora(
         [(t.name, i, t.name not in errors, errors.get(t.name)) for i, t in enumerate(themes)],
         REPORT_SCHEMA,
     )
-    if tokens is None:
-        counts = spark.createDataFrame([], "theme string, n_docs bigint")
+    counts = spark.createDataFrame(sizes, "theme string, n_docs bigint")
+    if index is not None:
+        found = index.vocabulary.select("theme").distinct().collect()  # one row per corpus
+        indexed = [r["theme"] for r in found]
     else:
-        counts = tokens.groupBy("theme").agg(F.count("*").alias("n_docs"))
-    indexed = [t.name for t in themes] if searchable is None else list(searchable)
+        indexed = [t.name for t in themes] if searchable is None else list(searchable)
     n_docs = F.coalesce("n_docs", F.lit(0))
     report = status.join(counts, "theme", "left").select(
         "theme",

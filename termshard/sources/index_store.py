@@ -21,7 +21,14 @@ from termshard.operators.fulltext import (
     text_postings,
 )
 
-DEFAULT_BUCKETS = 64
+TOKENS_PER_BUCKET = 20_000_000
+LEAST_BUCKETS = 8
+
+
+def buckets_for(tokens: DataFrame) -> int:
+    """Buckets so that one holds about TOKENS_PER_BUCKET tokens, whatever the size of the data."""
+    total = tokens.agg(F.sum(F.size("tokens").cast("bigint"))).first()[0] or 0
+    return max(LEAST_BUCKETS, -(-total // TOKENS_PER_BUCKET))
 
 
 def _table_name(path: str, part: str) -> str:
@@ -70,13 +77,14 @@ def _open_bucketed(spark: SparkSession, path: str, part: str, sort_by: list[str]
 
 
 def build_bow_index(
-    tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS, themes: DataFrame | None = None
+    tokens: DataFrame, path: str, buckets: int | None = None, themes: DataFrame | None = None
 ) -> BowIndex:
     """Count the tokens, write the index to an empty folder and give it back as read.
 
     One exchange of token arrays: counting, sorting and writing happen in the same tasks.
     """
     spark = tokens.sparkSession
+    buckets = buckets or buckets_for(tokens)
     _write_info(spark, path, buckets)
     _write_bucketed(postings(tokens, buckets), path, "postings", buckets, ["term"])
     stored = _open_bucketed(spark, path, "postings", ["term"])
@@ -101,9 +109,10 @@ def open_bow_index(spark: SparkSession, path: str) -> BowIndex:
 
 
 def build_text_index(
-    tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS
+    tokens: DataFrame, path: str, buckets: int | None = None
 ) -> TextIndex:
     spark = tokens.sparkSession
+    buckets = buckets or buckets_for(tokens)
     _write_info(spark, path, buckets)
     _write_bucketed(text_postings(tokens, buckets), path, "postings", buckets, ["term"])
     stored = _open_bucketed(spark, path, "postings", ["term"])
@@ -128,8 +137,9 @@ def open_text_index(spark: SparkSession, path: str) -> TextIndex:
     )
 
 
-def save_tokens(tokens: DataFrame, path: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def save_tokens(tokens: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
     """Token arrays bucketed by document, so that a few documents are fetched by bucket."""
+    buckets = buckets or buckets_for(tokens)
     _write_info(tokens.sparkSession, path, buckets)
     sharded = shard_by_document(tokens, buckets)
     _write_bucketed(sharded, path, "tokens", buckets, ["doc_id"])

@@ -8,13 +8,21 @@ splits before it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import re
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Breaks, other than newline and carriage return, at which a line ends.
 OTHER_LINE_BREAKS = r"[\x0b\x0c\x1c-\x1e\x85  ]"
 BLANK_LINE = r"^[ \t\r]*$"
 
+SLASHES = "(?<=^file:)/+"
+
+# Columns of parsed rows; the data are in a struct, so that their names cannot clash.
+FILE, ROW_NO, DATA = "file", "row_no", "data"
+
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -97,27 +105,68 @@ def header_names(spark: SparkSession, path) -> list[str]:
     return reader.option("multiLine", True).csv(path).columns
 
 
-def parse_records(records: DataFrame, columns: list[str]) -> DataFrame:
-    """Fields of each record as strings; ``row_no`` is the row's position in its file."""
-    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
-    return (
-        records.filter(F.col("record_no") > 0)
-        .select(
-            "file",
-            (F.col("record_no") - 1).alias("row_no"),
-            F.from_csv("record", ddl, CSV_OPTIONS).alias("fields"),
-        )
-        .select("file", "row_no", "fields.*")
+def file_headers(spark: SparkSession, path) -> dict[str, list[str]]:
+    """The header of every file. Only the first record of each is read, several at a time."""
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip(files, pool.map(lambda f: header_names(spark, f), files)))
+
+
+def parse_records(records: DataFrame, headers: dict[str, list[str]]) -> DataFrame:
+    """Rows (FILE, ROW_NO, DATA): file, position in it, and a struct of string fields.
+
+    Fields are matched by name, so files may order their columns differently; files with other
+    columns than the first are an error.
+    """
+    names = next(iter(headers.values()), [])
+    odd = [f for f, h in headers.items() if sorted(h) != sorted(names)]
+    if odd:
+        raise ValueError(f"{odd[0]} has the columns {headers[odd[0]]}, others have {names}")
+    orders: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers.items():
+        orders.setdefault(tuple(header), []).append(file)
+
+    def parsed(header: tuple[str, ...]) -> Column:
+        ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in header)
+        data = F.from_csv("record", ddl, CSV_OPTIONS)
+        return data if list(header) == names else F.struct(*(data[c].alias(c) for c in names))
+
+    if not orders:
+        data = F.struct()
+    else:
+        usual, *others = sorted(orders, key=lambda h: -len(orders[h]))
+        data = parsed(usual)
+        for header in others:
+            # A local path is written with one slash or with three.
+            these = [re.sub(SLASHES, "/", f) for f in orders[header]]
+            file = F.regexp_replace("file", SLASHES, "/")
+            data = F.when(file.isin(these), parsed(header)).otherwise(data)
+    return records.filter(F.col("record_no") > 0).select(
+        F.col("file").alias(FILE), (F.col("record_no") - 1).alias(ROW_NO), data.alias(DATA)
     )
 
 
-def read_csv(spark: SparkSession, path, repair: bool = False) -> DataFrame:
-    """Rows of a CSV with header, every column a string, newlines inside quotes allowed.
+def read_rows(spark: SparkSession, path, repair: bool = False) -> DataFrame:
+    """Rows of a CSV with header as ``parse_records`` gives them, newlines inside quotes allowed.
 
     With ``repair`` the lines of a broken record are joined by one blank.
     """
     records = csv_records(spark, path, glue=" " if repair else "\n", every_break=repair)
-    return parse_records(records, header_names(spark, path))
+    return parse_records(records, file_headers(spark, path))
+
+
+def read_csv(spark: SparkSession, path, repair: bool = False) -> DataFrame:
+    """``read_rows`` with the data as columns. The columns for file and position get underscores
+    in front where the data have columns of these names."""
+    rows = read_rows(spark, path, repair)
+    taken = {c.lower() for c in rows.schema[DATA].dataType.fieldNames()}
+    places = []
+    for name in (FILE, ROW_NO):
+        free = name
+        while free in taken:
+            free = f"_{free}"
+        places.append(F.col(name).alias(free))
+    return rows.select(*places, f"{DATA}.*")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

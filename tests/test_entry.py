@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracles import TABLES, rows_of
+from termshard.registry.oracles import all_oracles
+from termshard.registry.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -25,7 +27,8 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship_has_rows(spark):

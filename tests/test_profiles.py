@@ -2,6 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from termshard.operators import skew
+from termshard.operators.skew import join_by_term
+from termshard.operators.stemming import distinct_terms
 from termshard.plans import cleaning, profiles as P
 from termshard.sources import records, stopwords
 
@@ -82,8 +84,21 @@ def test_stems_are_needed(spark, resources):
         P.analyse(texts(spark, "x"), P.NEWS, resources[0])
 
 
-def test_every_corpus_has_a_profile():
-    assert set(P.CORPORA.values()) <= set(P.PROFILES) and len(P.CORPORA) == 5
+def test_frequent_words_are_not_shuffled(spark, resources):
+    """Beyond a broadcast: a word that is everywhere is served by the broadcast part alone."""
+    rows = [("t", i, ["hot"] * 3 + [f"w{i % 70}"]) for i in range(300)] + [("t", 999, [])]
+    tokens = spark.createDataFrame(rows, "theme string, doc_id bigint, tokens array<string>")
+    terms = distinct_terms(tokens).withColumn("stem", F.upper("term"))
+    exploded = tokens.select("theme", "doc_id", F.posexplode_outer("tokens").alias("pos", "term"))
+    joined = join_by_term(exploded, terms, ["term"], broadcast=False, limit=100)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan
+    shuffled = exploded.dropna().join(
+        terms.filter("uses > 100").select("term"), "term", "left_anti"
+    )
+    assert shuffled.filter("term = 'hot'").count() == 0
+    got = {(r["doc_id"], r["pos"]): r["stem"] for r in joined.collect()}
+    assert got == {(d, i): w.upper() for _, d, ws in rows for i, w in enumerate(ws)} | {(999, None): None}
 
 
 def test_cleaning_job_counts_rows(spark, resources, tmp_path):

@@ -102,3 +102,31 @@ def test_missing_clean_column_names_the_columns(spark, tmp_path):
     write(tmp_path / "no.csv", [["1", "x"]])
     with pytest.raises(ValueError, match="clean_tokens.*id"):
         literals.read_clean_csv(spark, str(tmp_path / "no.csv"), "a")
+
+
+def test_columns_may_have_any_name(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('File,row_no,data,text\na,b,c,"d\ne"\n')
+    got = records.read_csv(spark, str(tmp_path / "f.csv"))
+    assert got.columns == ["_file", "_row_no", "File", "row_no", "data", "text"]
+    assert got.select("_row_no", "File", "row_no", "data", "text").first()[:] == (0, "a", "b", "c", "d\ne")
+    corpus = corpora.read_csv_corpus(spark, str(tmp_path / "f.csv"), "t", text_col="File")
+    assert [tuple(r) for r in corpus.collect()] == [("t", 0, "a")]
+
+
+def test_files_may_order_their_columns(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,text\n1,one\n")
+    (folder / "b.csv").write_text("text,id\ntwo,2\n")
+    (folder / "c.csv").write_text("id,text\n3,three\n")
+    corpus = corpora.read_csv_corpus(spark, str(folder), "t", id_col="id")
+    assert sorted(map(tuple, corpus.collect())) == [("t", 1, "one"), ("t", 2, "two"), ("t", 3, "three")]
+    (folder / "d.csv").write_text("id,other\n4,four\n")
+    with pytest.raises(ValueError):
+        records.read_rows(spark, str(folder))
+
+
+def test_a_quote_that_never_closes(spark, tmp_path):
+    (tmp_path / "o.csv").write_text('id,text\n1,fine\n2,"open\nend\n')
+    got = records.read_csv(spark, str(tmp_path / "o.csv")).orderBy("row_no").collect()
+    assert [r["id"] for r in got] == ["1", "2"] and got[0]["text"] == "fine"

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termshard.operators import stemming
-from termshard.operators.stem_english import english_stem
+from termshard.operators.stem_english import english_stem, shape
 from termshard.operators.stem_indonesian import with_indonesian_stem
 
 ENGLISH = """caresses caress flies fli dies die mules mule denied deni died die agreed agre
@@ -67,3 +67,17 @@ def test_hybrid_prefers_indonesian_then_english(spark):
     }
     with pytest.raises(ValueError):
         stemming.stem_map(terms, table(spark, []), "latin")
+
+
+def test_runs_of_y_of_any_length(spark):
+    """A y is a vowel after a consonant, letter by letter."""
+    words = [a + "y" * n + z for n in range(1, 201) for a in ("", "b", "a") for z in ("", "s", "e")]
+
+    def letters(word):
+        out = ""
+        for c in word:
+            out += "V" if c in "aeiou" or (c == "y" and out.endswith("C")) else "C"
+        return out
+
+    rows = table(spark, words).selectExpr("term", f"{shape('term')} AS shape").collect()
+    assert {r["term"]: r["shape"] for r in rows} == {w: letters(w) for w in words}
