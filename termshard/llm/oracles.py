@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from termshard.llm.common import UPPER
+from termshard.llm.risk_rules import CUTOFFS, GOOD_WEIGHT, RULES
+
+RISK, ERROR = 0.05, 0.05
 
 
 def lowered(text: str) -> str:
@@ -16,5 +21,117 @@ OP5 = f"""WITH normal AS (SELECT doc_id, {lowered('text')} AS norm FROM document
     SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM placed"""
 
 
+OP1 = """WITH calls AS (SELECT conv_id, turn, 'c' || turn AS call_id, text,
+        CASE WHEN role = 'user' THEN 'ask' ELSE 'configure' END AS name
+        FROM conversations WHERE role <> 'assistant'),
+    chosen AS (SELECT *, count(*) OVER (PARTITION BY conv_id, call_id) AS n_calls FROM calls
+        WHERE conv_id IS NOT NULL AND call_id IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY conv_id, call_id ORDER BY name, text) = 1),
+    answers AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, min(turn) AS result_turn,
+        min(text) AS result, count(*) AS n_results
+        FROM conversations WHERE role = 'assistant' GROUP BY 1, 2)
+    SELECT conv_id, call_id, name, turn, turn AS position, 0::BIGINT AS hops, result_turn, n_calls,
+        coalesce(n_results, 0) AS n_results, text IS NOT NULL OR name = 'configure' AS valid,
+        CASE WHEN text IS NULL AND name = 'ask' THEN 'missing text' ELSE '' END AS errors,
+        json_object('arguments', json_object('text', text, 'turn', turn), 'id', call_id,
+            'name', name, 'result', result)::VARCHAR AS record
+    FROM chosen LEFT JOIN answers USING (conv_id, call_id)"""
+
+
+def _strength(level: str) -> str:
+    """The prior strength of a relation with n, k and m."""
+    return f"""(SELECT CASE WHEN groups = 0 OR total <= groups OR spread <= groups THEN 1000.0
+            ELSE least(1000.0, greatest(1.0, 1 / ((spread - groups) / (total - groups)) - 1)) END
+        FROM (SELECT sum(n * (k / n - m) ** 2 / (m * (1 - m))) AS spread, count(*) AS groups, sum(n) AS total
+            FROM {level} WHERE n > 0 AND m * (1 - m) > 0))"""
+
+
+def _posterior(level: str, name: str, columns: str) -> str:
+    return f"""{name} AS (SELECT {columns}, (k + m * s) / (n + s) AS rate, n, s
+        FROM {level}, (SELECT {_strength(level)} AS s))"""
+
+
+def _host(url: str) -> str:
+    return f"translate(regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{UPPER.lower()}')"
+
+
+def _path(url: str) -> str:
+    return f"regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+OP2 = f"""WITH judged AS (SELECT page_id, url, {_host('url')} AS host, {_path('url')} AS path FROM pages),
+    known AS (SELECT host, count(*) AS n, sum(quality) AS k
+        FROM judged JOIN labels ON doc_id = try_cast(regexp_extract(path, '/([0-9]+)', 1) AS BIGINT)
+        WHERE quality IS NOT NULL GROUP BY host),
+    parts AS (SELECT host, string_split(host, '.') AS p, coalesce(n, 0) AS n, coalesce(k, 0) AS k
+        FROM (SELECT DISTINCT host FROM judged) LEFT JOIN known USING (host)),
+    hosts AS (SELECT host, p[-1] AS suffix, array_to_string(p[-2:], '.') AS domain, n, k FROM parts),
+    above AS (SELECT CASE WHEN sum(n) > 0 THEN (sum(k) + 0.5::DOUBLE) / (sum(n) + 1) ELSE 0.5 END AS m FROM hosts),
+    l1 AS (SELECT suffix, sum(n)::DOUBLE AS n, sum(k)::DOUBLE AS k, any_value(m) AS m FROM hosts, above GROUP BY suffix),
+    {_posterior('l1', 'p1', 'suffix')},
+    l2 AS (SELECT h.suffix, h.domain, sum(h.n)::DOUBLE AS n, sum(h.k)::DOUBLE AS k, any_value(rate) AS m
+        FROM hosts h JOIN p1 USING (suffix) GROUP BY h.suffix, h.domain),
+    {_posterior('l2', 'p2', 'suffix, domain')},
+    l3 AS (SELECT host, h.n::DOUBLE AS n, h.k::DOUBLE AS k, rate AS m FROM hosts h JOIN p2 USING (suffix, domain)),
+    {_posterior('l3', 'p3', 'host')},
+    bounds AS (SELECT host, rate, least(1.0, rate + 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + s + 1))) AS upper FROM p3),
+    rules(rule, verdict) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'),
+        ('org/fr/', 'allow')),
+    fits AS (SELECT page_id, rule, verdict FROM judged, rules
+        WHERE ('.' || host) LIKE '%.' || split_part(rule, '/', 1)
+          AND starts_with(path, substring(rule, strpos(rule, '/')))
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule DESC) = 1)
+    SELECT page_id, host, path, rule,
+        coalesce(verdict, CASE WHEN upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+        round(rate, 6) AS good_rate, round(upper, 6) AS upper
+    FROM judged JOIN bounds USING (host) LEFT JOIN fits USING (page_id)"""
+
+LIMIT = RISK / len(RULES)
+FEWEST = math.log(len(RULES) / ERROR) / -math.log1p(-LIMIT)
+OP9 = f"""WITH split AS (SELECT doc_id, lang, text,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+        FROM documents),
+    runs AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM split WHERE len(words) > 4),
+    twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS run FROM runs)
+        QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+        FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY doc_id),
+    counts AS (SELECT doc_id, lang, len(words) AS n_words,
+        coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        length(regexp_replace(coalesce(text, ''), '[^!]', '', 'g')) AS n_shouts,
+        length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_capitals, len(lines) AS n_lines
+        FROM split LEFT JOIN covered USING (doc_id)),
+    shares AS (SELECT doc_id, lang, unnest([
+            {{'rule': 'symbols', 'share': coalesce(n_symbols / nullif(n_words, 0), 0)}},
+            {{'rule': 'dup_lines', 'share': coalesce(n_dup_lines / nullif(n_lines, 0), 0)}},
+            {{'rule': 'repeats', 'share': coalesce(n_repeat_words / nullif(n_words, 0), 0)}},
+            {{'rule': 'shouts', 'share': coalesce(n_shouts / nullif(n_words, 0), 0)}},
+            {{'rule': 'capitals', 'share': coalesce(n_capitals / nullif(word_chars, 0), 0)}}], recursive := true)
+        FROM counts),
+    outcome AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+    cells AS (SELECT lang, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 0) AS m,
+        count(*) FILTER (good = 1 AND share >= cutoff) AS k, count(*) FILTER (good = 0 AND share >= cutoff) AS b
+        FROM shares JOIN outcome USING (doc_id), (SELECT unnest({list(CUTOFFS)})::DOUBLE AS cutoff)
+        GROUP BY lang, rule, cutoff HAVING count(*) FILTER (good = 1) >= {FEWEST!r}),
+    tested AS (SELECT *, (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM cells)) AS tests,
+        max(CASE WHEN k < n * {LIMIT!r}::DOUBLE THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1)
+                - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({LIMIT!r}::DOUBLE) + (n - i) * ln(1 - {LIMIT!r}::DOUBLE))))
+            ELSE 1.0 END) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS worst FROM cells),
+    chosen AS (SELECT lang, rule, cutoff FROM tested WHERE worst <= {ERROR!r}::DOUBLE / tests AND b > 0
+        QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY b / m - {GOOD_WEIGHT} * (k / n) DESC, cutoff DESC) = 1),
+    failed AS (SELECT DISTINCT doc_id FROM shares s JOIN chosen c
+        ON s.rule = c.rule AND s.lang IS NOT DISTINCT FROM c.lang WHERE share >= cutoff)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND f.doc_id IS NULL AS kept
+    FROM counts LEFT JOIN failed f USING (doc_id)"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_content_sort": OP5}
+    return {
+        "op1_tool_calls": OP1, "op2_host_reputation": OP2, "op5_content_sort": OP5,
+        "op9_risk_controlled_rules": OP9,
+    }
