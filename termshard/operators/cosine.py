@@ -11,10 +11,12 @@ from termshard.functions.display import document_key, preview, shown_score
 from termshard.functions.tokens import MIN_INDEXED_LENGTH
 from termshard.operators import bow
 from termshard.operators.bounds import (
+    BROADCAST_BYTES,
     BROADCAST_ROWS,
     broadcast_if_small,
     counted_values,
     fits_broadcast,
+    measured_size,
     listed,
     materialized,
     one_of,
@@ -73,10 +75,16 @@ def query_weights(terms: DataFrame, vocabulary: DataFrame, small: bool = False)
     )
 
 
-def scores(terms: DataFrame, index: BowIndex, limit: int | None = None) -> DataFrame:
-    """``(query_id, theme, doc_id, similarity_score)`` of every document that shares a word."""
+def scores(
+    terms: DataFrame, index: BowIndex, limit: int | None = None, small: bool | None = None
+) -> DataFrame:
+    """``(query_id, theme, doc_id, similarity_score)`` of every document that shares a word.
+    ``small``: whether the query side may be broadcast; it is measured if not given."""
     rows, words = counted_values(terms, "term")
-    small = rows * max(index.themes.count(), 1) <= BROADCAST_ROWS
+    if small is None:
+        size = measured_size(terms)[1] if words is None else 0  # listed words are few
+        themes = max(index.themes.count(), 1)
+        small = rows * themes <= BROADCAST_ROWS and size * themes <= BROADCAST_BYTES
     postings, vocabulary = index.postings, index.vocabulary
     if words is not None:
         postings = postings.filter(one_of("term", words))
@@ -98,9 +106,11 @@ def scores(terms: DataFrame, index: BowIndex, limit: int | None = None) -> DataF
     ).filter("similarity_score > 0")
 
 
-def search_each(queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS) -> DataFrame:
+def search_each(
+    queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS, small: bool | None = None
+) -> DataFrame:
     """The best ``n`` documents of every theme for every query."""
-    scored = scores(query_terms(queries), index)
+    scored = scores(query_terms(queries), index, small=small)
     order = [by_score("similarity_score", COSINE_DIGITS), F.col("doc_id")]
     return top_n(scored, n, ["query_id", "theme"], order, rank="theme_rank")
 

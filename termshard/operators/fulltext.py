@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 from termshard.functions.display import document_key
 from termshard.functions.tokens import ENGLISH_STOP_WORDS, drop_short, drop_words, indexed_words
 from termshard.operators.bounds import (
+    BROADCAST_BYTES,
     BROADCAST_ROWS,
     broadcast_if_small,
     counted_values,
     listed,
     materialized,
+    measured_size,
     one_of,
 )
 from termshard.operators.bow import DOCUMENT, shard_by_document
@@ -280,7 +282,7 @@ def _weights(
 
 
 def _clause_hits(
-    clauses: DataFrame, shape: _Shape, index: TextIndex, limit: int | None
+    clauses: DataFrame, shape: _Shape, index: TextIndex, limit: int | None, small: bool | None
 ) -> DataFrame:
     """``(query_id, theme, doc_id, clause_id, score)``: the documents each clause matches.
 
@@ -291,8 +293,10 @@ def _clause_hits(
     if shape.kinds & set(EXPANDED):
         wanted = materialized(wanted)
     rows, terms = counted_values(wanted, "term")
-    n_themes = max(index.corpus_stats.count(), 1)
-    small = rows * n_themes <= BROADCAST_ROWS
+    if small is None:
+        themes = max(index.corpus_stats.count(), 1)
+        size = measured_size(wanted)[1] if terms is None else 0  # listed terms are few
+        small = rows * themes <= BROADCAST_ROWS and size * themes <= BROADCAST_BYTES
     postings, vocabulary, corpus = index.postings, index.vocabulary, index.corpus_stats
     if terms is not None:
         postings = postings.filter(one_of("term", terms))
@@ -346,15 +350,18 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
     )
 
 
-def matches(clauses: DataFrame, index: TextIndex, limit: int | None = None) -> DataFrame:
-    """``(query_id, theme, doc_id, score)`` of every hit, unranked."""
+def matches(
+    clauses: DataFrame, index: TextIndex, limit: int | None = None, small: bool | None = None
+) -> DataFrame:
+    """``(query_id, theme, doc_id, score)`` of every hit, unranked. ``small``: whether the query
+    side may be broadcast; it is measured if not given."""
     if clauses.isEmpty():
         raise ValueError("there are no clauses")
     clauses = analysed_clauses(clauses)
     shape = _shape_of(clauses)
     hits = None
     if shape.kinds - {"id"}:
-        hits = _clause_hits(clauses, shape, index, limit)
+        hits = _clause_hits(clauses, shape, index, limit, small)
     if "id" in shape.kinds:
         by_id = _id_hits(clauses, index)
         hits = by_id if hits is None else hits.unionByName(by_id)
@@ -400,12 +407,13 @@ def search(
     index: TextIndex,
     limit: int = DEFAULT_HITS,
     theme: str | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """The best ``limit`` hits of each query in every theme, or in one."""
     checked_count(limit)
     chosen = index if theme is None else index.only(theme)
     order = [by_score("score", SUM_DIGITS), F.col("doc_id")]
-    hits = top_n(matches(clauses, chosen), limit, ["query_id", "theme"], order)
+    hits = top_n(matches(clauses, chosen, small=small), limit, ["query_id", "theme"], order)
     return hits.select(
         "query_id",
         document_key(F.col("theme"), F.col("doc_id")).alias("id"),

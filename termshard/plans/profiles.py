@@ -77,10 +77,14 @@ def term_table(
     return stems.select("term", "stem", "uses").unionByName(gone)
 
 
-def map_tokens(tokens: DataFrame, table: DataFrame, keep_unknown: bool = False) -> DataFrame:
+def map_tokens(
+    tokens: DataFrame, table: DataFrame, keep_unknown: bool = False, fits: bool | None = None
+) -> DataFrame:
     """Replace each token by its stem, order kept, and drop those without one, unless
-    ``keep_unknown``; documents that lose all their tokens stay."""
-    fits = fits_broadcast(table)
+    ``keep_unknown``; documents that lose all their tokens stay. ``fits``: whether the table may
+    be broadcast; it is measured if not given."""
+    if fits is None:
+        fits = fits_broadcast(table)
     if fits:
         table = table.filter("stem is not null")
     rows = shard_by_document(tokens).select(
@@ -108,6 +112,7 @@ def analyse(
     stop: StopWords,
     roots: DataFrame | None = None,
     table: DataFrame | None = None,
+    fits: bool | None = None,
 ) -> DataFrame:
     """``(theme, doc_id, tokens)`` of a corpus under a profile.
 
@@ -121,7 +126,7 @@ def analyse(
         words = materialized(words)
         terms = materialized(distinct_terms(words))
         table = materialized(term_table(terms, profile, stop, roots))
-    return map_tokens(words, table)
+    return map_tokens(words, table, fits=fits)
 
 
 def analyse_queries(

@@ -534,5 +534,22 @@ SELECT query_id, rank::BIGINT AS rank, theme, doc_id"""
         **{name: clause_sql(name) for name in Q.CLAUSE_QUERIES},
         "corpus_stats": """SELECT source AS theme, count(*) AS n_docs, grouping(source)::BIGINT AS is_total
             FROM documents GROUP BY ROLLUP (source)""",
+        "cleaning_report": """SELECT 'all' AS theme, count(*) AS rows_read, count(*) AS rows_written
+            FROM documents""",
+        "column_check": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, {found}::BIGINT AS found, count(*) AS n_rows FROM {t}"
+            for t, found in (("documents", 1), ("pages", 0), ("benchmark", 1), ("labels", 0))),
+        "blank_and_null": f"""SELECT doc_id AS query_id,
+            CASE WHEN doc_id % 3 = 2 THEN len({split_sql(plain_sql('text'))}) ELSE 0 END AS n_tokens,
+            (doc_id % 3 = 2 AND {squeeze_sql('text')} <> '')::BIGINT AS asked FROM documents""",
+        "stored_tokens": f"WITH {TOKS} SELECT theme, doc_id, {joined('tokens')} AS tokens FROM toks",
+        "searchable_report": """SELECT theme, loaded::BIGINT AS loaded, searchable::BIGINT AS searchable,
+            loaded * n AS n_docs FROM (VALUES ('indexed', 1, 1), ('unindexed', 1, 0), ('empty', 1, 0),
+            ('missing', 0, 0)) t(theme, loaded, searchable), (SELECT count(*) AS n FROM documents)""",
+        "profile_large_terms": profile_sql(kept(THESIS_TOKENS), hybrid=False),
+        "cosine_large_batch": per_theme_sql("true", 3),
+        "bm25_large_batch": bm25_sql(required=False),
+        "stats_ordered": """SELECT source AS theme, count(*) AS n_docs,
+            row_number() OVER (ORDER BY source DESC) - 1 AS ordinal FROM documents GROUP BY source""",
         "loaded_themes": """SELECT count(DISTINCT source) AS n_themes, count(*) AS n_docs FROM documents""",
     }

@@ -163,6 +163,74 @@ def cleaning_job(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target).select("theme", "doc_id", _joined("tokens"))
 
 
+def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
+    source, target = scratch_path(spark, "raw-csv"), scratch_path(spark, "clean")
+    records.write_csv(_table(spark, folder, "documents"), source)
+    report = cleaning.clean_corpus(
+        spark, source, target, "all", P.THESIS, stop(spark), roots(spark, folder), id_col="doc_id"
+    )
+    row = (report.theme, report.rows_read, report.rows_written)
+    return spark.createDataFrame([row], "theme string, rows_read bigint, rows_written bigint")
+
+
+def column_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Which tables have a text column, by the check that a load makes, and their rows."""
+    checked = None
+    for name in ("documents", "pages", "benchmark", "labels"):
+        table, found = _table(spark, folder, name), 1
+        try:
+            literals.require_column(table, "text")
+        except ValueError:
+            found = 0
+        row = table.agg(F.count("*").alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(found).cast("bigint").alias("found"), "n_rows"
+        )
+        checked = row if checked is None else checked.unionByName(row)
+    return checked
+
+
+def blank_and_null(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the texts missing, a third blank: both have no words and ask nothing."""
+    third = F.col("doc_id") % 3
+    text = F.when(third == 1, F.lit(" \t ")).when(third == 2, F.col("text"))
+    given = documents(spark, folder).select(F.col("doc_id").alias("query_id"), text.alias("text"))
+    words = given.select("query_id", F.size(K.split_words(N.plain(F.col("text")))).alias("n"))
+    asked = analysed(given).select("query_id", F.lit(1).cast("bigint").alias("asked"))
+    return words.join(asked, "query_id", "left").select(
+        "query_id", F.greatest(F.col("n"), F.lit(0)).cast("bigint").alias("n_tokens"),
+        F.coalesce("asked", F.lit(0).cast("bigint")).alias("asked"),
+    )
+
+
+def stored_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    index_store.save_tokens(tokens(spark, folder), path)
+    stored = index_store.open_tokens(spark, path)
+    return stored.select("theme", "doc_id", _joined("tokens"))
+
+
+def searchable_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A corpus with an index, one without, one of empty documents, and one that is missing."""
+    full, empty = scratch_path(spark, "clean"), scratch_path(spark, "clean")
+    words = tokens(spark, folder)
+    words.select("doc_id", "tokens").write.parquet(full)
+    nothing = F.array().cast("array<string>").alias("tokens")
+    words.select("doc_id", nothing).write.parquet(empty)
+    themes = [
+        corpora.Theme("indexed", full), corpora.Theme("unindexed", full),
+        corpora.Theme("empty", empty), corpora.Theme("missing", full + "-none"),
+    ]
+    loaded = corpora.load_corpora(spark, themes)
+    index = index_store.build_bow_index(
+        loaded.tokens.filter("theme IN ('indexed', 'empty')"), scratch_path(spark, "bow")
+    )
+    report = corpora.load_corpora(spark, themes, index=index).report
+    return report.select(
+        "theme", F.col("loaded").cast("bigint").alias("loaded"),
+        F.col("searchable").cast("bigint").alias("searchable"), "n_docs",
+    )
+
+
 # --- normal forms and token filters --------------------------------------------------------
 
 
@@ -257,6 +325,14 @@ def _profile(profile: P.Profile, text: Callable[[Column], Column] = lambda c: c)
     return run
 
 
+def profile_large_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """A profile as it runs where the table of words is too large for a broadcast."""
+    clean = P.analyse(
+        documents(spark, folder), P.THESIS, stop(spark), roots(spark, folder), fits=False
+    )
+    return clean.select("theme", "doc_id", _joined("tokens"))
+
+
 # --- bag of words --------------------------------------------------------------------------
 
 
@@ -320,6 +396,13 @@ def cosine_all(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(cosine.search_all(analysed(benchmark_queries(spark, folder)), index))
 
 
+def cosine_large_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The search as it runs where the queries are too many for a broadcast."""
+    index = cosine.bow_index(tokens(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
+    return _shown(cosine.search_each(queries, index, 3, small=False))
+
+
 def cosine_batch(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
     return _shown(cosine.search_all(analysed(spoken_queries(spark, folder)), index, 10))
@@ -391,6 +474,12 @@ def bm25_or(spark: SparkSession, folder: str) -> DataFrame:
     return _hits(fulltext.search(clauses, index))
 
 
+def bm25_large_batch(spark: SparkSession, folder: str) -> DataFrame:
+    index = fulltext.text_index(tokens(spark, folder))
+    clauses = fulltext.text_clauses(benchmark_queries(spark, folder), occur="should")
+    return _hits(fulltext.search(clauses, index, small=False))
+
+
 def bm25_stored(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "text")
     index = index_store.build_text_index(tokens(spark, folder), path, 8)
@@ -486,6 +575,13 @@ def corpus_stats(spark: SparkSession, folder: str) -> DataFrame:
     return totals.withColumn("is_total", F.col("is_total").cast("bigint"))
 
 
+def stats_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    words = tokens(spark, folder)
+    names = sorted((r["theme"] for r in words.select("theme").distinct().collect()), reverse=True)
+    counted = stats.documents_per_theme(words, corpora.themes_table(spark, names))
+    return counted.select("theme", F.col("ordinal").cast("bigint").alias("ordinal"), "n_docs")
+
+
 def loaded_themes(spark: SparkSession, folder: str) -> DataFrame:
     return stats.loaded_themes(tokens(spark, folder))
 
@@ -544,4 +640,8 @@ def all_queries() -> dict[str, Query]:
         **{name: _clause_query(name) for name in CLAUSE_QUERIES},
         "corpus_stats": corpus_stats,
         "loaded_themes": loaded_themes,
+        **{f.__name__: f for f in (
+            cleaning_report, column_check, blank_and_null, stored_tokens, searchable_report,
+            profile_large_terms, cosine_large_batch, bm25_large_batch, stats_ordered,
+        )},
     }
