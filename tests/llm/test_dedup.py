@@ -99,7 +99,8 @@ def test_chains_and_a_large_group(spark):
 
 def test_odd_rows_have_near_duplicates(odd, none):
     got = by_key(minhash.near_duplicates(odd, 3, 85).collect())
-    assert got[1][0]["component_id"] == got[2][0]["component_id"] == 1
+    assert got[1][0]["component_id"] == 1
+    assert sorted(r["component_id"] for r in got[2]) == [1, 1, 2]  # the key's other text is alone
     assert got[7][0]["component_id"] == 6 and got[7][0]["n_shingles"] == 977
     assert [r["kept"] for r in got[None]] == [True, True]
     assert (got[3][0]["n_shingles"], got[3][0]["component_id"], got[3][0]["kept"]) == (0, 3, True)
