@@ -16,7 +16,9 @@ Links are found and confirmed on full sets in steps, each on less than the one b
 4. Buckets whose members are then in several components: a link between two of them is
    possible only if the bound of step 2 allows it and their distances to the centre differ by at
    most 1 - similarity (Jaccard distance is a metric). Members outside the bucket's
-   largest component are compared with those. This makes the links whole.
+   largest component are compared with those. In buckets of more than FEW members pairs come
+   from a join on rare shingles instead (prefix and position filter), whose rows don't grow
+   with the square of the bucket. Either way no link is lost.
 
 With 48 bands of 6 a pair at similarity 0.85 shares no bucket with probability 1e-10, at 0.8
 (64 bands of 6 are taken there) with 4e-9.
@@ -31,7 +33,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termshard.llm.common import materialized
@@ -40,6 +42,7 @@ from termshard.llm.encoding import Store
 from termshard.operators.bounds import broadcast_if_small
 
 ROWS = 6
+FEW = 32
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -160,6 +163,27 @@ def _linked(percent: int) -> Column:
     return F.expr(f"100 * both >= {percent} * (na + nb - both)")
 
 
+def _rare_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``docs`` (id, n, root, outside) that may be linked, by prefix and position.
+
+    With the shingles of all sets in one order, rarest first, two linked sets have a shingle in
+    common among the first of each, as many as may be missing and one; and at the first they
+    have in common, what follows must be enough for the similarity. One of a pair is outside.
+    """
+    held = sets.join(docs, "id").select("id", "n", "root", "outside", F.explode("shingles").alias("s"))
+    count = held.groupBy("s").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("id").orderBy("df", "s")
+    first = held.join(count, "s").withColumn("at", F.row_number().over(order) - 1)
+    first = materialized(first.filter(f"at <= n - ceil({percent} * n / 100)"))
+    x, y = first.filter("outside").alias("x"), first.alias("y")
+    may_link = (
+        (F.col("x.s") == F.col("y.s")) & (F.col("x.root") != F.col("y.root"))
+        & (~F.col("y.outside") | (F.col("x.id") < F.col("y.id")))
+        & F.expr(f"(100 + {percent}) * least(x.n - x.at, y.n - y.at) >= {percent} * (x.n + y.n)")
+    )
+    return x.join(y, may_link).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
@@ -222,17 +246,20 @@ def near_duplicates(
     )
     named = live.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("m"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("m", "root")).alias("l"), F.count("*").alias("k"))
-    largest = largest.filter("k > 1").select("bucket", F.col("l.root").alias("main"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max(F.struct("m", "root")).alias("l"), F.count("*").alias("k"), F.sum("m").alias("size")
+    )
+    largest = largest.filter("k > 1").select("bucket", F.col("l.root").alias("main"), "size")
     named = named.join(largest, "bucket").join(far, ["id", "centre"], "left")
     ratio = -math.log(percent / 100)
     named = materialized(
         named.filter("id <> centre").select(
-            "bucket", "id", "n", "c", "root", "main", "far", F.floor(F.log("n") / ratio).alias("scale")
+            "bucket", "id", "n", "c", "root", "main", "far", "size", F.floor(F.log("n") / ratio).alias("scale")
         )
     )
-    near = named.withColumn("scale", F.explode(F.expr("array(scale - 1, scale, scale + 1)")))
-    x, y = named.filter("root <> main").alias("x"), near.alias("y")
+    few = named.filter(F.col("size") <= FEW)
+    near = few.withColumn("scale", F.explode(F.expr("array(scale - 1, scale, scale + 1)")))
+    x, y = few.filter("root <> main").alias("x"), near.alias("y")
     apart = F.abs(F.col("x.far") - F.col("y.far"))
     left_open = (
         (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.scale") == F.col("y.scale"))
@@ -242,6 +269,10 @@ def near_duplicates(
         & F.coalesce(apart <= 1 - percent / 100 + 1e-9, F.lit(True))
     )
     pairs = x.join(y, left_open).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    many = named.filter(F.col("size") > FEW).groupBy("id").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("outside")
+    )
+    pairs = pairs.union(_rare_pairs(many, sets, percent))
     last = materialized(_compared(pairs.distinct(), sets).filter(_linked(percent)))
     found = roots if last.isEmpty() else components(links.union(last.select("a", "b")))
 
