@@ -56,18 +56,24 @@ def listed(df: DataFrame, column: str, limit: int = LISTED_VALUES) -> list | Non
 def counted_values(df: DataFrame, column: str) -> tuple[int, list | None]:
     """The number of rows and, if they are few enough to be pushed into a scan, the distinct
     values. One job where they are few, a second one where they are not."""
-    groups = df.groupBy(column).agg(F.count("*").alias("n")).limit(PUSHED_VALUES + 1).collect()
-    if len(groups) > PUSHED_VALUES:
+    groups = df.groupBy(column).agg(F.count("*").alias("n")).limit(LISTED_VALUES + 1).collect()
+    if len(groups) > LISTED_VALUES:
         return measured_size(df)[0], None
     return sum(g["n"] for g in groups), sorted(g[0] for g in groups if g[0] is not None)
 
 
-def one_of(column: str, values: list) -> Column:
-    """Equal to one of the values. A Parquet scan skips pages by single equalities, but turns
-    a longer IN list into its range."""
-    if 0 < len(values) <= PUSHED_VALUES:
+def one_of(column: str, values: list, ranges: bool = True) -> Column:
+    """True for the sorted values, to prune a scan ahead of a join on them. A Parquet scan skips
+    pages by single equalities, but turns an IN list into its range: beyond PUSHED_VALUES
+    the filter is that many short ranges, which hold some other values too; without ``ranges``
+    it stays a list, from which Spark picks the buckets of a bucketed column."""
+    if not values or (len(values) > PUSHED_VALUES and not ranges):
+        return F.col(column).isin(values)
+    if len(values) <= PUSHED_VALUES:
         return reduce(or_, [F.col(column) == v for v in values])
-    return F.col(column).isin(values)
+    size = -(-len(values) // PUSHED_VALUES)
+    parts = [values[i : i + size] for i in range(0, len(values), size)]
+    return reduce(or_, [F.col(column).between(part[0], part[-1]) for part in parts])
 
 
 def shared_dir(spark: SparkSession) -> str:

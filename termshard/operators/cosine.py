@@ -153,7 +153,7 @@ def with_content(hits: DataFrame, tokens: DataFrame) -> DataFrame:
     content = tokens.select(*document, F.col("tokens").alias("content"))
     ids = listed(hits, "doc_id")
     if ids is not None:
-        content = content.filter(one_of("doc_id", ids))
+        content = content.filter(one_of("doc_id", ids, ranges=False))
     keys = hits.select(*document).distinct()
     if fits_broadcast(keys):
         content = content.join(F.broadcast(keys), document, "left_semi")

@@ -344,7 +344,7 @@ def _id_hits(clauses: DataFrame, index: TextIndex) -> DataFrame:
     found = index.doc_stats.select(*DOCUMENT)
     keys = listed(ids, "doc_id")
     if keys is not None:
-        found = found.filter(one_of("doc_id", keys))
+        found = found.filter(one_of("doc_id", keys, ranges=False))
     return ids.join(found, list(DOCUMENT)).select(
         "query_id", "theme", "doc_id", "clause_id", "score"
     )

@@ -4,7 +4,7 @@ from math import sqrt
 import pytest
 from pyspark.sql import functions as F
 
-from termshard.operators import bow, skew
+from termshard.operators import bounds, bow, skew
 
 
 def counts(corpus):
@@ -81,3 +81,15 @@ def test_hot_and_cold_keys_join_like_a_plain_join(corpus_df, limit):
     got = skew.join_by_term(rows, table, ["term"], broadcast=False, limit=limit)
     expected = rows.withColumn("value", F.when(F.col("term") != "w3", F.upper("term")))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_many_values_prune_by_ranges(spark):
+    values = sorted(f"w{i:03}" for i in range(0, 600, 3))
+    rows = spark.createDataFrame([(f"w{i:03}",) for i in range(700)], "term string")
+    kept = {r["term"] for r in rows.filter(bounds.one_of("term", values)).collect()}
+    assert set(values) <= kept and len(kept) < 600
+    few = rows.filter(bounds.one_of("term", values[:5])).collect()
+    assert [r["term"] for r in few] == values[:5]
+    assert rows.filter(bounds.one_of("term", [])).count() == 0
+    n, listed = bounds.counted_values(rows.filter(rows.term.isin(values)), "term")
+    assert (n, listed) == (200, values)
