@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termshard.llm.common import materialized, whole
+from termshard.operators.bounds import broadcast_if_small
 
 BLANK = r"[ \t-\r]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -28,7 +29,6 @@ WINDOW = 5
 RULES = ("symbols", "dup_lines", "repeats", "shouts", "capitals")
 CUTOFFS = (0.9, 0.7, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02)
 GOOD_WEIGHT = 5
-MAX_STRATA = 10_000
 
 
 def _repeated(windows: str, width: int) -> Column:
@@ -101,8 +101,8 @@ def calibrated(shares: DataFrame, labels: DataFrame, risk: float, error: float)
     """One row per stratum with a usable cutoff: ``_stratum`` and ``_cutoffs``, rule to cutoff.
 
     ``shares``: doc_id, stratum and rule shares. ``labels``: doc_id and quality; a document
-    with several labels is good if all are 1; null labels don't count. At most MAX_STRATA
-    strata, those with most labels, get cutoffs; elsewhere no rule rejects.
+    with several labels is good if all are 1; null labels don't count. A stratum with fewer good
+    labels than one rule alone would need is not tested; there no rule rejects.
     """
     outcome = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_good"))
     known = shares.join(outcome.withColumnRenamed("doc_id", "_id"), "_id")
@@ -119,7 +119,7 @@ def calibrated(shares: DataFrame, labels: DataFrame, risk: float, error: float)
     )
     limit = risk / len(RULES)
     fewest = math.log(len(RULES) / error) / -math.log1p(-limit)
-    counts = materialized(counts.filter(F.col("n") >= fewest).orderBy(F.desc("n")).limit(MAX_STRATA * len(RULES)))
+    counts = materialized(counts.filter(F.col("n") >= fewest))
     tests = max(1, counts.count())
     grid = F.array(*(F.struct(F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("b")) for i, c in enumerate(CUTOFFS)))
     each = counts.select("_stratum", "rule", "n", "m", F.explode(grid).alias("g")).select("_stratum", "rule", "n", "m", "g.*")
@@ -136,8 +136,8 @@ def calibrated(shares: DataFrame, labels: DataFrame, risk: float, error: float)
 
 
 def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """``rows`` with ``kept``. At most MAX_STRATA rows are broadcast."""
-    cut = F.broadcast(cutoffs.withColumnRenamed("_stratum", "_s"))
+    """``rows`` with ``kept``. Cutoffs are broadcast if their measured size allows."""
+    cut = broadcast_if_small(materialized(cutoffs.withColumnRenamed("_stratum", "_s")))
     fails = [F.coalesce(F.col(f"_{r}") >= F.col("_cutoffs")[r], F.lit(False)) for r in RULES]
     failed = F.col("base_failed")
     for f in fails:
@@ -173,4 +173,4 @@ def keep_quality(
     once for the cutoffs and once to filter, so that they are never shuffled."""
     rows = measured(docs, text).withColumns({"_id": F.col("_row")[key], "_stratum": F.col("_row")[stratum]})
     cutoffs = calibrated(rows.drop("_row"), labels, risk, error)
-    return _judged(rows, materialized(cutoffs)).filter("kept").select("_row.*")
+    return _judged(rows, cutoffs).filter("kept").select("_row.*")

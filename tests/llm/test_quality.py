@@ -51,6 +51,16 @@ def test_cutoffs_hold_the_risk(spark):
     assert kept.columns == docs.columns and kept.count() == got.filter("kept").count()
 
 
+def test_every_stratum_with_enough_labels_has_cutoffs(spark):
+    """More strata than any fixed number: bad documents are full of symbols in all of them."""
+    strata = 10_300
+    rows = spark.range(4 * strata).selectExpr("id AS _id", f"id % {strata} AS _stratum", f"id DIV {strata} AS turn")
+    shares = rows.selectExpr("_id", "_stratum", "IF(turn = 3, 1.0D, 0.0D) AS _symbols", *(f"0.0D AS _{r}" for r in risk_rules.RULES[1:]))
+    labels = rows.selectExpr("_id AS doc_id", "IF(turn = 3, 0, 1) AS quality")
+    got = risk_rules.calibrated(shares, labels, risk=4.995, error=0.05)
+    assert got.count() == strata and got.filter("_cutoffs['symbols'] IS NULL").count() == 0
+
+
 def test_odd_tables_are_filtered(odd, none, spark):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 0), (2, 0), (2, 1)], "doc_id bigint, quality int")
     kept = risk_rules.keep_quality(odd, labels)
