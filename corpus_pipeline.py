@@ -32,6 +32,7 @@ def temperature_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the sequences, with their ids, and gives the pieces that are read from them."""
     return pack_documents(docs)
 
 

@@ -7,7 +7,8 @@ the largest weighted dot product of piece and residual (``rule="dot"``); if none
 
 Spark deals the pieces out in groups of about ``group_pieces`` rows, a number that doesn't grow
 with the data, and packs each group as a task of its own. A group leaves about one sequence
-less than full, so it costs a small fraction of a percent.
+less than full, so it costs a small fraction of a percent. The ids travel with their pieces, and
+the task that packs a group puts its sequences together.
 """
 
 from __future__ import annotations
@@ -18,20 +19,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized
+from termshard.llm.common import materialized, scratch_path
 from termshard.llm.encoding import default_path, encoder
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint"
+SPAN = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
+SEQUENCES = f"sequence_id bigint, length bigint, ids binary, pieces array<{SPAN}>"
+DIGEST = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
 def cut_pieces(
     docs: DataFrame, size: int = 2048, end_id: int = 0, path: str | None = None,
     text: str = "text", key: str = "doc_id",
 ) -> DataFrame:
-    """Every document as ids with an end id, cut where it is longer than ``size``.
+    """Every document as ids with an end id, cut where it is longer than ``size``: doc_id, piece,
+    start, length, ``ids`` (little-endian, of two bytes each where the tokenizer's ids fit, else
+    four) and ids_crc32, the checksum of the ids in four bytes each.
 
     A null or empty text is the end id alone. Rows with repeated or null keys are documents
     of their own. No rows give no rows; other columns are ignored.
@@ -40,23 +46,26 @@ def cut_pieces(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(path).encode, np.array([end_id], "<u4")
+        most = max(encoder(path).tokenizer.get_vocab(with_added_tokens=True).values())
+        width = "<u2" if max(most, end_id) < 1 << 16 else "<u4"
         for batch in batches:
-            rows, docs_left = [], iter(batch.column(0).to_pylist())
+            docs_left = iter(batch.column(0).to_pylist())
             for flat, bounds in encode(batch.column(1)):
+                rows = []
                 for at, to in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     doc, ids = next(docs_left), np.concatenate([flat[at:to], end])
                     for piece, start in enumerate(range(0, len(ids), size)):
                         part = ids[start : start + size]
-                        rows.append((doc, piece, start, len(part), zlib.crc32(part)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, TYPES)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+                        rows.append((doc, piece, start, len(part), part.astype(width).tobytes(), zlib.crc32(part)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, TYPES)],
+                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"],
+                )
 
     return docs.select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(work, PIECES)
 
 
-TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
 
 
 def best_fit(
@@ -102,15 +111,16 @@ def pack_pieces(
     pieces: DataFrame, size: int = 2048, documents: int | None = None,
     attention: int | None = None, rule: str = "norm", group_pieces: int = 8_192,
 ) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; offsets of a sequence leave no gap.
+    """The sequences of ``pieces``: sequence_id, ``length``, ``ids``, and ``pieces``, the spans
+    (doc_id, piece, start, length, offset) in the order of their offsets, which leave no gap.
 
     Without ``documents`` or ``attention`` that capacity is the largest a sequence can use.
     Equal lengths are placed in the order of doc_id and piece.
     """
     documents = documents or size
     attention = attention or size * size
-    schema = pieces.withColumns({c: F.lit(0).cast("bigint") for c in ("sequence_id", "offset")}).schema
-    numbered = materialized(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    own = pieces.select("doc_id", "piece", "start", "length", "ids")
+    numbered = materialized(own.withColumn("_row", F.monotonically_increasing_id()))
     groups = max(1, -(-numbered.count() // group_pieces))
 
     def work(rows: pa.Table) -> pa.Table:
@@ -118,13 +128,59 @@ def pack_pieces(
         rows = rows.take(pc.sort_indices(rows, sort_keys=order))
         bins, offsets = best_fit(rows["length"].to_numpy(), size, documents, attention, rule=rule)
         group = rows["_group"][0].as_py()
-        rows = rows.append_column("sequence_id", pa.array((group << 32) + bins))
-        return rows.append_column("offset", pa.array(offsets)).drop_columns(["_row", "_group"])
+        placed = np.lexsort((offsets, bins))
+        rows = rows.append_column("offset", pa.array(offsets)).take(placed).combine_chunks()
+        bins = bins[placed]
+        first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
+        ends = np.r_[first, len(bins)]
+        tokens = np.r_[0, np.cumsum(rows["length"].to_numpy())][ends]
+        names = ("doc_id", "piece", "start", "length", "offset")
+        spans = pa.StructArray.from_arrays([rows[n].combine_chunks() for n in names], names)
+        data = b"".join(rows["ids"].to_pylist())
+        at = (tokens * (len(data) // tokens[-1])).astype("<i4")
+        ids = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(data)])
+        return pa.table({
+            "sequence_id": (group << 32) + bins[first], "length": np.diff(tokens), "ids": ids,
+            "pieces": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans),
+        })
 
     grouped = numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    return grouped.groupBy("_group").applyInArrow(work, schema)
+    return grouped.groupBy("_group").applyInArrow(work, SEQUENCES)
 
 
-def pack_documents(docs: DataFrame, size: int = 2048, end_id: int = 0, path: str | None = None) -> DataFrame:
-    """Cut and packed: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack_pieces(cut_pieces(docs, size, end_id, path), size)
+def write_sequences(
+    docs: DataFrame, to: str, size: int = 2048, end_id: int = 0, path: str | None = None
+) -> None:
+    """Cut and packed, as Parquet files of the rows of ``pack_pieces`` in the folder ``to``."""
+    pack_pieces(cut_pieces(docs, size, end_id, path), size).write.parquet(to)
+
+
+def read_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of written sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset,
+    the checksum being that of the ids that the sequence holds there."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for sequence in batch.to_pylist():
+                data, n = sequence["ids"], sequence["length"]
+                ids = np.frombuffer(data, f"<u{len(data) // n}").astype("<u4")
+                for p in sequence["pieces"]:
+                    crc = zlib.crc32(ids[p["offset"] : p["offset"] + p["length"]])
+                    rows.append((p["doc_id"], p["piece"], p["start"], p["length"], crc, sequence["sequence_id"], p["offset"]))
+            names = [c.split()[0] for c in DIGEST.split(", ")]
+            types = [pa.int32() if n == "piece" else pa.int64() for n in names]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, types)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return spark.read.schema(SEQUENCES).parquet(folder).mapInArrow(work, DIGEST)
+
+
+def pack_documents(
+    docs: DataFrame, size: int = 2048, end_id: int = 0, path: str | None = None, to: str | None = None
+) -> DataFrame:
+    """Writes the sequences to ``to``, else to a folder of the scratch space, and gives the
+    pieces that are read back from there."""
+    to = to or scratch_path(docs.sparkSession, "sequences")
+    write_sequences(docs, to, size, end_id, path)
+    return read_pieces(docs.sparkSession, to)

@@ -61,6 +61,28 @@ def test_packed_documents(request, tokenizer, table):
     assert rows.sequence_id.nunique() <= 1.03 * rows.length.sum() / 512 + 1
 
 
+@pytest.mark.parametrize("table", ["sample", "odd"])
+def test_sequences_hold_the_ids_of_the_texts(request, spark, tokenizer, table):
+    docs, folder = request.getfixturevalue(table), scratch_path(spark, "sequences")
+    digest = packing.pack_documents(docs, 512, to=folder).collect()
+    written = spark.read.parquet(folder).collect()
+    got, spans = [], []
+    for s in written:
+        ids = np.frombuffer(s["ids"], "<u2").astype("<u4")
+        assert len(ids) == s["length"] <= 512 and sum(p["length"] for p in s["pieces"]) == s["length"]
+        for p in s["pieces"]:
+            part = ids[p["offset"] : p["offset"] + p["length"]]
+            got.append((p["doc_id"], p["piece"], part.tolist()))
+            spans.append((p["doc_id"], p["piece"], p["start"], p["length"], zlib.crc32(part), s["sequence_id"], p["offset"]))
+    want = []
+    for r in docs.collect():
+        ids = encoded(tokenizer, r["text"], 0).tolist()
+        want += [(r["doc_id"], i, ids[at : at + 512]) for i, at in enumerate(range(0, len(ids), 512))]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sorted(spans, key=repr) == sorted(map(tuple, digest), key=repr)
+    assert len({s["sequence_id"] for s in written}) == len(written)
+
+
 def test_every_capacity_holds():
     lengths = np.random.default_rng(4).integers(1, 100, 800)
     for rule in ("norm", "dot"):
