@@ -7,7 +7,8 @@ bucket keys.
 
 Links are found and confirmed on full sets in steps, each on less than the one before:
 
-1. Texts with equal sets are one class; its smallest id stands for it.
+1. Texts with equal sets are one class. Classes are numbered, and these numbers, not the keys of
+   documents, are the ids of all steps: a key may have texts of several classes.
 2. Of the sets that share a bucket with another, the shingles that no other of them holds are
    counted. They bound how similar a set can be to any other, and two sets to each other,
    so many sets and pairs need no comparison.
@@ -131,8 +132,8 @@ def _signatures(width: int, bands: int):
                 codes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(band_keys(signature(s, bands * ROWS), bands) if len(s) else None)
             lists = pa.array([None if k is None else k.view(np.int64) for k in keys], pa.list_(pa.int64()))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "code", "keys"])
+            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "code", "keys"])
 
     return work
 
@@ -184,35 +185,34 @@ def _rare_pairs(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return x.join(y, may_link).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id"
-) -> DataFrame:
-    """One row per row of ``docs``: the key, ``n_shingles``, ``component_id``, ``kept``.
+def _mark(text: str) -> Column:
+    """Tells the texts of one key apart."""
+    return F.xxhash64(F.col(text).cast("binary"))
 
-    Texts whose shingle sets have at least ``percent`` of their union in common are linked;
-    ``component_id`` is the smallest key reachable over links, ``kept`` whether it is the
-    row's own. Null and empty texts have no shingles and no links. Equal rows are one
-    document. Where a key has several texts, only one of those it stands for is compared
-    further. A null key is in no component and is kept. No rows give no rows; other
-    columns are ignored.
-    """
+
+def _judged(docs: DataFrame, width: int, percent: int, text: str, key: str) -> DataFrame:
+    """One row per row of ``docs``: id, mark, n, component, kept."""
     bands = bands_for(percent / 100)
-    source = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"))
-    schema = "id bigint, n bigint, code binary, keys array<bigint>"
+    source = docs.select(
+        F.col(key).cast("bigint").alias("id"), F.col(text).cast("binary").alias("text"), _mark(text).alias("mark")
+    )
+    schema = "id bigint, mark bigint, n bigint, code binary, keys array<bigint>"
     signed = materialized(source.mapInArrow(_signatures(width, bands), schema))
     told = signed.filter("id IS NOT NULL AND n > 0")
-    classes = told.groupBy("code").agg(F.min("id").alias("rep"))
-    own = told.join(classes, "code").filter("id = rep").groupBy("id")
-    reps = materialized(own.agg(F.min(F.struct("code", "n", "keys")).alias("r")).select("id", "r.*"))
-    spread = reps.select("id", F.explode("keys").alias("bucket"))
+    # Equal sets have equal keys: any row's will do.
+    classes = told.groupBy("code").agg(F.min("id").alias("rep"), F.min(F.struct("n", "keys")).alias("r"))
+    classes = classes.select("code", "rep", "r.*", F.monotonically_increasing_id().alias("id"))
+    classes = materialized(classes)
+    spread = classes.select("id", F.explode("keys").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1").select("bucket")
     buckets = materialized(spread.join(shared, "bucket"))
 
-    wanted = buckets.select("id").distinct().hint("shuffle_hash")
-    texts = source.join(wanted, "id", "left_semi")
+    wanted = materialized(classes.select("id", "rep", "code").join(buckets.select("id").distinct(), "id", "left_semi"))
+    holders = wanted.select(F.col("rep").alias("id")).distinct().hint("shuffle_hash")
+    texts = source.select("id", "text").join(holders, "id", "left_semi")
     sets = texts.mapInArrow(_sets(width), "id bigint, code binary, shingles array<bigint>")
-    # The code tells rows with the same key apart; equal rows count once.
-    sets = sets.join(reps.select("id", "code"), ["id", "code"], "left_semi")
+    # The code tells the texts of a key apart; equal ones count once.
+    sets = sets.withColumnRenamed("id", "rep").join(wanted, ["rep", "code"])
     sets = materialized(sets.groupBy("id").agg(F.first("shingles").alias("shingles")))
 
     # What a set shares with any other candidate bounds its similarity to all of them.
@@ -276,13 +276,35 @@ def near_duplicates(
     last = materialized(_compared(pairs.distinct(), sets).filter(_linked(percent)))
     found = roots if last.isEmpty() else components(links.union(last.select("a", "b")))
 
-    named = signed.select("id", "n", "code").join(classes, "code", "left")
-    named = named.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("root", "rep", "id")
-    return named.select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        (F.col("id").isNull() | (F.col("id") == component)).alias("kept"),
+    # Of a component the row of its smallest key stays; of two texts of that key, one.
+    named = found.join(classes.select("id", "rep"), "id")
+    least = named.groupBy("root").agg(F.min(F.struct("rep", "id")).alias("least"))
+    named = named.join(least, "root").select("id", F.col("least.rep").alias("component"), F.col("least.id").alias("stays"))
+    named = classes.select("id", "code", "rep").join(named, "id", "left").select(
+        "code", F.coalesce("component", "rep").alias("component"), (F.coalesce("stays", "id") == F.col("id")).alias("_stays")
     )
+    rows = signed.select("id", "mark", "n", "code").join(named, "code", "left")
+    component = F.coalesce("component", "id")
+    kept = F.col("id").isNull() | ((F.col("id") == component) & F.coalesce("_stays", F.lit(True)))
+    return rows.select("id", "mark", "n", component.alias("component"), kept.alias("kept"))
+
+
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """One row per row of ``docs``: the key, ``n_shingles``, ``component_id``, ``kept``.
+
+    Texts whose shingle sets have at least ``percent`` of their union in common are linked;
+    ``component_id`` is the smallest key reachable over links, ``kept`` whether the row's text
+    is the one that stays of its component, which is of that key. Null and empty texts have no
+    shingles and no links. Equal rows are one document. The texts of a key with several are
+    compared and judged one by one. A null key is in no component and is kept. No rows give
+    no rows; other columns are ignored.
+    """
+    rows = _judged(docs, width, percent, text, key)
+    return rows.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept"
+    )
 
 
 def drop_near_duplicates(
@@ -290,8 +312,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, that ``near_duplicates`` keeps."""
     names = docs.columns
-    kept = near_duplicates(docs, width, percent, text, key)
-    gone = materialized(kept.filter("NOT kept").select(F.col(key).alias("_gone")).distinct())
+    judged = _judged(docs, width, percent, text, key).filter("NOT kept")
+    gone = materialized(judged.select(F.col("id").alias("_gone"), F.col("mark").alias("_text")).distinct())
     gone = broadcast_if_small(gone)
-    rows = docs.select(F.struct(*names).alias("_row"), F.col(key).alias("_id"))
-    return rows.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("_row.*")
+    rows = docs.select(F.struct(*names).alias("_row"), F.col(key).cast("bigint").alias("_id"), _mark(text).alias("_mark"))
+    same = (F.col("_id") == F.col("_gone")) & (F.col("_mark") == F.col("_text"))
+    return rows.join(gone, same, "left_anti").select("_row.*")

@@ -110,6 +110,24 @@ def test_odd_rows_have_near_duplicates(odd, none):
     assert minhash.near_duplicates(none).count() == minhash.drop_near_duplicates(none).count() == 0
 
 
+def test_texts_of_one_key_are_dropped_one_by_one(spark):
+    """A key's text that is like no other stays though another of that key goes, and each is
+    compared, also where the key is the smallest of several classes."""
+    a, b, c = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    near = lambda words, i: " ".join([*words[:i], f"new{i}", *words[i + 1 :]])
+    rows = [
+        (1, " ".join(a).upper()), (2, " ".join(a)), (2, "quite another text that nothing is like"),
+        (5, " ".join(b)), (5, " ".join(c)), (5, near(c, 0)), (6, near(b, 0)), (7, near(c, 59)), (8, " ".join(c)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = minhash.near_duplicates(docs, 3, 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] > 5} == {6: 5, 7: 5, 8: 5}
+    kept = [tuple(r) for r in minhash.drop_near_duplicates(docs, 3, 85).collect()]
+    of = lambda words: [t for _, t in kept if len(set(t.lower().split()) & set(words)) > 50]
+    assert rows[2] in kept and of(a) == [rows[0][1]] and of(b) == [rows[3][1]]
+    assert len(of(c)) == 1 and len(kept) == 4 and sum(r["kept"] for r in got) == 4
+
+
 def test_borrowed_bins_agree_with_similarity():
     """Over many pairs of a given similarity, the share of equal bins is that similarity, also for
     sets with fewer shingles than bins."""
