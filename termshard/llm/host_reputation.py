@@ -4,7 +4,9 @@ Labelled page outcomes are shrunk from level to level: a suffix towards all page
 domain towards its suffix, a host towards its domain. At each level the groups share one
 beta-binomial prior strength, found from how much more their rates vary than chance allows
 (moments). A host without labels has its domain's prior, a domain without any its suffix's.
-A host is blocked if even the upper bound of its posterior good rate is below ``min_good``.
+A host is blocked if even the upper bound of its posterior good rate is below ``min_good``. The bound
+is mean and ``bound`` standard deviations, a normal approximation of the beta posterior's that is
+too low for sparse hosts under a low prior.
 """
 
 from __future__ import annotations
