@@ -169,8 +169,11 @@ def keep_quality(
     docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",
     stratum: str = "lang", risk: float = 0.05, error: float = 0.05,
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``quality_report`` keeps. Texts are measured twice,
-    once for the cutoffs and once to filter, so that they are never shuffled."""
+    """The rows of ``docs``, all columns, that ``quality_report`` keeps; nulls, empty texts and
+    repeated rows are judged as there, and no rows give none. The measured rows are stored once, so
+    that neither the cutoffs nor the filter measures a text again."""
     rows = measured(docs, text).withColumns({"_id": F.col("_row")[key], "_stratum": F.col("_row")[stratum]})
+    shares = [f"_{r}" for r in RULES]
+    rows = materialized(rows.select("_row", "_id", "_stratum", "base_failed", *shares))
     cutoffs = calibrated(rows.drop("_row"), labels, risk, error)
     return _judged(rows, cutoffs).filter("kept").select("_row.*")

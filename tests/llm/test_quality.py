@@ -254,3 +254,11 @@ def test_odd_texts_have_a_language(odd, none, sample):
     nothing = language.fit(none)
     assert {r["lang_pred"] for r in language.predict(odd, nothing).collect()} == {"und"}
     assert odd.filter("doc_id IS NULL").filter(language.held_out()).count() == 0
+
+
+def test_the_quality_stage_measures_once(sample, spark):
+    """Neither the filter nor the cutoffs hold the measuring expressions a second time."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    kept = risk_rules.keep_quality(sample, labels)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "xxhash64(" not in plan
