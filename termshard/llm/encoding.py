@@ -56,8 +56,9 @@ class Store(dict):
 
 
 def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
-    """The texts, null as empty, in slices of about ``size`` bytes or one longer text."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    """The texts (or bytes), null as empty, in slices of about ``size`` bytes or one longer text."""
+    kind = pa.large_binary() if pa.types.is_binary(texts.type) else pa.large_string()
+    texts = pc.fill_null(texts.cast(kind), pa.scalar("", kind) if kind == pa.large_string() else pa.scalar(b"", kind))
     bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     at = 0
     while at < len(texts):

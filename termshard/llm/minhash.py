@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,12 @@ from pyspark.sql import functions as F
 
 from termshard.llm.common import materialized
 from termshard.llm.components import components
-from termshard.llm.encoding import Store
+from termshard.llm.encoding import byte_slices
 from termshard.operators.bounds import broadcast_if_small
 
 ROWS = 6
 FEW = 32
+SLICE_BYTES = 2 << 20
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
 
@@ -59,11 +61,6 @@ def finish(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-@lru_cache(1)
-def word_hashes() -> Store:
-    return Store(xxhash.xxh3_64_intdigest, 400_000)
-
-
 def shingles(text: bytes | None, width: int) -> np.ndarray:
     """The sorted set of hashes of the text's runs of ``width`` words, A-Z lower-cased; of the
     whole sequence where there are fewer words; nothing without words."""
@@ -71,9 +68,7 @@ def shingles(text: bytes | None, width: int) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
-    store = word_hashes()
-    h = np.fromiter(map(store.__getitem__, words), np.uint64, n)
-    store.trim()
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
     runs = max(1, n - width + 1)
     mixed = np.full(runs, min(n, width), np.uint64)
     for i in range(min(n, width)):
@@ -122,17 +117,25 @@ def band_keys(values: np.ndarray, bands: int) -> np.ndarray:
     return keys
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """A batch and its texts in slices of about SLICE_BYTES, which bound the sets held at once."""
+    at = 0
+    for texts in byte_slices(batch.column(1), SLICE_BYTES):
+        yield batch.slice(at, len(texts)), texts
+        at += len(texts)
+
+
 def _signatures(width: int, bands: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for rows, texts in chain.from_iterable(map(_slices, batches)):
             sizes, codes, keys = [], [], []
-            for body in batch.column(1):
+            for body in texts:
                 s = shingles(body.as_py(), width)
                 sizes.append(len(s))
                 codes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                keys.append(band_keys(signature(s, bands * ROWS), bands) if len(s) else None)
-            lists = pa.array([None if k is None else k.view(np.int64) for k in keys], pa.list_(pa.int64()))
-            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), lists]
+                keys.append(band_keys(signature(s, bands * ROWS), bands).view(np.int64) if len(s) else None)
+            lists = pa.array(keys, pa.list_(pa.int64()))
+            columns = [rows.column(0), rows.column(2), pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "code", "keys"])
 
     return work
@@ -140,11 +143,11 @@ def _signatures(width: int, bands: int):
 
 def _sets(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(body.as_py(), width) for body in batch.column(1)]
+        for rows, texts in chain.from_iterable(map(_slices, batches)):
+            sets = [shingles(body.as_py(), width) for body in texts]
             codes = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
             lists = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), codes, lists], names=["id", "code", "shingles"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), codes, lists], names=["id", "code", "shingles"])
 
     return work
 
