@@ -5,7 +5,7 @@ are placed from long to short; of the bins that hold a piece under every constra
 with the least weighted norm of what would be left is taken (``rule="norm"``), or the one with
 the largest weighted dot product of piece and residual (``rule="dot"``); if none, a new one.
 
-Spark deals the pieces out in groups of about ``group_pieces`` rows, a number that doesn't grow
+Spark deals the pieces out in groups of some thousands of rows, a number that doesn't grow
 with the data, and packs each group as a task of its own. A group leaves about one sequence
 less than full, so it costs a small fraction of a percent. The ids travel with their pieces, and
 the task that packs a group puts its sequences together.
@@ -14,6 +14,7 @@ the task that packs a group puts its sequences together.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized, scratch_path
+from termshard.llm.common import scratch_path
 from termshard.llm.encoding import default_path, encoder
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint, copy int"
+#: Bytes of text that make about a whole piece.
+PIECE_BYTES = 8_192
 SPAN = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
 SEQUENCES = f"sequence_id bigint, length bigint, ids binary, pieces array<{SPAN}>"
 DIGEST = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -37,7 +40,8 @@ def cut_pieces(
 ) -> DataFrame:
     """Every document as ids with an end id, cut where it is longer than ``size``: doc_id, piece,
     start, length, ``ids`` (little-endian, of two bytes each where the tokenizer's ids fit, else
-    four) and ids_crc32, the checksum of the ids in four bytes each.
+    four), ids_crc32, the checksum of the ids in four bytes each, and ``copy``, which numbers the
+    pieces of a task that are equal in all of this.
 
     A null or empty text is the end id alone. Rows with repeated or null keys are documents
     of their own. No rows give no rows; other columns are ignored.
@@ -48,6 +52,7 @@ def cut_pieces(
         encode, end = encoder(path).encode, np.array([end_id], "<u4")
         most = max(encoder(path).tokenizer.get_vocab(with_added_tokens=True).values())
         width = "<u2" if max(most, end_id) < 1 << 16 else "<u4"
+        copies: Counter = Counter()
         for batch in batches:
             docs_left = iter(batch.column(0).to_pylist())
             for flat, bounds in encode(batch.column(1)):
@@ -56,16 +61,19 @@ def cut_pieces(
                     doc, ids = next(docs_left), np.concatenate([flat[at:to], end])
                     for piece, start in enumerate(range(0, len(ids), size)):
                         part = ids[start : start + size]
-                        rows.append((doc, piece, start, len(part), part.astype(width).tobytes(), zlib.crc32(part)))
+                        crc = zlib.crc32(part)
+                        same = hash((doc, piece, len(part), crc))
+                        rows.append((doc, piece, start, len(part), part.astype(width).tobytes(), crc, copies[same]))
+                        copies[same] += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, TYPES)],
-                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32"],
+                    [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, TYPES)],
+                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "copy"],
                 )
 
     return docs.select(F.col(key).cast("bigint"), F.col(text)).mapInArrow(work, PIECES)
 
 
-TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32()]
 
 
 def best_fit(
@@ -109,22 +117,23 @@ def best_fit(
 
 def pack_pieces(
     pieces: DataFrame, size: int = 2048, documents: int | None = None,
-    attention: int | None = None, rule: str = "norm", group_pieces: int = 8_192,
+    attention: int | None = None, rule: str = "norm", groups: int = 1,
 ) -> DataFrame:
     """The sequences of ``pieces``: sequence_id, ``length``, ``ids``, and ``pieces``, the spans
     (doc_id, piece, start, length, offset) in the order of their offsets, which leave no gap.
 
     Without ``documents`` or ``attention`` that capacity is the largest a sequence can use.
-    Equal lengths are placed in the order of doc_id and piece.
+    Equal lengths are placed in the order of doc_id and piece. ``groups`` is the number of groups that
+    the pieces are dealt into, by what they hold and, of equal ones, by their copy: neither a
+    repeated task nor many copies of a piece change or crowd a group.
     """
     documents = documents or size
     attention = attention or size * size
-    own = pieces.select("doc_id", "piece", "start", "length", "ids")
-    numbered = materialized(own.withColumn("_row", F.monotonically_increasing_id()))
-    groups = max(1, -(-numbered.count() // group_pieces))
+    dealt = F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32", "copy"), F.lit(groups))
+    grouped = pieces.select("doc_id", "piece", "start", "length", "ids", "copy", dealt.alias("_group"))
 
     def work(rows: pa.Table) -> pa.Table:
-        order = [(c, "ascending") for c in ("doc_id", "piece", "_row")]
+        order = [(c, "ascending") for c in ("doc_id", "piece", "copy")]
         rows = rows.take(pc.sort_indices(rows, sort_keys=order))
         bins, offsets = best_fit(rows["length"].to_numpy(), size, documents, attention, rule=rule)
         group = rows["_group"][0].as_py()
@@ -144,15 +153,22 @@ def pack_pieces(
             "pieces": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans),
         })
 
-    grouped = numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
     return grouped.groupBy("_group").applyInArrow(work, SEQUENCES)
 
 
+def groups_for(docs: DataFrame, text: str = "text", group_pieces: int = 8_192) -> int:
+    """Groups of about ``group_pieces``: a document has a piece, and one more for every PIECE_BYTES."""
+    size = F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint"))
+    row = docs.agg(F.count("*").alias("rows"), size.alias("size")).first()
+    return max(1, round((row["rows"] + (row["size"] or 0) / PIECE_BYTES) / group_pieces))
+
+
 def write_sequences(
     docs: DataFrame, to: str, size: int = 2048, end_id: int = 0, path: str | None = None
 ) -> None:
-    """Cut and packed, as Parquet files of the rows of ``pack_pieces`` in the folder ``to``."""
-    pack_pieces(cut_pieces(docs, size, end_id, path), size).write.parquet(to)
+    """Cut and packed, as Parquet files of the rows of ``pack_pieces`` in the folder ``to``. The ids
+    are made, shuffled once, and written."""
+    pack_pieces(cut_pieces(docs, size, end_id, path), size, groups=groups_for(docs)).write.parquet(to)
 
 
 def read_pieces(spark: SparkSession, folder: str) -> DataFrame:
