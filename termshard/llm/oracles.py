@@ -129,9 +129,60 @@ OP9 = f"""WITH split AS (SELECT doc_id, lang, text,
         NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND f.doc_id IS NULL AS kept
     FROM counts LEFT JOIN failed f USING (doc_id)"""
 
+OP12 = """WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+    split AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least
+        FROM texts),
+    said AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+        FROM labels GROUP BY doc_id),
+    judged AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, concat(
+            CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+            CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+            CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END,
+            CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+            CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails
+        FROM split LEFT JOIN said USING (doc_id)),
+    cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+        FROM judged GROUP BY part, fails),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE list_unique([a.x, b.x, c.x, d.x, e.x]) = 5),
+    steps AS (SELECT filter_order, step, filter_order[step] AS letter, left(filter_order, step - 1) AS before
+        FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INTEGER AS step)),
+    met AS (SELECT part, filter_order, step, letter, n, good, toxic, contains(fails, letter) AS failed,
+            translate(before, fails, '') <> before AS gone, fails = letter AS alone
+        FROM cells, steps),
+    counted AS (SELECT part, filter_order, step, letter,
+            coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0)::BIGINT AS kept,
+            coalesce(sum(n) FILTER (NOT gone AND failed), 0)::BIGINT AS removed,
+            coalesce(sum(n) FILTER (gone AND failed), 0)::BIGINT AS redundant,
+            coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+            coalesce(sum(good) FILTER (NOT gone AND failed), 0)::BIGINT AS good_lost,
+            coalesce(sum(toxic) FILTER (NOT gone AND failed), 0)::BIGINT AS toxic_lost
+        FROM met GROUP BY part, filter_order, step, letter)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+    FROM counted"""
+
+OP13 = """WITH vectors AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS id, b.label,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM vectors a, vectors b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place
+        FROM pairs WHERE label = anchor_label QUALIFY place <= 5),
+    negatives AS (SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, n.id AS negative_id,
+        n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY n.score DESC, n.id)::INTEGER AS rank
+        FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND n.label <> p.anchor_label
+            AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_tool_calls": OP1, "op2_host_reputation": OP2, "op5_content_sort": OP5,
-        "op9_risk_controlled_rules": OP9,
+        "op9_risk_controlled_rules": OP9, "op12_filter_audit": OP12, "op13_hard_negatives": OP13,
     }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.llm import content_sort, host_reputation, language, minhash, mixing, packing
-from termshard.llm import risk_rules, site_quality, token_files, tool_calls
+from termshard.llm import content_sort, filter_audit, hard_negatives, host_reputation, language, minhash
+from termshard.llm import mixing, packing, risk_rules, sentence_pieces, site_quality, token_files, tool_calls
 from termshard.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,5 +93,25 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sentence_pieces.decoded(sentence_pieces.encoded(table(spark, folder, "documents")))
+    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Some labels are moved on by one, so that near vectors differ in label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(table(spark, folder, "embeddings").withColumn("label", moved))
+    return hard_negatives.hard_negatives(rows, rows.filter(hard_negatives.anchors_of(100, "id")))
+
+
 def llm_queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
