@@ -2,19 +2,13 @@
 
 The library writes blanks as a marker, puts one before the text, and merges pieces. Where no
 piece crosses from another character to a marker, a text falls into chunks, each a run of
-markers and what follows up to the next marker, that are segmented independently of each
-other. So:
-
-1. the chunks of all texts are counted, and each distinct one is segmented once by the library:
-   the chunk table;
-2. its most frequent rows, a bounded number of bounded size, go to every task;
-3. of the texts only the other, rare chunks are shuffled, one row per chunk and group of texts;
-   joined to the table they come back to their group, where a group is some 16 MB of texts;
-4. a group puts the ids of its texts together by the position of their chunks.
-
-Groups are hashes of key and text: a repeated computation gives the same ones, and copies of one
-text are spread as far as their keys differ. A chunk in many copies is a frequent one, which
-is never shuffled.
+markers and what follows up to the next marker, that are segmented independently of each other.
+So every task keeps a table of the distinct chunks it has met, each segmented once by the library,
+and the ids of a text are rows of the table, joined back by the position of its chunks.
+
+Nothing is shuffled, and a lost task is done anew from its own rows. (One table for the whole corpus
+would have to be joined to every text: most distinct chunks are rare, so that moves the texts and
+several times as much besides.) The table has a bound; where it is reached, a new one is begun.
 """
 
 from __future__ import annotations
@@ -27,18 +21,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized
 from termshard.llm.encoding import byte_slices
 
 MARKER = "▁"
 PIECES_FILE = "piece_bpe_32k.model"
 SLICE_BYTES = 4 << 20
-GROUP_BYTES = 16 << 20
-FREQUENT = 100_000
-FREQUENT_BYTES = 48
+TABLE_CHUNKS = 300_000
+TABLE_BYTES = 16 << 20
 
 
 def default_path() -> str:
@@ -119,68 +111,44 @@ def chunks_of(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return distinct, which, bounds
 
 
-def chunk_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(chunk, n)``: the distinct chunks of all texts and how often each occurs."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for texts in byte_slices(batch.column(0), SLICE_BYTES):
-                distinct, which, _ = chunks_of(texts)
-                n = np.bincount(which, minlength=len(distinct))
-                yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(n)], names=["chunk", "n"])
-
-    counted = docs.select(F.col(text).cast("string")).mapInArrow(work, "chunk string, n bigint")
-    return counted.filter("n > 0").groupBy("chunk").agg(F.sum("n").alias("n"))
-
-
-def chunk_table(docs: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
-    """``(chunk, n, ids)``, every distinct chunk segmented once; stored."""
-    path = path or default_path()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment = pieces_of(path).segment
-        for batch in batches:
-            ids = pa.array(segment(batch.column(0).to_pylist()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=["chunk", "n", "ids"])
-
-    return materialized(chunk_counts(docs, text).mapInArrow(work, "chunk string, n bigint, ids array<int>"))
-
-
-def frequent_chunks(table: DataFrame, most: int = FREQUENT) -> dict[str, list[int]]:
-    """The ``most`` frequent chunks of the table. None is longer than FREQUENT_BYTES, which with
-    their number bounds what comes to the driver and goes to the tasks."""
-    short = table.filter(F.octet_length("chunk") <= FREQUENT_BYTES)
-    rows = short.orderBy(F.desc("n"), "chunk").limit(most).select("chunk", "ids").collect()
-    return {r["chunk"]: r["ids"] for r in rows}
-
-
-def _group_of(key: str, text: str, groups: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(groups)).alias("_group")
-
-
-def _rare(docs: DataFrame, text: str, frequent) -> DataFrame:
-    """``(_group, chunk)`` of the chunks that are not frequent, once a group."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frequent.value
-        for batch in batches:
-            groups, at = batch.column(0).to_numpy(), 0
-            for texts in byte_slices(batch.column(1), SLICE_BYTES):
-                distinct, which, bounds = chunks_of(texts)
-                rare = np.fromiter((c not in known for c in distinct), bool, len(distinct))
-                group = np.repeat(groups[at : at + len(texts)], np.diff(bounds))
-                at += len(texts)
-                there = np.flatnonzero(rare[which])
-                pairs = np.unique(np.stack([group[there], which[there]]), axis=1)
-                chunks = pa.array([distinct[w] for w in pairs[1].tolist()], pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), chunks], names=["_group", "chunk"])
-
-    return docs.select("_group", text).mapInArrow(work, "_group bigint, chunk string").distinct()
+class ChunkTable:
+    """Distinct chunks and their ids: row ``n`` holds ``ids[ends[n - 1]:ends[n]]``."""
+
+    def __init__(self, segment, chunks: int = TABLE_CHUNKS, size: int = TABLE_BYTES):
+        self.segment, self.chunks, self.size = segment, chunks, size
+        self.clear()
+
+    def clear(self) -> None:
+        self.row: dict[str, int] = {}
+        self.ids, self.ends, self.held = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+
+    def rows(self, chunks: list[str]) -> np.ndarray:
+        """The rows of distinct chunks; those the table lacks are segmented and added."""
+        if len(self.row) > self.chunks or self.held > self.size:
+            self.clear()
+        new = [c for c in chunks if c not in self.row]
+        if new:
+            found = self.segment(new)
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+            self.row.update(zip(new, range(len(self.row), len(self.row) + len(new))))
+            self.ids = np.concatenate([self.ids, flat])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
+            self.held += sum(map(len, new))
+        return np.fromiter(map(self.row.__getitem__, chunks), np.int64, len(chunks))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of non-null texts, one after the other, and where each text's begin, with the end."""
+        distinct, which, bounds = chunks_of(texts)
+        rows = self.rows(distinct)[which]
+        first, length = self.ends[rows], self.ends[rows + 1] - self.ends[rows]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        place = np.repeat(first - ends[:-1], length) + np.arange(ends[-1])
+        return self.ids[place], ends[bounds]
 
 
 def encoded(
-    docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id",
-    end: bool = True, frequent: int = FREQUENT, group_bytes: int = GROUP_BYTES,
+    docs: DataFrame, path: str | None = None, text: str = "text", key: str = "doc_id", end: bool = True
 ) -> DataFrame:
     """``key`` and ``ids``, an array, of every row: what the library encodes the whole text to, with
     the model's end id unless ``end`` is false.
@@ -191,37 +159,23 @@ def encoded(
     """
     path = path or default_path()
     last = [pieces_of(path).library.eos_id()] if end else []
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = ChunkTable(pieces_of(path).segment)
+        for batch in batches:
+            at = 0
+            for texts in byte_slices(batch.column(1), SLICE_BYTES):
+                flat, bounds = table.encode(texts)
+                if last:
+                    flat = np.insert(flat, bounds[1:], last[0])
+                    bounds = bounds + np.arange(len(bounds))
+                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], names=["key", "ids"])
+                at += len(texts)
+
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
-    table = chunk_table(source, path, "_text")
-    size = table.agg(F.sum(F.expr("n * (octet_length(chunk) + 1)"))).first()[0] or 0
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_chunks(table, frequent))
-    rows = source.withColumn("_group", _group_of("_key", "_text", -(-size // group_bytes) or 1))
-    rare = _rare(rows, "_text", shared).join(table.select("chunk", "ids"), "chunk")
-
-    def work(rows: pa.Table, rare: pa.Table) -> pa.Table:
-        known = shared.value
-        own = dict(zip(rare["chunk"].to_pylist(), rare["ids"].to_pylist()))
-        keys, lists, at = rows["_key"].combine_chunks(), [], 0
-        for texts in byte_slices(rows["_text"].combine_chunks(), SLICE_BYTES):
-            distinct, which, bounds = chunks_of(texts)
-            ids = [known.get(c) or own.get(c) or () for c in distinct]
-            length = np.fromiter(map(len, ids), np.int64, len(ids))
-            if not length[which].all():
-                raise KeyError("a chunk is not in the table: the texts differ from one reading to the next")
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(length.sum()))
-            first = np.cumsum(length) - length
-            length, first = length[which], first[which]
-            ends = np.concatenate([[0], np.cumsum(length)])
-            place = np.repeat(first - ends[:-1], length) + np.arange(ends[-1])
-            bounds = ends[bounds]
-            values = np.insert(flat[place], bounds[1:], last) if last else flat[place]
-            bounds = bounds + np.arange(len(bounds)) * len(last)
-            lists.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32())))
-        return pa.table({"key": keys, "ids": pa.chunked_array(lists, pa.list_(pa.int32()))})
-
-    grouped = rows.groupBy("_group").cogroup(rare.groupBy("_group"))
-    return grouped.applyInArrow(work, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(work, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids", to: str = "text") -> DataFrame:

@@ -33,30 +33,27 @@ def test_any_ids_are_decoded_as_the_library_does(library):
 
 
 @pytest.mark.parametrize("table", ["sample", "odd"])
-@pytest.mark.parametrize(("frequent", "group_bytes"), [(sp.FREQUENT, sp.GROUP_BYTES), (50, 20_000)])
-def test_whole_texts_and_back(request, library, table, frequent, group_bytes):
-    """With few frequent chunks and small groups most chunks come by the shuffle."""
+def test_whole_texts_and_back(request, library, table):
     docs = request.getfixturevalue(table)
     want = sorted(((r["doc_id"], library.encode(r["text"] or "") + [2], library.decode(library.encode(r["text"] or ""))) for r in docs.collect()), key=repr)
-    rows = sp.decoded(sp.encoded(docs, frequent=frequent, group_bytes=group_bytes))
+    rows = sp.decoded(sp.encoded(docs))
     assert rows.columns == ["doc_id", "ids", "text"]
     assert sorted(map(tuple, rows.collect()), key=repr) == want
-
-
-def test_each_chunk_is_in_the_table_once(sample):
-    table = sp.chunk_table(sample)
-    assert table.count() == table.select("chunk").distinct().count()
-    pieces = sp.chunk_counts(sample.limit(0))
-    assert pieces.count() == 0 and sp.encoded(sample.limit(0)).count() == 0
-
-
-def test_only_rare_chunks_are_shuffled(spark):
-    docs = spark.createDataFrame([(i, f"the same words again word{i % 40}") for i in range(400)], "doc_id bigint, text string")
-    table = sp.chunk_table(docs)
-    shared = spark.sparkContext.broadcast(sp.frequent_chunks(table, 4))
-    rare = sp._rare(docs.selectExpr("doc_id % 5 AS _group", "text"), "text", shared).collect()
-    assert {r["chunk"] for r in rare} == {f"word{i}" for i in range(40)}
-    assert len(rare) == len(set(rare)) == 40  # word i is in group i % 5 alone
+    assert sp.encoded(docs.limit(0)).count() == 0
+    assert [r["ids"][-1:] == [2] for r in sp.encoded(docs, end=False).limit(3).collect()] == [False] * 3
+
+
+@pytest.mark.parametrize(("chunks", "size"), [(10**6, 10**9), (20, 10**9), (10**6, 50)])
+def test_a_chunk_is_segmented_once_while_the_table_lasts(library, chunks, size):
+    rng, own, asked = random.Random(7), sp.pieces_of(sp.default_path()), []
+    table = sp.ChunkTable(lambda new: (asked.extend(new), own.segment(new))[1], chunks, size)
+    for _ in range(40):
+        texts = [" ".join(f"word{rng.randrange(60)}" for _ in range(rng.randrange(20))) for _ in range(5)]
+        flat, bounds = table.encode(pa.array(texts, pa.large_string()))
+        got = [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert got == library.encode(texts)
+        assert len(table.row) <= chunks + 100
+    assert (len(asked) == len(set(asked))) == (chunks > 20 and size > 50)
 
 
 def test_a_model_that_changes_blanks_is_refused(monkeypatch):
