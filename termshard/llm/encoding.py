@@ -118,9 +118,9 @@ class Encoder:
 
 
 @lru_cache(1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, words: int = 500_000, parts: int = 100_000) -> Encoder:
     """One for each Python worker."""
-    return Encoder(path)
+    return Encoder(path, words, parts)
 
 
 def default_path() -> str:

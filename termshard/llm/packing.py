@@ -29,6 +29,8 @@ from termshard.llm.encoding import default_path, encoder
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint, copy int"
 #: Bytes of text that make about a whole piece.
 PIECE_BYTES = 8_192
+#: Words whose ids a worker keeps.
+STORED_WORDS = 200_000
 SPAN = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
 SEQUENCES = f"sequence_id bigint, length bigint, ids binary, pieces array<{SPAN}>"
 DIGEST = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -49,8 +51,9 @@ def cut_pieces(
     path = path or default_path()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path).encode, np.array([end_id], "<u4")
-        most = max(encoder(path).tokenizer.get_vocab(with_added_tokens=True).values())
+        own = encoder(path, STORED_WORDS, STORED_WORDS // 4)
+        encode, end = own.encode, np.array([end_id], "<u4")
+        most = max(own.tokenizer.get_vocab(with_added_tokens=True).values())
         width = "<u2" if max(most, end_id) < 1 << 16 else "<u4"
         copies: Counter = Counter()
         for batch in batches:
