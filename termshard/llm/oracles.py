@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
-
 from termshard.llm.common import UPPER
-from termshard.llm.risk_rules import CUTOFFS, GOOD_WEIGHT, RULES
+from termshard.llm.risk_rules import CUTOFFS, GOOD_WEIGHT
 
 RISK, ERROR = 0.05, 0.05
 
@@ -86,8 +84,6 @@ OP2 = f"""WITH judged AS (SELECT page_id, url, {_host('url')} AS host, {_path('u
         round(rate, 6) AS good_rate, round(upper, 6) AS upper
     FROM judged JOIN bounds USING (host) LEFT JOIN fits USING (page_id)"""
 
-LIMIT = RISK / len(RULES)
-FEWEST = math.log(len(RULES) / ERROR) / -math.log1p(-LIMIT)
 OP9 = f"""WITH split AS (SELECT doc_id, lang, text,
         list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
@@ -111,19 +107,24 @@ OP9 = f"""WITH split AS (SELECT doc_id, lang, text,
             {{'rule': 'shouts', 'share': coalesce(n_shouts / nullif(n_words, 0), 0)}},
             {{'rule': 'capitals', 'share': coalesce(n_capitals / nullif(word_chars, 0), 0)}}], recursive := true)
         FROM counts),
+    worst AS (SELECT doc_id, lang, max(share) AS share FROM shares GROUP BY doc_id, lang),
     outcome AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-    cells AS (SELECT lang, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 0) AS m,
+    strata AS (SELECT lang, count(*) FILTER (good = 1) >= ln(count(*) OVER () / {ERROR!r}::DOUBLE) / -ln(1 - {RISK!r}::DOUBLE) AS own
+        FROM worst JOIN outcome USING (doc_id) GROUP BY lang),
+    named AS (SELECT lang, own, CASE WHEN own THEN 'own ' || coalesce(lang, 'null') ELSE 'rest' END AS stratum FROM strata),
+    cells AS (SELECT stratum, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 0) AS m,
         count(*) FILTER (good = 1 AND share >= cutoff) AS k, count(*) FILTER (good = 0 AND share >= cutoff) AS b
-        FROM shares JOIN outcome USING (doc_id), (SELECT unnest({list(CUTOFFS)})::DOUBLE AS cutoff)
-        GROUP BY lang, rule, cutoff HAVING count(*) FILTER (good = 1) >= {FEWEST!r}),
-    tested AS (SELECT *, (SELECT count(*) FROM (SELECT DISTINCT lang, rule FROM cells)) AS tests,
-        max(CASE WHEN k < n * {LIMIT!r}::DOUBLE THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1)
-                - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({LIMIT!r}::DOUBLE) + (n - i) * ln(1 - {LIMIT!r}::DOUBLE))))
-            ELSE 1.0 END) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS worst FROM cells),
-    chosen AS (SELECT lang, rule, cutoff FROM tested WHERE worst <= {ERROR!r}::DOUBLE / tests AND b > 0
-        QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY b / m - {GOOD_WEIGHT} * (k / n) DESC, cutoff DESC) = 1),
-    failed AS (SELECT DISTINCT doc_id FROM shares s JOIN chosen c
-        ON s.rule = c.rule AND s.lang IS NOT DISTINCT FROM c.lang WHERE share >= cutoff)
+        FROM worst JOIN outcome USING (doc_id) JOIN named ON worst.lang IS NOT DISTINCT FROM named.lang,
+            (SELECT unnest({list(CUTOFFS)})::DOUBLE AS cutoff)
+        GROUP BY stratum, cutoff),
+    tested AS (SELECT *, (SELECT count(DISTINCT stratum) FROM cells) AS tests,
+        max(CASE WHEN k < n * {RISK!r}::DOUBLE THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1)
+                - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK!r}::DOUBLE) + (n - i) * ln(1 - {RISK!r}::DOUBLE))))
+            ELSE 1.0 END) OVER (PARTITION BY stratum ORDER BY cutoff DESC) AS worst FROM cells),
+    chosen AS (SELECT stratum, cutoff FROM tested WHERE worst <= {ERROR!r}::DOUBLE / tests AND b > 0
+        QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY b / m - {GOOD_WEIGHT} * (k / n) DESC, cutoff DESC) = 1),
+    failed AS (SELECT DISTINCT doc_id FROM worst s JOIN named ON s.lang IS NOT DISTINCT FROM named.lang
+        JOIN chosen c USING (stratum) WHERE share >= cutoff)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
         NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND f.doc_id IS NULL AS kept

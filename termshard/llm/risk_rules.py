@@ -1,13 +1,15 @@
 """Quality rules whose cutoffs are chosen on labelled documents under a guarantee.
 
-Each rule is a share (of symbols, of repeated lines, ...); a document fails it at or above its
-stratum's cutoff. A cutoff may be used only if, on the labelled good documents of the stratum,
-the exact binomial test rejects a false rejection rate above ``risk / rules`` (the upper
-Clopper-Pearson bound is below it). Cutoffs of a rule are tested from lenient to strict
-until one fails, which needs no correction among them; strata and rules are corrected for by
-dividing ``error`` by their number. So with probability ``1 - error`` no stratum loses more than
-``risk`` of its good documents. Of the cutoffs allowed, the one that best separates labelled
-bad from good documents is used, and none where none rejects a bad one.
+Each rule is a share (of symbols, of repeated lines, ...). The cutoffs form one sequence from lenient
+to strict: at each a document fails if any of its shares reaches the cutoff, so what fails at one
+fails at all that follow. A cutoff may be used only if, on the labelled good documents of the
+stratum, the exact binomial test rejects a false rejection rate above ``risk`` (the upper
+Clopper-Pearson bound is below it). Cutoffs are tested in order until one fails, which needs no
+correction among them; strata are corrected for by dividing ``error`` by their number. So with
+probability ``1 - error`` no stratum loses more than ``risk`` of its good documents. Of the
+cutoffs allowed, the one that best separates labelled bad from good documents is used, and none
+where none rejects a bad one. Strata with too few good labels for a test of their own are tested
+together, as one stratum.
 
 All of it is DataFrame functions: documents are measured in one pass without a shuffle, and of
 the labelled ones only counts by stratum, rule and cutoff are gathered.
@@ -98,50 +100,48 @@ def binomial_cdf(k: str, n: str, p: float) -> Column:
 
 
 def calibrated(shares: DataFrame, labels: DataFrame, risk: float, error: float) -> DataFrame:
-    """One row per stratum with a usable cutoff: ``_stratum`` and ``_cutoffs``, rule to cutoff.
+    """One row per stratum with a usable cutoff: ``_stratum`` and ``_cutoff``.
 
     ``shares``: doc_id, stratum and rule shares. ``labels``: doc_id and quality; a document
-    with several labels is good if all are 1; null labels don't count. A stratum with fewer good
-    labels than one rule alone would need is not tested; there no rule rejects.
+    with several labels is good if all are 1; null labels don't count. Strata without labels have
+    no cutoff.
     """
     outcome = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    known = shares.join(outcome.withColumnRenamed("doc_id", "_id"), "_id")
-    scores = F.array(*(F.struct(F.lit(r).alias("rule"), F.col(f"_{r}").alias("share")) for r in RULES))
-    long = known.select("_stratum", "_good", F.explode(scores).alias("s"))
-    over = [
-        F.sum(F.when((F.col("s.share") >= c) & (F.col("_good") == g), 1).otherwise(0)).alias(f"{n}{i}")
-        for i, c in enumerate(CUTOFFS)
-        for g, n in ((1, "k"), (0, "b"))
-    ]
-    counts = long.groupBy("_stratum", "s.rule").agg(
-        F.sum(F.when(F.col("_good") == 1, 1).otherwise(0)).alias("n"),
-        F.sum(F.when(F.col("_good") == 0, 1).otherwise(0)).alias("m"), *over,
-    )
-    limit = risk / len(RULES)
-    fewest = math.log(len(RULES) / error) / -math.log1p(-limit)
-    counts = materialized(counts.filter(F.col("n") >= fewest))
-    tests = max(1, counts.count())
+    worst = F.greatest(*(F.col(f"_{r}") for r in RULES)).alias("_share")
+    known = shares.select("_id", "_stratum", worst).join(outcome.withColumnRenamed("doc_id", "_id"), "_id")
+
+    def number(good: int, least: float = 0.0) -> Column:
+        return F.sum(F.when((F.col("_good") == good) & (F.col("_share") >= least), 1).otherwise(0))
+
+    names = [f"{n}{i}" for i in range(len(CUTOFFS)) for n in "kb"]
+    over = [number(g, c).alias(f"{n}{i}") for i, c in enumerate(CUTOFFS) for g, n in ((1, "k"), (0, "b"))]
+    counts = materialized(known.groupBy("_stratum").agg(number(1).alias("n"), number(0).alias("m"), *over))
+    # As many good labels as a test without a rejected one needs, if each stratum is tested.
+    fewest = math.log(max(1, counts.count()) / error) / -math.log1p(-risk)
+    counts = counts.withColumn("_own", F.col("n") >= fewest)
+    group = F.when(F.col("_own"), F.struct(F.col("_stratum").alias("s"), F.lit(1).alias("own")))
+    counts = counts.withColumn("_group", group)  # null: those tested together
+    tested = materialized(counts.groupBy("_group").agg(*(F.sum(c).alias(c) for c in ("n", "m", *names))))
+    tests = max(1, tested.count())
     grid = F.array(*(F.struct(F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("b")) for i, c in enumerate(CUTOFFS)))
-    each = counts.select("_stratum", "rule", "n", "m", F.explode(grid).alias("g")).select("_stratum", "rule", "n", "m", "g.*")
+    each = tested.select("_group", "n", "m", F.inline(grid))
     # A count at or above the limit can't pass: the sum need not be made.
-    sure = F.when(F.col("k") < F.col("n") * limit, binomial_cdf("k", "n", limit)).otherwise(1.0)
-    lenient_first = Window.partitionBy("_stratum", "rule").orderBy(F.desc("cutoff"))
+    sure = F.when(F.col("k") < F.col("n") * risk, binomial_cdf("k", "n", risk)).otherwise(1.0)
+    lenient_first = Window.partitionBy("_group").orderBy(F.desc("cutoff"))
     each = each.withColumn("_worst", F.max(sure).over(lenient_first)).filter(
         (F.col("_worst") <= error / tests) & (F.col("b") > 0)
     )
     gain = F.col("b") / F.col("m") - GOOD_WEIGHT * F.col("k") / F.col("n")
-    best = each.groupBy("_stratum", "rule").agg(F.max(F.struct(gain.alias("gain"), "cutoff")).alias("best"))
-    entry = F.struct("rule", "best.cutoff")
-    return best.groupBy("_stratum").agg(F.map_from_entries(F.collect_list(entry)).alias("_cutoffs"))
+    best = each.groupBy("_group").agg(F.max(F.struct(gain.alias("gain"), "cutoff")).alias("best"))
+    chosen = best.select(F.col("_group").alias("_g"), F.col("best.cutoff").alias("_cutoff"))
+    return counts.join(chosen, F.col("_group").eqNullSafe(F.col("_g"))).select("_stratum", "_cutoff")
 
 
 def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """``rows`` with ``kept``. Cutoffs are broadcast if their measured size allows."""
     cut = broadcast_if_small(materialized(cutoffs.withColumnRenamed("_stratum", "_s")))
-    fails = [F.coalesce(F.col(f"_{r}") >= F.col("_cutoffs")[r], F.lit(False)) for r in RULES]
-    failed = F.col("base_failed")
-    for f in fails:
-        failed = failed | f
+    worst = F.greatest(*(F.col(f"_{r}") for r in RULES))
+    failed = F.col("base_failed") | F.coalesce(worst >= F.col("_cutoff"), F.lit(False))
     return rows.join(cut, F.col("_stratum").eqNullSafe(F.col("_s")), "left").withColumn("kept", ~failed)
 
 
@@ -153,7 +153,8 @@ def quality_report(
 
     A null or empty text has no words and fails; a null stratum is one of its own; a row without
     a key can't be labelled but is judged. Repeated rows are judged alike, and repeated keys
-    count as often as they occur. No labels, or too few, leave the base rule alone to reject.
+    count as often as they occur. No labels, or too few even together, leave the base rule alone to
+    reject, as does a stratum without any.
     """
     shares = [f"_{r}" for r in RULES]
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

@@ -1,6 +1,9 @@
 import math
+import unicodedata
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import quality_counts
 from pyspark.sql import functions as F
@@ -31,34 +34,39 @@ def test_binomial_tail_is_exact(spark):
 
 def test_cutoffs_hold_the_risk(spark):
     """Bad documents are full of symbols; in one language good ones are as well, so there the rule
-    must not be used; in another there are too few labels."""
+    must not be used; many small ones have enough labels together; one has none."""
     rng = np.random.default_rng(7)
     rows, labels = [], []
     for i in range(3000):
-        lang = ("en", "de", "xx")[min(2, i % 50 // 24)]
+        lang = ("en", "de", f"x{i % 7}")[min(2, i % 50 // 23)]
         bad = rng.random() < 0.3
         marked = bad or (lang == "de" and rng.random() < 0.5)
         words = [f"w{rng.integers(500)}" + ("#" if marked and rng.random() < 0.6 else "") for _ in range(40)]
         rows.append((i, " ".join(words), lang))
         labels.append((i, int(not bad)))
+    rows += [(5000 + i, rows[i][1], "none") for i in range(100)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     known = spark.createDataFrame(labels, "doc_id bigint, quality int")
-    got = risk_rules.quality_report(docs, known).join(known, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
-    lost = {(r["lang"], r["quality"]): r["lost"] for r in got.groupBy("lang", "quality").agg(F.avg((~F.col("kept")).cast("int")).alias("lost")).collect()}
-    assert lost["en", 0] == 1 and lost["en", 1] == 0
-    assert lost["de", 0] == lost["xx", 0] == 0
-    kept = risk_rules.keep_quality(docs, known)
-    assert kept.columns == docs.columns and kept.count() == got.filter("kept").count()
-
-
-def test_every_stratum_with_enough_labels_has_cutoffs(spark):
+    judged = risk_rules.quality_report(docs, known).join(docs.select("doc_id", "lang"), "doc_id")
+    got = judged.join(known, "doc_id").withColumn("kind", F.left("lang", F.lit(1)))
+    lost = {(r["kind"], r["quality"]): r["lost"] for r in got.groupBy("kind", "quality").agg(F.avg((~F.col("kept")).cast("int")).alias("lost")).collect()}
+    assert lost["e", 0] == lost["x", 0] == 1 and lost["e", 1] == lost["x", 1] == 0
+    assert lost["d", 0] == 0 and judged.filter("lang = 'none' AND NOT kept").count() == 0
+    few = known.filter("doc_id % 50 < 46 OR doc_id < 700")  # the small ones have too few, even together
+    kept = risk_rules.quality_report(docs, few).join(docs.filter("lang LIKE 'x%'"), "doc_id")
+    assert kept.filter("NOT kept").count() == 0
+    rest = risk_rules.keep_quality(docs, known)
+    assert rest.columns == docs.columns and rest.count() == judged.filter("kept").count()
+
+
+def test_every_stratum_with_enough_labels_has_a_cutoff(spark):
     """More strata than any fixed number: bad documents are full of symbols in all of them."""
     strata = 10_300
     rows = spark.range(4 * strata).selectExpr("id AS _id", f"id % {strata} AS _stratum", f"id DIV {strata} AS turn")
     shares = rows.selectExpr("_id", "_stratum", "IF(turn = 3, 1.0D, 0.0D) AS _symbols", *(f"0.0D AS _{r}" for r in risk_rules.RULES[1:]))
     labels = rows.selectExpr("_id AS doc_id", "IF(turn = 3, 0, 1) AS quality")
-    got = risk_rules.calibrated(shares, labels, risk=4.995, error=0.05)
-    assert got.count() == strata and got.filter("_cutoffs['symbols'] IS NULL").count() == 0
+    got = risk_rules.calibrated(shares, labels, risk=0.999, error=0.05)
+    assert got.count() == strata and got.filter("_cutoff IS NULL").count() == 0
 
 
 def test_odd_tables_are_filtered(odd, none, spark):
@@ -214,6 +222,54 @@ def test_site_quality_learns_both_levels(spark):
     assert site_quality.scored(docs.limit(0), out, site).count() == 0
 
 
+def test_site_priors_equal_brute_force(spark):
+    """Posteriors by level, each document's own label left out, strengths by moments."""
+    rng = np.random.default_rng(11)
+    rows, outcomes, sites = [], {}, {}
+    for i in range(900):
+        host, path = f"h{rng.integers(12)}", (None, "a", "b", "c")[rng.integers(4)]
+        good = int(rng.random() < 0.2 + 0.06 * int(host[1:]) * (1 if path == "a" else 0.5))
+        rows.append((i, "word"))
+        if i % 7:
+            sites[i] = (host, path)
+        if i % 5:
+            outcomes[i] = good
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = spark.createDataFrame(list(outcomes.items()), "doc_id bigint, good int")
+    site = spark.createDataFrame([(d, *s) for d, s in sites.items()], "doc_id bigint, host string, path string")
+    got = {r["doc_id"]: r for r in site_quality.scored(docs, out, site).collect()}
+
+    def counted(keys):
+        groups = defaultdict(lambda: [0, 0])
+        for d, y in outcomes.items():
+            if d in sites:
+                groups[keys(sites[d])][0] += 1
+                groups[keys(sites[d])][1] += y
+        return groups
+
+    def strength(groups, expected):
+        spread = sum(n * (k / n - expected(g)) ** 2 / (expected(g) * (1 - expected(g))) for g, (n, k) in groups.items())
+        count, total = len(groups), sum(n for n, _ in groups.values())
+        excess = (spread - count) / (total - count)
+        return 1000.0 if excess <= 0 else min(1000.0, max(1.0, (1 - excess) / excess))
+
+    rate = (sum(outcomes.values()) + 0.5) / (len(outcomes) + 1)
+    hosts, paths = counted(lambda s: s[0]), counted(lambda s: s)
+    s_host = strength(hosts, lambda g: rate)
+    host_rate = lambda h, n=0, k=0: (hosts[h][1] - k + rate * s_host) / (hosts[h][0] - n + s_host)
+    s_path = strength(paths, lambda g: host_rate(g[0]))
+    for d, r in got.items():
+        n, k = (1, outcomes[d]) if d in outcomes else (0, 0)
+        want = rate
+        if d in sites:
+            host, path = sites[d]
+            want = (paths[host, path][1] - k + host_rate(host, n, k) * s_path) / (paths[host, path][0] - n + s_path)
+        assert r["site_prior"] == pytest.approx(want, rel=1e-9)
+        odds = r["evidence"] + math.log(want / (1 - want))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
+    assert len({round(r["site_prior"], 6) for r in got.values()}) > 30
+
+
 # --- languages ------------------------------------------------------------------------------
 
 
@@ -226,21 +282,95 @@ def test_languages_of_held_out_documents(sample):
     assert got.filter("score < 0 OR score > 1").count() == 0
 
 
-def test_prediction_equals_word_by_word(sample):
+def letters(text):
+    """Runs of letters by their Unicode category."""
+    runs, run = [], ""
+    for c in (text or "").lower() + " ":
+        if unicodedata.category(c).startswith("L"):
+            run += c
+        elif run:
+            runs.append(run)
+            run = ""
+    return runs
+
+
+def brute_languages(learnt, asked):
+    """Fit, backoff and score in plain Python: lists of (lang, text) and of texts."""
+    words, grams = defaultdict(Counter), defaultdict(Counter)
+    pieces = lambda w, n: [p[i : i + n] for p in [f"^{w}$" if n > 1 else w] for i in range(len(p) - n + 1)]
+    for lang, text in learnt:
+        for w in letters(text):
+            words[w][lang] += 1
+            for n in (1, 2, 3, 4):
+                for g in pieces(w, n):
+                    grams[g][lang] += 1
+    langs = sorted({lang for lang, _ in learnt})
+
+    def logs(table, group):
+        totals, sizes = defaultdict(Counter), Counter()
+        for e, counts in table.items():
+            totals[group(e)].update(counts)
+            sizes[group(e)] += 1
+        return {e: [math.log((c[x] + 0.5) / (totals[group(e)][x] + 0.5 * sizes[group(e)])) for x in langs] for e, c in table.items()}
+
+    word_logs, gram_logs = logs(words, lambda e: 0), logs(grams, len)
+
+    def score(w):
+        if w in word_logs:
+            return word_logs[w]
+        for n in (4, 3, 2, 1):
+            known = [gram_logs[g] for g in pieces(w, n) if g in gram_logs]
+            if known:
+                return [sum(x) / len(known) for x in zip(*known)]
+        return [0.0] * len(langs)
+
+    out = []
+    for text in asked:
+        found = [score(w) for w in letters(text)]
+        if not found:
+            out.append(("und", 0.0))
+            continue
+        mean = [sum(x) / len(found) * min(len(found), 24) for x in zip(*found)]
+        best = max(range(len(langs)), key=lambda i: mean[i])
+        out.append((langs[best], 1 / sum(math.exp(m - mean[best]) for m in mean)))
+    return out
+
+
+@pytest.mark.parametrize("cells", [language.CELLS, 300])
+def test_fit_backoff_and_score_equal_brute_force(spark, sample, odd_rows, monkeypatch, cells):
+    """Also with a table of tokens so small that it is begun anew all the time."""
+    init = language.Scorer.__init__
+    monkeypatch.setattr(language.Scorer, "__init__", lambda self, model, _=0: init(self, model, cells))
+    learnt = [(r["lang"], r["text"]) for r in sample.filter("doc_id % 3 = 0").collect()]
+    model = language.fit(sample.filter("doc_id % 3 = 0"))
+    asked = [r["text"] for r in sample.filter("doc_id % 3 = 1").collect()] + [r[1] for r in odd_rows]
+    asked += ["² ½ ③ Ⅷ", "m² des² x³y", "İstanbul ŉ ǅ", "qqqq zzzx"]
+    sums = np.vstack([language.Scorer(model).texts(pa.array([t or ""], pa.large_string())) for t in asked])
+    langs, shares = language.verdicts(model, sums)
+    want = brute_languages(learnt, asked)
+    assert langs == [w[0] for w in want]
+    assert shares == pytest.approx([w[1] for w in want], rel=1e-6, abs=1e-9)
+
+
+def test_a_rare_language_keeps_its_words(spark):
+    """One document in 2,500, far fewer words than the others have, a small model."""
+    rng = np.random.default_rng(3)
+    word = {x: ["".join(rng.choice(list(a), 6)) for _ in range(n)] for x, a, n in (("aa", "abcdefgh", 3000), ("bb", "ijklmnop", 3000), ("rr", "abijqrst", 40))}
+    kinds = ["rr" if i % 2500 == 0 else ("aa", "bb")[i % 2] for i in range(5000)]
+    rows = [(i, " ".join(rng.choice(word[k], 25)), k) for i, k in enumerate(kinds)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    model = language.fit(docs, sample_docs=300, words=600, grams=300)
+    assert set(word["rr"]) & set(model.words) and len(model.words) <= 600
+    new = [(i, " ".join(rng.choice(word["rr"], 25)), None) for i in range(20)]
+    got = language.predict(spark.createDataFrame(new, "doc_id bigint, text string, lang string"), model)
+    assert {r["lang_pred"] for r in got.collect()} == {"rr"}
+
+
+def test_digits_that_are_no_letters(spark, sample):
     model = language.fit(sample)
-    got = {r["doc_id"]: r for r in language.predict(sample, model).collect()}
-    for r in sample.limit(20).collect():
-        words = language.LETTERS.findall(r["text"].lower())
-        scores = sum(language.word_score(model, w) for w in words)
-        assert got[r["doc_id"]]["lang_pred"] == model.languages[int(np.argmax(scores))]
-
-
-def test_backoff_uses_the_longest_known_grams():
-    model = language.Model(["x", "y"], {"word": np.array([0.0, -9.0])}, {"^abc": np.array([-1.0, -2.0]), "z": np.array([-3.0, -1.0])})
-    assert language.word_score(model, "word")[1] == -9
-    assert language.word_score(model, "abcd").tolist() == [-1.0, -2.0]
-    assert language.word_score(model, "zq").tolist() == [-3.0, -1.0]
-    assert language.word_score(model, "q").tolist() == [0.0, 0.0]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["²", "½ ③", "Ⅷ", "_ 1", "a²"])], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, model).collect()}
+    assert [got[i] for i in range(4)] == [("und", 0.0)] * 4 and got[4][0] != "und"
 
 
 def test_odd_texts_have_a_language(odd, none, sample):
