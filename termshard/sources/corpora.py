@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from termshard.operators.bounds import BROADCAST_ROWS
 from termshard.sources import literals, records
 
 # Names a text column may have, best first.
@@ -34,26 +33,6 @@ def pick_text_column(
     raise ValueError(f"no text column among {names}")
 
 
-def number_documents(
-    rows: DataFrame, file: str = records.FILE, row_no: str = records.ROW_NO
-) -> DataFrame:
-    """``doc_id`` = position over all files of one corpus, files in name order.
-
-    Only per-file counts are ordered globally; the rows themselves are not sorted. There is
-    one count per file of the scan, a number the driver knows from listing them.
-    """
-    files = rows.groupBy(file).agg((F.max(row_no) + 1).alias("rows_in_file"))
-    in_order = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select(
-        file, F.coalesce(F.sum("rows_in_file").over(in_order), F.lit(0)).alias("offset")
-    )
-    if len(rows.inputFiles()) <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    position = (F.col("offset") + F.col(row_no)).alias("doc_id")
-    kept = [F.col(c) for c in rows.columns if c not in (file, row_no)]
-    return rows.join(offsets, file).select(*kept, position)
-
-
 def read_csv_corpus(
     spark: SparkSession,
     path,
@@ -63,15 +42,15 @@ def read_csv_corpus(
     repair: bool = False,
     first_if_none: bool = False,
 ) -> DataFrame:
-    """``(theme, doc_id, text)`` of one CSV corpus, numbered by position unless it has a key."""
+    """``(theme, doc_id, text)`` of one CSV corpus, numbered by position unless it has a key: over all
+    files, in the order of their names."""
     rows = records.read_rows(spark, path, repair)
     text = pick_text_column(rows.schema[records.DATA].dataType, text_col, first_if_none)
     fields = [F.col(records.DATA)[text].alias("text")]
     if id_col:
         key = F.col(records.DATA)[id_col].cast("bigint").alias("doc_id")
         return rows.select(F.lit(theme).alias("theme"), key, *fields)
-    numbered = number_documents(rows.select(records.FILE, records.ROW_NO, *fields))
-    return numbered.select(F.lit(theme).alias("theme"), "doc_id", "text")
+    return rows.select(F.lit(theme).alias("theme"), F.col(records.POSITION).alias("doc_id"), *fields)
 
 
 def as_documents(

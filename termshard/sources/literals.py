@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.sources.records import DATA, FILE, ROW_NO, read_rows, write_csv
+from termshard.sources.records import DATA, POSITION, read_rows, write_csv
 
 # Fixed value: the one column of a clean corpus.
 CLEAN_COLUMN = "clean_tokens"
@@ -40,11 +40,10 @@ def write_clean_csv(tokens: DataFrame, path: str) -> None:
 
 def read_clean_csv(spark: SparkSession, path, theme: str) -> DataFrame:
     """``(theme, doc_id, tokens)``; the id is the 0-based position of the row in the corpus."""
-    from termshard.sources.corpora import number_documents
-
     rows = read_rows(spark, path)
     require_column(rows.select(f"{DATA}.*"))
-    literal = F.col(DATA)[CLEAN_COLUMN].alias(CLEAN_COLUMN)
-    return number_documents(rows.select(FILE, ROW_NO, literal)).select(
-        F.lit(theme).alias("theme"), "doc_id", from_literal(F.col(CLEAN_COLUMN)).alias("tokens")
+    return rows.select(
+        F.lit(theme).alias("theme"),
+        F.col(POSITION).alias("doc_id"),
+        from_literal(F.col(DATA)[CLEAN_COLUMN]).alias("tokens"),
     )

@@ -104,6 +104,61 @@ def test_missing_clean_column_names_the_columns(spark, tmp_path):
         literals.read_clean_csv(spark, str(tmp_path / "no.csv"), "a")
 
 
+@pytest.mark.parametrize("size", ["53", "301", "100000"])
+@pytest.mark.parametrize("seed", [3, 4])
+def test_records_and_splits_of_any_size(spark, tmp_path, seed, size):
+    """Records longer than splits, splits without an end, quotes at every place, blank lines, two
+    files in one task: as Python's own reader of CSV has it."""
+    rng = random.Random(seed)
+    folder = tmp_path / "some"
+    folder.mkdir()
+    want = {}
+    for name in ("a", "b", "c"):
+        rows = random_rows(rng.randrange(1000), 40) + [["long", "\n".join(["x" * 40, '"', ""] * 9)]]
+        rng.shuffle(rows)
+        write(folder / f"{name}.csv", rows)
+        want |= {(name, i): r for i, r in enumerate(rows)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = records.read_rows(spark, str(folder)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {(r["file"].split("/")[-1][0], r["row_no"]): list(r["data"]) for r in got} == want
+    order = sorted(got, key=lambda r: (r["file"], r["row_no"]))
+    assert [r["position"] for r in order] == list(range(len(want)))
+
+
+def test_lines_are_read_twice_and_records_not_shuffled(spark, tmp_path):
+    write(tmp_path / "p.csv", [[str(i), f"text {i}"] for i in range(50)])
+    rows = records.read_rows(spark, str(tmp_path / "p.csv"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange hashpartitioning" not in plan
+    assert rows.count() == 50
+
+
+def test_headers_of_many_files_take_no_job_each(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(60):
+        (folder / f"{i:03}.csv").write_text(f"id,text\n{i},t\n" if i % 2 else f"text,id\nt,{i}\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    rows = records.read_rows(spark, str(folder))
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20
+    assert {r["data"]["id"] for r in rows.collect()} == {str(i) for i in range(60)}
+
+
+def test_headers_with_odd_names(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('"a\nb",,x,X,"q""q"\n1,2,3,4,5\n')
+    assert records.read_csv(spark, str(tmp_path / "h.csv")).columns == ["file", "row_no", "a\nb", "_c1", "x2", "X3", 'q"q']
+    (tmp_path / "e.csv").write_text("")
+    assert records.read_rows(spark, str(tmp_path / "e.csv")).count() == 0
+
+
 def test_columns_may_have_any_name(spark, tmp_path):
     (tmp_path / "f.csv").write_text('File,row_no,data,text\na,b,c,"d\ne"\n')
     got = records.read_csv(spark, str(tmp_path / "f.csv"))
