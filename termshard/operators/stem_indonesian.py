@@ -3,8 +3,8 @@
 After Adriani, Asian, Nazief, Tahaghoghi and Williams, "Stemming Indonesian: a
 confix-stripping approach", ACM TALIP 6(4), 2007. Every word yields an array of candidates:
 with and without its particle, possessive and suffix, then with up to three prefixes taken
-off. The candidate that is a root and comes first in the order of stripping is the stem; a
-word without such a candidate stays as it is.
+off, then without an infix after the first consonant. The candidate that is a root and comes
+first in the order of stripping is the stem; a word without such a candidate stays as it is.
 
 The contract is these rules and the caller's roots.
 """
@@ -14,6 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termshard.operators.bounds import materialized
+from termshard.operators.skew import join_by_term
+
 MIN_STEM_LENGTH = 2
 SHORTEST_STEMMED = 4
 MAX_PREFIXES = 3
@@ -21,7 +24,10 @@ MAX_PREFIXES = 3
 # The endings, outermost first.
 PARTICLES = ("lah", "kah", "tah", "pun")
 POSSESSIVES = ("ku", "mu", "nya")
-SUFFIXES = ("i", "kan", "an")
+SUFFIXES = ("i", "kan", "an", "is", "isme", "isasi")
+
+# Infixes, between the first consonant of a word and a vowel.
+INFIXES = ("er", "el", "em", "in")
 
 # Prefix families and what each form leaves of the word, by pattern.
 PREFIX_RULES = (
@@ -72,6 +78,8 @@ PREFIX_RULES = (
     ("pe", "^pe(l[aiueo])", "$1"),
     ("pe", "^pe([^aiueorwylmn]er[aiueo])", "$1"),
     ("pe", "^pe([^aiueorwylmn][^e])", "$1"),
+    ("ku", "^ku(..)", "$1"),
+    ("ka", "^kau(..)", "$1"),
 )
 
 # Prefix and suffix that no word takes together.
@@ -132,6 +140,17 @@ def _without_prefix(round_no: int) -> str:
     return f"coalesce(transform({matching}, r -> {stripped}), array())"
 
 
+def _without_infix() -> str:
+    listed = ", ".join(
+        f"struct('^([^aiueo]){infix}([aiueo])' AS pattern, {n} AS n)"
+        for n, infix in enumerate(INFIXES, len(PREFIX_RULES) + 1)
+    )
+    shorter = _candidate(
+        "regexp_replace(c.form, r.pattern, '$1$2')", prefixes="c.prefixes + 1", path="c.path * 100 + r.n"
+    )
+    return f"transform(filter(array({listed}), r -> c.form RLIKE r.pattern), r -> {shorter})"
+
+
 def _bare(term: str) -> str:
     first = _candidate(
         term, suffix="''", stripped="0", family="''", prefixes="0", path="CAST(0 AS BIGINT)"
@@ -146,6 +165,7 @@ def candidates(term: str) -> Column:
         grown = _grow(grown, _without_ending(endings, is_suffix))
     for round_no in range(1, MAX_PREFIXES + 1):
         grown = _grow(grown, _without_prefix(round_no))
+    grown = _grow(grown, _without_infix())
     return F.expr(
         f"CASE WHEN length({term}) >= {SHORTEST_STEMMED} THEN {grown} ELSE {_bare(term)} END"
     )
@@ -159,32 +179,36 @@ def _order(term: Column, c: Column) -> Column:
         F.when((c["prefixes"] == 0) & (c["stripped"] == 0), 0)
         .when(prefix_first, c["prefixes"])
         .when(c["prefixes"] == 0, 10 + c["stripped"])
-        .otherwise(20 + (3 - c["stripped"]) * 4 + c["prefixes"])
+        .otherwise(20 + (3 - c["stripped"]) * 5 + c["prefixes"])
     )
     return F.struct(step.alias("step"), c["path"].alias("path"), c["form"].alias("form"))
 
 
 def with_indonesian_stem(
-    words: DataFrame, roots: DataFrame, roots_fit: bool, term: str = "term", stem: str = "id_stem"
-) -> DataFrame:
+    words: DataFrame, roots: DataFrame, roots_fit: bool, term: str = "term", stem: str = "id_stem",
+    hot: int | None = None,
+) -> DataFrame:
     """Add the stem of each distinct word.
 
     With roots that fit a broadcast there is no shuffle: the words are already partitioned by
-    themselves.
+    themselves. Beyond that the forms are looked up by shuffle; those that most words share, short
+    ones mostly, roots or not, are served by a broadcast apart (``hot``: those of more words).
     """
     others = [c for c in words.columns if c != term]
     root = roots.select(F.col("term").alias("form"), F.lit(True).alias("is_root"))
     best = F.min(F.when(F.col("is_root"), F.col("at")))
+    forms = words.select("*", F.explode_outer(candidates(term)).alias("c")).select(
+        term, *others, F.col("c.form").alias("form"), _order(F.col(term), F.col("c")).alias("at")
+    )
+    if roots_fit:
+        known = forms.join(F.broadcast(root), "form", "left")
+    else:
+        forms = materialized(forms)
+        uses = forms.groupBy("form").agg(F.count("*").alias("uses"))
+        table = materialized(uses.join(root.distinct(), "form", "left"))
+        known = join_by_term(forms, table, ["form"], broadcast=False, limit=hot)
     return (
-        words.select("*", F.explode_outer(candidates(term)).alias("c"))
-        .select(
-            term,
-            *others,
-            F.col("c.form").alias("form"),
-            _order(F.col(term), F.col("c")).alias("at"),
-        )
-        .join(F.broadcast(root) if roots_fit else root, "form", "left")
-        .groupBy(term)
+        known.groupBy(term)
         .agg(best.alias("best"), *[F.first(c).alias(c) for c in others])
         .select(term, *others, F.coalesce(F.col("best.form"), F.col(term)).alias(stem))
     )

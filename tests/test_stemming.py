@@ -20,7 +20,9 @@ controll control roll roll monitoring monitor dying die skies sky yes ye at at""
 INDONESIAN = """menyapu sapu memukul pukul diambilnya ambil pelajaran ajar membaca baca bermain
 main belajar ajar makanan makan mengambil ambil menulis tulis pengiriman kirim mempermainkan main
 kekasihku kasih bukulah buku memperbaiki baik dipertanyakan tanya berlari lari mengecat cat
-perlakuan laku gerakan gerak dan dan xyzabc xyzabc""".split()
+perlakuan laku gerakan gerak dan dan xyzabc xyzabc kuambil ambil kauambil ambil idealisme ideal
+normalisasi normal gerigi gigi kinerja kerja telunjuk tunjuk gemuruh guruh idealis ideal
+kemuning kuning""".split()
 
 
 def pairs(flat):
@@ -44,13 +46,22 @@ def test_indonesian(spark):
     assert {r["term"]: r["id_stem"] for r in got} == golden
 
 
-def test_shuffled_roots_give_the_same(spark):
+@pytest.mark.parametrize("hot", [None, 0, 1, 1000])
+def test_shuffled_roots_give_the_same(spark, hot):
     golden = pairs(INDONESIAN)
     roots = table(spark, set(golden.values()) - {"xyzabc"})
-    got = with_indonesian_stem(table(spark, golden), roots, roots_fit=False).collect()
+    got = with_indonesian_stem(table(spark, golden), roots, roots_fit=False, hot=hot).collect()
     assert {r["term"]: r["id_stem"] for r in got} == golden
 
 
+def test_forms_that_many_words_share_are_not_shuffled(spark):
+    """A short form of every word is one task's key in a plain join; here it comes by broadcast."""
+    words = table(spark, [f"di{'abcdefghijklmnop'[i % 16]}{'xyz'[i % 3]}{i}an".replace("0", "o") for i in range(300)] + ["dimakan"])
+    got = with_indonesian_stem(words, table(spark, ["makan"]), roots_fit=False, hot=2)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and got.filter("id_stem = 'makan'").count() == 1
+
+
 def test_forbidden_pair_stays(spark):
     got = with_indonesian_stem(table(spark, ["diajaran"]), table(spark, ["ajar"]), True)
     assert got.first()["id_stem"] == "diajaran"
