@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termshard.functions.display import document_key, preview, shown_score
 from termshard.functions.tokens import MIN_INDEXED_LENGTH
-from termshard.operators import bow
+from termshard.operators import bow, impacts
 from termshard.operators.bounds import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
@@ -30,19 +30,32 @@ DEFAULT_RESULTS = 5
 @dataclass(frozen=True)
 class BowIndex:
     """Postings and vocabulary. ``themes`` lists the corpora, with ``ordinal`` if they have
-    an order; otherwise equal scores are ordered by theme name."""
+    an order; otherwise equal scores are ordered by theme name. ``levels`` are the impact levels of
+    the words, if they are stored."""
 
     postings: DataFrame
     vocabulary: DataFrame
     themes: DataFrame
+    levels: DataFrame | None = None
 
     def only(self, theme: str) -> BowIndex:
         here = F.col("theme") == theme
         return BowIndex(
-            self.postings.filter(here), self.vocabulary.filter(here), self.themes.filter(here)
+            self.postings.filter(here),
+            self.vocabulary.filter(here),
+            self.themes.filter(here),
+            None if self.levels is None else self.levels.filter(here),
         )
 
 
+def cosine_impact() -> Column:
+    return F.col("tf") / F.sqrt(F.col("norm_sq").cast("double"))
+
+
+def cosine_levels(postings: DataFrame) -> DataFrame:
+    return impacts.impact_levels(postings, cosine_impact())
+
+
 def bow_index(tokens: DataFrame, themes: DataFrame | None = None) -> BowIndex:
     postings = bow.postings(tokens)
     if themes is None:
@@ -76,10 +89,20 @@ def query_weights(terms: DataFrame, vocabulary: DataFrame, small: bool = False)
 
 
 def scores(
-    terms: DataFrame, index: BowIndex, limit: int | None = None, small: bool | None = None
+    terms: DataFrame,
+    index: BowIndex,
+    limit: int | None = None,
+    small: bool | None = None,
+    best: int | None = None,
+    prune: bool | None = None,
 ) -> DataFrame:
     """``(query_id, theme, doc_id, similarity_score)`` of every document that shares a word.
-    ``small``: whether the query side may be broadcast; it is measured if not given."""
+    ``small``: whether the query side may be broadcast; it is measured if not given.
+
+    With ``best`` only the documents that can be among that many of a query and theme need be
+    given. ``prune``: whether to find these by impact bounds first; a large batch does where most
+    of its postings are of words that don't decide.
+    """
     rows, words = counted_values(terms, "term")
     if small is None:
         size = measured_size(terms)[1] if words is None else 0  # listed words are few
@@ -90,6 +113,16 @@ def scores(
         postings = postings.filter(one_of("term", words))
         vocabulary = vocabulary.filter(one_of("term", words))
     weights = query_weights(terms, vocabulary, small)
+    found = None
+    if best is not None and prune is not False and (prune or rows >= impacts.BATCH_WORDS):
+        levels = cosine_levels(postings) if index.levels is None else index.levels
+        weight = (F.col("qtf") / F.sqrt(F.col("q_norm_sq").cast("double"))).alias("weight")
+        weighted = weights.select("query_id", "theme", "term", weight)
+        bounds = materialized(impacts.bounded(weighted, levels, best, small))
+        if prune or impacts.is_worth_it(bounds):
+            found = impacts.candidates(postings, cosine_impact(), bounds, vocabulary, best, small, limit)
+            fewer = impacts.only_documents(postings, found)
+            postings, found = (postings, None) if fewer is None else (fewer, found)
     needed = postings.select("theme", "term", "doc_id", "tf", "norm_sq")
     dots = (
         join_postings(needed, weights, vocabulary, small, limit)
@@ -100,6 +133,8 @@ def scores(
             F.max("q_norm_sq").alias("q_norm_sq"),
         )
     )
+    if found is not None:
+        dots = impacts.only_found(dots, found)
     norms = F.sqrt(F.col("norm_sq").cast("double") * F.col("q_norm_sq").cast("double"))
     return dots.select(
         "query_id", "theme", "doc_id", (F.col("dot") / norms).alias("similarity_score")
@@ -107,10 +142,15 @@ def scores(
 
 
 def search_each(
-    queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS, small: bool | None = None
+    queries: DataFrame,
+    index: BowIndex,
+    n: int = DEFAULT_RESULTS,
+    small: bool | None = None,
+    prune: bool | None = None,
 ) -> DataFrame:
     """The best ``n`` documents of every theme for every query."""
-    scored = scores(query_terms(queries), index, small=small)
+    checked_count(n)
+    scored = scores(query_terms(queries), index, small=small, best=n, prune=prune)
     order = [by_score("similarity_score", COSINE_DIGITS), F.col("doc_id")]
     return top_n(scored, n, ["query_id", "theme"], order, rank="theme_rank")
 
@@ -122,14 +162,16 @@ def search_theme(
     return search_each(queries, index.only(theme), n)
 
 
-def search_all(queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS) -> DataFrame:
+def search_all(
+    queries: DataFrame, index: BowIndex, n: int = DEFAULT_RESULTS, prune: bool | None = None
+) -> DataFrame:
     """The best ``n`` documents over all themes, with their rank overall and in the theme.
 
     Equal scores keep the order of the themes, then of the documents. The hits of a theme
     are its best ones, so their rank among the hits is their rank in the theme.
     """
     checked_count(n)
-    scored = scores(query_terms(queries), index)
+    scored = scores(query_terms(queries), index, best=n, prune=prune)
     theme_order = [F.col("theme"), F.col("doc_id")]
     if "ordinal" in index.themes.columns:
         ordinals = broadcast_if_small(index.themes.select("theme", "ordinal"))

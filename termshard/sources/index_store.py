@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termshard.operators.bow import postings, shard_by_document, vocabulary
-from termshard.operators.cosine import BowIndex
+from termshard.operators.cosine import BowIndex, cosine_levels
 from termshard.operators.fulltext import (
     TextIndex,
+    bm25_levels,
     corpus_stats,
     text_doc_stats,
     text_postings,
 )
+from termshard.operators.patterns import backward_terms, term_grams
 
 TOKENS_PER_BUCKET = 20_000_000
 LEAST_BUCKETS = 8
@@ -89,6 +91,7 @@ def build_bow_index(
     _write_bucketed(postings(tokens, buckets), path, "postings", buckets, ["term"])
     stored = _open_bucketed(spark, path, "postings", ["term"])
     _write_by_term(vocabulary(stored), f"{path}/vocabulary")
+    _write_by_term(cosine_levels(stored), f"{path}/levels")
     if themes is None:
         themes = tokens.select("theme").distinct()
     if "ordinal" not in themes.columns:
@@ -105,6 +108,7 @@ def open_bow_index(spark: SparkSession, path: str) -> BowIndex:
         _open_bucketed(spark, path, "postings", ["term"]),
         spark.read.parquet(f"{path}/vocabulary"),
         themes,
+        spark.read.parquet(f"{path}/levels"),
     )
 
 
@@ -120,11 +124,16 @@ def build_text_index(
         F.count("*").alias("df"), F.sum("tf").alias("cf")
     )
     _write_by_term(counts, f"{path}/vocabulary")
+    terms = spark.read.parquet(f"{path}/vocabulary")
+    _write_by_term(backward_terms(terms), f"{path}/backward", "backward")
+    _write_by_term(term_grams(terms), f"{path}/grams", "gram")
     stats = text_doc_stats(tokens).repartition(buckets, "doc_id")
     _write_bucketed(stats, path, "doc_stats", buckets, ["doc_id"])
     corpus_stats(_open_bucketed(spark, path, "doc_stats", ["doc_id"])).write.parquet(
         f"{path}/corpus_stats"
     )
+    levels = bm25_levels(stored, spark.read.parquet(f"{path}/corpus_stats"))
+    _write_by_term(levels, f"{path}/levels")
     return open_text_index(spark, path)
 
 
@@ -134,6 +143,9 @@ def open_text_index(spark: SparkSession, path: str) -> TextIndex:
         spark.read.parquet(f"{path}/vocabulary"),
         _open_bucketed(spark, path, "doc_stats", ["doc_id"]),
         spark.read.parquet(f"{path}/corpus_stats"),
+        spark.read.parquet(f"{path}/backward"),
+        spark.read.parquet(f"{path}/grams"),
+        spark.read.parquet(f"{path}/levels"),
     )
 
 
@@ -150,9 +162,9 @@ def open_tokens(spark: SparkSession, path: str) -> DataFrame:
     return _open_bucketed(spark, path, "tokens", ["doc_id"])
 
 
-def _write_by_term(vocabulary: DataFrame, path: str) -> None:
+def _write_by_term(rows: DataFrame, path: str, term: str = "term") -> None:
     """Range-partitioned by term: a look-up of a few terms opens a few files."""
-    vocabulary.repartitionByRange("term").sortWithinPartitions("term").write.parquet(path)
+    rows.repartitionByRange(term).sortWithinPartitions(term).write.parquet(path)
 
 
 def searchable_themes(index: BowIndex | TextIndex) -> list[str]:

@@ -143,3 +143,30 @@ def test_scoring_needs_no_shuffle_of_postings(spark, corpus_df):
     lines = plan.toString().splitlines()
     joined = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [theme" in line)
     assert not any("Exchange" in line for line in lines[:joined])
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+def test_impact_bounds_lose_nothing(spark, corpus_df, n):
+    """Frequent words, words in one document, repeated words, words nobody knows; few and many hits."""
+    index = cosine.bow_index(corpus_df)
+    queries = spark.createDataFrame(
+        [(i, ["hot", f"w{i}", f"w{2 * i}", "w1", "w1", "unknown"][: i % 6 + 1]) for i in range(1, 20)], "query_id bigint, tokens array<string>"
+    )
+    rows = lambda df: sorted((r["query_id"], r["theme"], r["theme_rank"], r["doc_id"], r["similarity_score"]) for r in df.collect())
+    plain = rows(cosine.search_each(queries, index, n, prune=False))
+    for small in (True, False):
+        assert rows(cosine.search_each(queries, index, n, small=small, prune=True)) == plain
+    best = cosine.search_all(queries, index, n, prune=True).collect()
+    assert sorted(map(tuple, best)) == sorted(map(tuple, cosine.search_all(queries, index, n).collect()))
+
+
+def test_impact_bounds_leave_few_documents(spark):
+    """Of many documents with a frequent word only those with the telling one come to be scored."""
+    rows = [("t", i, ["common"] + [f"x{i}y"] * 3 + (["rare"] * 4 if i % 100 == 0 else [])) for i in range(3000)]
+    tokens = spark.createDataFrame(rows, "theme string, doc_id bigint, tokens array<string>")
+    index = cosine.bow_index(tokens)
+    terms = cosine.query_terms(spark.createDataFrame([(1, ["common", "rare"])], "query_id bigint, tokens array<string>"))
+    every = cosine.scores(terms, index)
+    few = cosine.scores(terms, index, best=5, prune=True)
+    assert every.count() == 3000 and few.count() == 30
+    assert every.join(few, ["query_id", "theme", "doc_id", "similarity_score"], "left_semi").count() == 30
