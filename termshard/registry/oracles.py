@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from string import ascii_lowercase
 
-from termshard.operators import stem_english as E
-from termshard.operators import stem_indonesian as I
 from termshard.registry import queries as Q
 from termshard.functions.tokens import ENGLISH_STOP_WORDS, HEADER_WORDS
 from termshard.sources.stopwords import INDONESIAN_STOP_WORDS
@@ -149,6 +147,79 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in rows)
 
 
+# The rules of both stemmers, written out here so that the SQL shares nothing with what it tests.
+# Indonesian endings, infixes, prefix rules as family, pattern and what is left.
+PARTICLES = "lah kah tah pun".split()
+POSSESSIVES = "ku mu nya".split()
+ENDINGS = "i kan an is isme isasi".split()
+INFIXES = "er el em in".split()
+NEVER_TOGETHER = "be-i di-an ke-i ke-kan me-an se-i se-kan te-an".split()
+PREFIXES = [line.split() for line in r"""
+di ^di(..) \1
+ke ^ke(..) \1
+se ^se(..) \1
+be ^ber([aiueo]) \1
+be ^be(r[aiueo]) \1
+be ^ber([^aiueor]) \1
+be ^bel(ajar)$ \1
+be ^be([^aiueorl]er[^aiueo]) \1
+te ^ter([aiueo]) \1
+te ^te(r[aiueo]) \1
+te ^ter([^aiueor]) \1
+te ^te([^aiueor]er[^aiueo]) \1
+me ^me([lrwy][aiueo]) \1
+me ^mem([bfv]) \1
+me ^mem(pe) \1
+me ^mem(p[^e]) \1
+me ^me(mr?[aiueo]) \1
+me ^mem(r?[aiueo]) p\1
+me ^men([cdjszt]) \1
+me ^me(n[aiueo]) \1
+me ^men([aiueo]) t\1
+me ^meng([ghqk]) \1
+me ^meng([aiueo]) \1
+me ^meng([aiueo]) k\1
+me ^menge([^aiueo]) \1
+me ^me(ny[aiueo]) \1
+me ^meny([aiueo]) s\1
+pe ^pe([wy][aiueo]) \1
+pe ^per([aiueo]) \1
+pe ^pe(r[aiueo]) \1
+pe ^per([^aiueor]) \1
+pe ^pem([bfv]) \1
+pe ^pe(mr?[aiueo]) \1
+pe ^pem(r?[aiueo]) p\1
+pe ^pen([cdjz]) \1
+pe ^pe(n[aiueo]) \1
+pe ^pen([aiueo]) t\1
+pe ^peng([ghq]) \1
+pe ^peng([aiueo]) \1
+pe ^peng([aiueo]) k\1
+pe ^penge([^aiueo]) \1
+pe ^pe(ny[aiueo]) \1
+pe ^peny([aiueo]) s\1
+pe ^pel(ajar)$ \1
+pe ^pe(l[aiueo]) \1
+pe ^pe([^aiueorwylmn]er[aiueo]) \1
+pe ^pe([^aiueorwylmn][^e]) \1
+ku ^ku(..) \1
+ka ^kau(..) \1
+""".strip().splitlines()]
+# English suffixes and what takes their place; words with a stem of their own.
+SECOND_STEP = """ational ate, tional tion, enci ence, anci ance, izer ize, bli ble, alli al, entli ent, eli e,
+    ousli ous, ization ize, ation ate, ator ate, alism al, iveness ive, fulness ful, ousness ous, aliti al,
+    iviti ive, biliti ble, fulli ful"""
+THIRD_STEP = "icate ic, ative, alize al, iciti ic, ical ic, ful, ness"
+FOURTH_STEP = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
+OWN_STEMS = """sky sky, skies sky, dying die, lying lie, tying tie, news news, inning inning, innings inning,
+    outing outing, outings outing, canning canning, cannings canning, howe howe, proceed proceed,
+    exceed exceed, succeed succeed"""
+
+
+def _pairs(listed_: str) -> list[tuple[str, str]]:
+    return [(p.split() + [""])[:2] for p in listed_.split(",")]
+
+
 def _ending_cte(name: str, before: str, endings, suffix: str) -> str:
     rows = _values((e,) for e in endings)
     return f"""{name} AS (SELECT * FROM {before} UNION ALL
@@ -158,7 +229,7 @@ def _ending_cte(name: str, before: str, endings, suffix: str) -> str:
 
 def _prefix_cte(round_no: int) -> str:
     name, before = f"p{round_no}", "e3" if round_no == 1 else f"p{round_no - 1}"
-    banned = f"AND left(form, 2) || '-' || suffix NOT IN {listed(I.FORBIDDEN)}" if round_no == 1 else ""
+    banned = f"AND left(form, 2) || '-' || suffix NOT IN {listed(NEVER_TOGETHER)}" if round_no == 1 else ""
     return f"""{name} AS (SELECT * FROM {before} UNION ALL SELECT * FROM (
   SELECT term, regexp_replace(form, pattern, keep) AS form, suffix, stripped, rule_family, {round_no},
          path * 100 + n
@@ -169,33 +240,47 @@ def _prefix_cte(round_no: int) -> str:
 
 def indonesian_ctes(terms: str) -> str:
     """From a relation with ``term`` and ``uses`` to ``id_stems (term, id_stem, uses)``."""
-    rules = _values(
-        (family, pattern, left.replace("$1", r"\1"), n)
-        for n, (family, pattern, left) in enumerate(I.PREFIX_RULES, 1)
-    )
+    rules = _values((family, pattern, left, n) for n, (family, pattern, left) in enumerate(PREFIXES, 1))
+    infixes = _values((f"^([^aiueo]){x}([aiueo])", n) for n, x in enumerate(INFIXES, len(PREFIXES) + 1))
     first = r"^(be.+lah|be.+an|me.+i|di.+i|pe.+i|te.+i)$"
     return f"""{ROOTS},
 rules AS (SELECT * FROM (VALUES {rules}) r(rule_family, pattern, keep, n)),
 e0 AS (SELECT term, term AS form, '' AS suffix, 0 AS stripped, '' AS family, 0 AS prefixes,
        0::BIGINT AS path FROM {terms} WHERE length(term) >= 4),
-{_ending_cte('e1', 'e0', I.PARTICLES, 'suffix')},
-{_ending_cte('e2', 'e1', I.POSSESSIVES, 'suffix')},
-{_ending_cte('e3', 'e2', I.SUFFIXES, 'e')},
+{_ending_cte('e1', 'e0', PARTICLES, 'suffix')},
+{_ending_cte('e2', 'e1', POSSESSIVES, 'suffix')},
+{_ending_cte('e3', 'e2', ENDINGS, 'e')},
 {_prefix_cte(1)},
 {_prefix_cte(2)},
 {_prefix_cte(3)},
+p4 AS (SELECT * FROM p3 UNION ALL SELECT * FROM (
+  SELECT term, regexp_replace(form, pattern, '\\1\\2') AS form, suffix, stripped, family, prefixes + 1, path * 100 + n
+  FROM p3, (VALUES {infixes}) v(pattern, n) WHERE regexp_matches(form, pattern)) WHERE length(form) >= 2),
 found AS (SELECT term, form, path, CASE
     WHEN prefixes = 0 AND stripped = 0 THEN 0
     WHEN stripped = 0 AND prefixes > 0 AND regexp_matches(term, '{first}') THEN prefixes
     WHEN prefixes = 0 THEN 10 + stripped
-    ELSE 20 + (3 - stripped) * 4 + prefixes END AS step
-  FROM p3 JOIN roots USING (form)),
+    ELSE 20 + (3 - stripped) * 5 + prefixes END AS step
+  FROM p4 JOIN roots USING (form)),
 best AS (SELECT term, form FROM found
   QUALIFY row_number() OVER (PARTITION BY term ORDER BY step, path, form) = 1),
 id_stems AS (SELECT t.term, coalesce(best.form, t.term) AS id_stem, uses
   FROM {terms} t LEFT JOIN best USING (term))"""
 
 
+def stem_rules_sql() -> str:
+    made = ["form"]
+    for affix in Q.AFFIXES:
+        before, after = affix.split("_")
+        body = "substring(form, 2)" if before.endswith("-") else "form"
+        if after.endswith("."):
+            body, after = f"left(form, 1) || '{after[:-1]}' || substring(form, 2)", ""
+        made.append(f"'{before.rstrip('-')}' || {body} || '{after}'")
+    return f"""WITH made AS (SELECT DISTINCT term, 1 AS uses FROM (SELECT unnest([{', '.join(made)}]) AS term FROM
+  (SELECT DISTINCT unnest({split_sql(plain_sql('text'))}) AS form FROM conversations))),
+{indonesian_ctes('made')} SELECT term, id_stem AS stem FROM id_stems"""
+
+
 def _shape(word: str) -> str:
     shape = f"translate({word}, 'abcdefghijklmnopqrstuvwxz', 'VCCCVCCCVCCCCCVCCCCCVCCCC')"
     first = f"regexp_replace(regexp_replace({shape}, '^y', 'C'), 'Vy', 'VC', 'g')"
@@ -255,11 +340,11 @@ def english_ctes(terms: str) -> str:
         f"ELSE {stem} END",
         _cases([("y", "i", lambda w, s: f"length({w}) > 1 AND suffix({s}, 'C')")]),
         _cases([("alli", "al", m0)]),
-        _cases([*[(a, b, m0) for a, b in E.STEP2],
+        _cases([*[(a, b, m0) for a, b in _pairs(SECOND_STEP)],
                 ("logi", "log", lambda w, s: f"{_m(_cut('s', 3))} > 0")]),
-        _cases([(a, b, m0) for a, b in E.STEP3]),
+        _cases([(a, b, m0) for a, b in _pairs(THIRD_STEP)]),
         _cases([(a, "", (lambda w, s: f"{_m(s)} > 1 AND regexp_matches({w}, '[st]$')")
-                 if a == "ion" else m1) for a in E.STEP4]),
+                 if a == "ion" else m1) for a in FOURTH_STEP.split()]),
         _cases([("e", "", lambda w, s: f"({_m(s)} > 1 OR ({_m(s)} = 1 AND NOT {_cvc(w, s)}))")]),
         f"CASE WHEN suffix(w, 'll') AND {_m(_cut('s', 1))} > 1 THEN {_cut('w', 1)} ELSE w END",
     ]
@@ -269,7 +354,7 @@ def english_ctes(terms: str) -> str:
             f"s{i} AS MATERIALIZED (SELECT term, {step} AS w "
             f"FROM (SELECT term, w, {_shape('w')} AS s FROM s{i - 1}))"
         )
-    own = _values(E.IRREGULAR.items())
+    own = _values(_pairs(OWN_STEMS))
     ctes.append(
         f"""en_stems AS (SELECT s.term, coalesce(own.stem,
     CASE WHEN length(s.term) <= 2 THEN s.term ELSE s.w END) AS en_stem
@@ -367,67 +452,106 @@ def _analysed(value: str) -> list[str]:
     return [w for w in value.lower().split() if len(w) > 1 and w not in ENGLISH_STOP_WORDS]
 
 
+def _leaf_sql(row: dict) -> str | None:
+    """Theme, document and score of what one clause matches; nothing for an ignored one."""
+    kind, value = row.get("kind", "term"), row.get("value")
+    boost = float(row.get("boost", 1.0))
+    words = _analysed(value) if kind in ("term", "phrase") else None
+    if words == []:
+        return None
+    if kind == "every":
+        return f"SELECT theme, doc_id, {boost}::DOUBLE AS score FROM docs"
+    if kind == "term":
+        return (
+            f"SELECT theme, doc_id, {boost}::DOUBLE * sum(bm25) AS score FROM weighted "
+            f"WHERE term IN {listed(words)} GROUP BY theme, doc_id HAVING count(*) = {len(set(words))}"
+        )
+    if kind == "phrase":
+        slop, last = row.get("slop", 0), len(words) - 1
+        near = "w{i}.pos > w{before}.pos" if slop else "w{i}.pos = w0.pos + {i}"
+        joins = " ".join(
+            f"JOIN fwords w{i} ON w{i}.theme = w0.theme AND w{i}.doc_id = w0.doc_id "
+            f"AND {near.format(i=i, before=i - 1)} AND w{i}.pos <= w0.pos + {slop + i} AND w{i}.term = '{w}'"
+            for i, w in enumerate(words) if i
+        )
+        score = " + ".join(
+            f"(SELECT bm25 FROM weighted b WHERE b.theme = d.theme AND b.doc_id = d.doc_id "
+            f"AND b.term = '{w}')" for w in words
+        )
+        return (
+            f"SELECT theme, doc_id, {boost}::DOUBLE * ({score}) AS score FROM (SELECT DISTINCT "
+            f"w0.theme, w0.doc_id FROM fwords w0 {joins} WHERE w0.term = '{words[0]}' "
+            f"AND w{last}.pos - w0.pos - {last} <= {slop}) d"
+        )
+    if kind == "id":
+        theme, doc_id = value.rsplit("_", 1)
+        return (
+            f"SELECT theme, doc_id, {boost}::DOUBLE AS score FROM docs "
+            f"WHERE theme = '{theme}' AND doc_id = {doc_id}"
+        )
+    low, high = value and value.lower(), (row.get("upper") or "").lower()
+    if kind == "range":
+        over, under = (">" if row.get("exclude_value") else ">="), ("<" if row.get("exclude_upper") else "<=")
+        test = " AND ".join([f"term {over} '{low}'"] * bool(low) + [f"term {under} '{high}'"] * bool(high))
+    elif kind == "prefix":
+        test = f"term LIKE '{low}%'"
+    else:
+        test = "term LIKE '" + low.replace("*", "%").replace("?", "_") + "'"
+    return f"SELECT DISTINCT theme, doc_id, {boost}::DOUBLE AS score FROM post WHERE {test}"
+
+
 def clause_sql(name: str) -> str:
-    parts, needed, positive = [], {}, {}
-    for row in Q.CLAUSE_QUERIES[name]:
-        kind, value, query = row.get("kind", "term"), row["value"], row["query_id"]
-        at = f"{query}::BIGINT AS query_id, {row['clause_id']} AS clause_id"
-        boost = float(row.get("boost", 1.0))
-        words = _analysed(value) if kind in ("term", "phrase") else None
-        if words == []:
-            continue
-        occur = row.get("occur", "must")
-        needed[query] = needed.get(query, 0) + (occur == "must")
-        positive[query] = positive.get(query, False) or occur != "must_not"
-        if kind == "term":
-            body = (
-                f"SELECT {at}, theme, doc_id, {boost}::DOUBLE * sum(bm25) AS score FROM weighted "
-                f"WHERE term IN {listed(words)} GROUP BY theme, doc_id HAVING count(*) = {len(set(words))}"
-            )
-        elif kind == "phrase":
+    """Every document of the corpus against the clauses of every query, groups as what they say: all of
+    the must, one of the should if there is no must, none of the must_not. A group of neither must
+    nor should is a restriction unless it is a should itself."""
+    leaves, queries = {}, []
+    rows = Q.CLAUSE_QUERIES[name]
+
+    def judged(query: int, parent: int | None) -> tuple[str, str, bool] | None:
+        """Whether a group holds, its score, and whether it has a positive clause."""
+        must, should, banned, limits, score = [], [], [], [], []
+        for row in rows:
+            if row["query_id"] != query or row.get("parent") != parent:
+                continue
+            occur = row.get("occur", "must")
+            if row.get("kind") == "group":
+                inner = judged(query, row["clause_id"])
+                if inner is None:
+                    continue
+                holds, own, positive = inner
+                if not positive and occur != "should":
+                    limits.append(f"({holds})" if occur == "must" else f"NOT ({holds})")
+                    continue
+                own = f"{float(row.get('boost', 1.0))}::DOUBLE * ({own})"
+            else:
+                body = _leaf_sql(row)
+                if body is None:
+                    continue
+                leaf = f"l{query}_{row['clause_id']}"
+                leaves[leaf] = body
+                holds, own = f"{leaf}.doc_id IS NOT NULL", f"{leaf}.score"
+            {"must": must, "should": should, "must_not": banned}[occur].append(f"({holds})")
+            if occur != "must_not":
+                score.append(f"CASE WHEN {holds} THEN {own} ELSE 0.0 END")
+        if not (must or should or banned or limits):
+            return None
+        tests = must + [f"NOT {b}" for b in banned] + limits
+        if should and not must:
+            tests.append(f"({' OR '.join(should)})")
+        return " AND ".join(tests), " + ".join(score) if score else "1.0::DOUBLE", bool(score)
+
+    for query in sorted({r["query_id"] for r in rows}):
+        if (top := judged(query, None)) is not None:
             joins = " ".join(
-                f"JOIN fwords w{i} ON w{i}.theme = w0.theme AND w{i}.doc_id = w0.doc_id "
-                f"AND w{i}.pos = w0.pos + {i} AND w{i}.term = '{w}'"
-                for i, w in enumerate(words) if i
+                f"LEFT JOIN {leaf} ON {leaf}.theme = d.theme AND {leaf}.doc_id = d.doc_id"
+                for leaf in leaves if leaf.startswith(f"l{query}_")
             )
-            score = " + ".join(
-                f"(SELECT bm25 FROM weighted b WHERE b.theme = d.theme AND b.doc_id = d.doc_id "
-                f"AND b.term = '{w}')" for w in words
+            queries.append(
+                f"SELECT {query}::BIGINT AS query_id, d.theme, d.doc_id, {top[1]} AS score FROM docs d {joins} WHERE {top[0]}"
             )
-            body = (
-                f"SELECT {at}, theme, doc_id, {boost}::DOUBLE * ({score}) AS score FROM (SELECT DISTINCT "
-                f"w0.theme, w0.doc_id FROM fwords w0 {joins} WHERE w0.term = '{words[0]}') d"
-            )
-        elif kind == "id":
-            theme, doc_id = value.rsplit("_", 1)
-            body = (
-                f"SELECT {at}, theme, doc_id, {boost}::DOUBLE AS score FROM docs "
-                f"WHERE theme = '{theme}' AND doc_id = {doc_id}"
-            )
-        else:
-            low, high = value and value.lower(), (row.get("upper") or "").lower()
-            if kind == "range":
-                over, under = (">" if row.get("exclude_value") else ">="), ("<" if row.get("exclude_upper") else "<=")
-                test = " AND ".join([f"term {over} '{low}'"] * bool(low) + [f"term {under} '{high}'"] * bool(high))
-            elif kind == "prefix":
-                test = f"term LIKE '{low}%'"
-            else:
-                test = "term LIKE '" + low.replace("*", "%").replace("?", "_") + "'"
-            body = f"SELECT DISTINCT {at}, theme, doc_id, {boost}::DOUBLE AS score FROM post WHERE {test}"
-        parts.append(f"SELECT *, '{occur}' AS occur FROM ({body})")
-    alone = [q for q, p in positive.items() if not p]
-    others = "".join(
-        f""" UNION ALL SELECT {q}::BIGINT, theme, doc_id, 1.0 FROM docs ANTI JOIN
-        (SELECT theme, doc_id FROM matched WHERE query_id = {q}) USING (theme, doc_id)""" for q in alone
-    )
-    return f"""WITH {TEXT},
-matched AS ({' UNION ALL '.join(parts)}),
-needs AS (SELECT query_id::BIGINT AS query_id, needed
-  FROM (VALUES {_values(needed.items())}) n(query_id, needed)),
-hits AS (SELECT query_id, theme, doc_id, sum(score) FILTER (occur <> 'must_not') AS score
-  FROM matched JOIN needs USING (query_id) GROUP BY query_id, theme, doc_id
-  HAVING count(*) FILTER (occur = 'must') = any_value(needed)
-     AND count(*) FILTER (occur = 'must_not') = 0 AND count(*) FILTER (occur <> 'must_not') > 0{others})
+    ctes = ", ".join(f"{leaf} AS ({body})" for leaf, body in leaves.items())
+    return f"""WITH {TEXT}, {ctes},
+hits AS ({' UNION ALL '.join(queries)})
 {top_hits()}"""
 
 
@@ -485,6 +609,8 @@ SELECT query_id, rank::BIGINT AS rank, theme, doc_id"""
         "query_analysis": f"WITH {query_ctes(BENCHMARK)} SELECT query_id, {joined('tokens')} AS query FROM qtoks",
         "stem_map": f"WITH {ALL_TERMS}, {id_ctes('terms')} SELECT term, stem, uses FROM stems",
         "stem_map_hybrid": f"WITH {ALL_TERMS}, {hybrid_ctes('terms')} SELECT term, stem, uses FROM stems",
+        "stem_rules": stem_rules_sql(),
+        "stem_many_roots": stem_rules_sql(),
         "stem_english": f"WITH {ALL_TERMS}, {english_ctes('terms')} SELECT term, en_stem AS stem FROM en_stems",
         "stem_tokens": f"""WITH {ALL_TERMS}, {hybrid_ctes('terms')},
             stemmed AS (SELECT theme, doc_id, string_agg(stem, ' ' ORDER BY pos) AS tokens
@@ -539,9 +665,10 @@ SELECT query_id, rank::BIGINT AS rank, theme, doc_id"""
         "column_check": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, {found}::BIGINT AS found, count(*) AS n_rows FROM {t}"
             for t, found in (("documents", 1), ("pages", 0), ("benchmark", 1), ("labels", 0))),
-        "blank_and_null": f"""SELECT doc_id AS query_id,
-            CASE WHEN doc_id % 3 = 2 THEN len({split_sql(plain_sql('text'))}) ELSE 0 END AS n_tokens,
-            (doc_id % 3 = 2 AND {squeeze_sql('text')} <> '')::BIGINT AS asked FROM documents""",
+        "blank_and_null": f"""SELECT 3 * doc_id + kind AS query_id,
+            CASE WHEN kind = 0 THEN len({split_sql(plain_sql('text'))}) ELSE 0 END AS n_tokens,
+            (kind = 0 AND {squeeze_sql('text')} <> '')::BIGINT AS asked
+            FROM documents, (SELECT unnest([0, 1, 2])::BIGINT AS kind)""",
         "stored_tokens": f"WITH {TOKS} SELECT theme, doc_id, {joined('tokens')} AS tokens FROM toks",
         "searchable_report": """SELECT theme, loaded::BIGINT AS loaded, searchable::BIGINT AS searchable,
             loaded * n AS n_docs FROM (VALUES ('indexed', 1, 1), ('unindexed', 1, 0), ('empty', 1, 0),
@@ -549,6 +676,8 @@ SELECT query_id, rank::BIGINT AS rank, theme, doc_id"""
         "profile_large_terms": profile_sql(kept(THESIS_TOKENS), hybrid=False),
         "cosine_large_batch": per_theme_sql("true", 3),
         "bm25_large_batch": bm25_sql(required=False),
+        "cosine_pruned": per_theme_sql("true", 3),
+        "bm25_pruned": bm25_sql(required=False),
         "stats_ordered": """SELECT source AS theme, count(*) AS n_docs,
             row_number() OVER (ORDER BY source DESC) - 1 AS ordinal FROM documents GROUP BY source""",
         "loaded_themes": """SELECT count(DISTINCT source) AS n_themes, count(*) AS n_docs FROM documents""",

@@ -14,6 +14,7 @@ from termshard.functions import display, normalize as N, tokens as K
 from termshard.operators import bow, cosine, fulltext, stats, stemming
 from termshard.operators.bounds import materialized, scratch_path
 from termshard.operators.stem_english import english_stem
+from termshard.operators.stem_indonesian import with_indonesian_stem
 from termshard.plans import cleaning, profiles as P
 from termshard.sources import corpora, index_store, literals, records, stopwords
 
@@ -190,10 +191,11 @@ def column_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def blank_and_null(spark: SparkSession, folder: str) -> DataFrame:
-    """A third of the texts missing, a third blank: both have no words and ask nothing."""
-    third = F.col("doc_id") % 3
-    text = F.when(third == 1, F.lit(" \t ")).when(third == 2, F.col("text"))
-    given = documents(spark, folder).select(F.col("doc_id").alias("query_id"), text.alias("text"))
+    """Beside every text a missing and a blank one, which have no words and ask nothing."""
+    own = documents(spark, folder).select((F.col("doc_id") * 3).alias("query_id"), "text")
+    given = own
+    for kind, text in ((1, F.lit(" \t ")), (2, F.lit(None).cast("string"))):
+        given = given.unionByName(own.select((F.col("query_id") + kind).alias("query_id"), text.alias("text")))
     words = given.select("query_id", F.size(K.split_words(N.plain(F.col("text")))).alias("n"))
     asked = analysed(given).select("query_id", F.lit(1).cast("bigint").alias("asked"))
     return words.join(asked, "query_id", "left").select(
@@ -297,6 +299,39 @@ def _stems(stemmer: str) -> Query:
     return run
 
 
+#: Affixes around a root or, after ``-``, around a root without its first letter; ``.`` is the place
+#: of an infix. Every rule of the Indonesian stemmer is used by some of them.
+AFFIXES = """ke_ di_ se_ ber_ be_ bel_ te_ ter_ me_ mem_ mempe_ men_ meng_ menge_ meny_ pe_ per_ pem_
+    pen_ peng_ penge_ peny_ pel_ ku_ kau_ mem-_ men-_ meng-_ meny-_ pem-_ pen-_ peng-_ peny-_ _er. _el. _em.
+    _in. _lah _kah _tah _pun _ku _mu _nya _i _kan _an _is _isme _isasi di_kan diper_kan ke_an ber_an
+    per_an memper_i peng_annya me_kannyalah ke_i di_an ter_in.""".split()
+
+
+def made_words(roots: DataFrame) -> DataFrame:
+    """Every root with each of the affixes."""
+    root = F.col("term")
+    words = []
+    for affix in AFFIXES:
+        before, after = affix.split("_")
+        body = F.substring(root, F.lit(2), F.length(root)) if before.endswith("-") else root
+        if after.endswith("."):
+            body, after = F.concat(F.left(root, F.lit(1)), F.lit(after[:-1]), F.substring(root, F.lit(2), F.length(root))), ""
+        words.append(F.concat(F.lit(before.rstrip("-")), body, F.lit(after)))
+    return roots.select(F.explode(F.array(root, *words)).alias("term")).distinct()
+
+
+def stem_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Made words, so that every rule of the Indonesian stemmer is used."""
+    known = roots(spark, folder)
+    return with_indonesian_stem(made_words(known), known, roots_fit=True, stem="stem")
+
+
+def stem_many_roots(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as it runs where the roots are too many for a broadcast."""
+    known = roots(spark, folder)
+    return with_indonesian_stem(made_words(known), known, roots_fit=False, stem="stem", hot=50)
+
+
 def stem_english(spark: SparkSession, folder: str) -> DataFrame:
     terms = stemming.distinct_terms(tokens(spark, folder))
     return terms.select("term", english_stem("term").alias("stem"))
@@ -403,6 +438,13 @@ def cosine_large_batch(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(cosine.search_each(queries, index, 3, small=False))
 
 
+def cosine_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    """The search as a large batch runs it, by impact bounds."""
+    index = cosine.bow_index(tokens(spark, folder))
+    queries = analysed(benchmark_queries(spark, folder))
+    return _shown(cosine.search_each(queries, index, 3, prune=True))
+
+
 def cosine_batch(spark: SparkSession, folder: str) -> DataFrame:
     index = cosine.bow_index(tokens(spark, folder))
     return _shown(cosine.search_all(analysed(spoken_queries(spark, folder)), index, 10))
@@ -480,6 +522,13 @@ def bm25_large_batch(spark: SparkSession, folder: str) -> DataFrame:
     return _hits(fulltext.search(clauses, index, small=False))
 
 
+def bm25_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "text")
+    index = index_store.build_text_index(tokens(spark, folder), path, 8)
+    clauses = fulltext.text_clauses(benchmark_queries(spark, folder), occur="should")
+    return _hits(fulltext.search(clauses, index, prune=True))
+
+
 def bm25_stored(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "text")
     index = index_store.build_text_index(tokens(spark, folder), path, 8)
@@ -514,6 +563,9 @@ CLAUSE_QUERIES: dict[str, list[dict]] = {
         dict(query_id=1, clause_id=0, kind="wildcard", value="in?h*"),
         dict(query_id=2, clause_id=0, kind="wildcard", value="*keit"),
         dict(query_id=3, clause_id=0, kind="wildcard", value="q?e", boost=0.5),
+        dict(query_id=4, clause_id=0, kind="wildcard", value="*ich*"),
+        dict(query_id=5, clause_id=0, kind="wildcard", value="?e*en*s*"),
+        dict(query_id=6, clause_id=0, kind="wildcard", value="????????????????*"),
     ],
     "term_range": [
         dict(query_id=1, clause_id=0, kind="range", value="inta", upper="inth"),
@@ -548,6 +600,56 @@ CLAUSE_QUERIES: dict[str, list[dict]] = {
         dict(query_id=2, clause_id=0, value="la", boost=0.25),
         dict(query_id=2, clause_id=1, value="que", occur="should", boost=4.0),
     ],
+    "phrase_slop": [
+        dict(query_id=1, clause_id=0, kind="phrase", value="la que", slop=3),
+        dict(query_id=2, clause_id=0, kind="phrase", value="die la que", slop=12, boost=2.0),
+        dict(query_id=3, clause_id=0, kind="phrase", value="la la", slop=6),
+        dict(query_id=4, clause_id=0, kind="phrase", value="que la", slop=1),
+        dict(query_id=4, clause_id=1, kind="phrase", value="la que", occur="must_not"),
+        dict(query_id=5, clause_id=0, kind="phrase", value="la die la", slop=20),
+    ],
+    "nested_clauses": [
+        # la, or die without que; but not en. Three levels.
+        dict(query_id=1, clause_id=0, kind="group"),
+        dict(query_id=1, clause_id=1, parent=0, occur="should", value="la"),
+        dict(query_id=1, clause_id=2, parent=0, occur="should", kind="group", boost=2.0),
+        dict(query_id=1, clause_id=3, parent=2, value="die"),
+        dict(query_id=1, clause_id=4, parent=2, occur="must_not", value="que"),
+        dict(query_id=1, clause_id=5, occur="must_not", value="en"),
+        # inth, or neither la nor die.
+        dict(query_id=2, clause_id=0, occur="should", value="inth"),
+        dict(query_id=2, clause_id=1, occur="should", kind="group", boost=0.5),
+        dict(query_id=2, clause_id=2, parent=1, occur="must_not", value="la"),
+        dict(query_id=2, clause_id=3, parent=1, occur="must_not", value="die"),
+        # erth, and (not la).
+        dict(query_id=3, clause_id=0, value="erth"),
+        dict(query_id=3, clause_id=1, kind="group"),
+        dict(query_id=3, clause_id=2, parent=1, occur="must_not", value="la"),
+        # Not (neither la nor both que and die).
+        dict(query_id=4, clause_id=0, kind="group", occur="must_not"),
+        dict(query_id=4, clause_id=1, parent=0, occur="must_not", value="la"),
+        dict(query_id=4, clause_id=2, parent=0, occur="must_not", kind="group"),
+        dict(query_id=4, clause_id=3, parent=2, value="que"),
+        dict(query_id=4, clause_id=4, parent=2, value="die"),
+        dict(query_id=4, clause_id=5, value="en", occur="should", boost=3.0),
+        # Not (la and que), and a group whose words are all left out.
+        dict(query_id=5, clause_id=0, kind="group", occur="must_not"),
+        dict(query_id=5, clause_id=1, parent=0, value="la"),
+        dict(query_id=5, clause_id=2, parent=0, value="que"),
+        dict(query_id=5, clause_id=3, kind="group"),
+        dict(query_id=5, clause_id=4, parent=3, value="the of"),
+    ],
+    "every_document": [
+        dict(query_id=1, clause_id=0, kind="every"),
+        dict(query_id=2, clause_id=0, kind="every", boost=2.5),
+        dict(query_id=2, clause_id=1, occur="must_not", value="la"),
+        dict(query_id=3, clause_id=0, kind="every", boost=0.5),
+        dict(query_id=3, clause_id=1, value="inth"),
+        dict(query_id=4, clause_id=0, kind="every", occur="must_not"),
+        dict(query_id=4, clause_id=1, value="la"),
+        dict(query_id=5, clause_id=0, kind="every", occur="should"),
+        dict(query_id=5, clause_id=1, kind="wildcard", value="*keit", occur="should"),
+    ],
     "by_id": [
         dict(query_id=1, clause_id=0, kind="id", value="src1_1"),
         dict(query_id=1, clause_id=1, kind="id", value="src2_2", occur="should"),
@@ -642,6 +744,7 @@ def all_queries() -> dict[str, Query]:
         "loaded_themes": loaded_themes,
         **{f.__name__: f for f in (
             cleaning_report, column_check, blank_and_null, stored_tokens, searchable_report,
-            profile_large_terms, cosine_large_batch, bm25_large_batch, stats_ordered,
+            profile_large_terms, cosine_large_batch, bm25_large_batch, stats_ordered, stem_rules,
+            stem_many_roots, cosine_pruned, bm25_pruned,
         )},
     }
