@@ -4,13 +4,14 @@ Labelled page outcomes are shrunk from level to level: a suffix towards all page
 domain towards its suffix, a host towards its domain. At each level the groups share one
 beta-binomial prior strength, found from how much more their rates vary than chance allows
 (moments). A host without labels has its domain's prior, a domain without any its suffix's.
-A host is blocked if even the upper bound of its posterior good rate is below ``min_good``. The bound
-is mean and ``bound`` standard deviations, a normal approximation of the beta posterior's that is
-too low for sparse hosts under a low prior.
+A host is blocked if the beta posterior gives a good rate of at least ``min_good`` a probability
+below ``chance``: sparse hosts are blocked only where their prior supports it.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,14 +62,53 @@ def prior_strength(groups: DataFrame) -> float:
     return min(STRONGEST, max(WEAKEST, (1 - excess) / excess))
 
 
+def _log_gamma(z: str) -> str:
+    """For z > 0: Stirling's series at z + 8, less the logarithm of the factors in between."""
+    w = f"({z} + 8D)"
+    series = f"1D / (12D * {w}) - 1D / (360D * pow({w}, 3)) + 1D / (1260D * pow({w}, 5)) - 1D / (1680D * pow({w}, 7))"
+    between = " * ".join(f"({z} + {i}D)" for i in range(8))
+    return f"(({w} - 0.5D) * ln({w}) - {w} + {math.log(2 * math.pi) / 2!r}D + {series} - ln({between}))"
+
+
+def _fraction(a: str, b: str, x: str) -> str:
+    """The continued fraction of the incomplete beta function from its front, two coefficients a
+    round; the rounds needed grow with the square root of a and b."""
+    rounds = f"sequence(1L, 80L + bigint(4 * sqrt({a} + {b})))"
+    even = f"i * ({b} - i) * {x} / (({a} + 2 * i - 1) * ({a} + 2 * i))"
+    odd = f"-({a} + i) * ({a} + {b} + i) * {x} / (({a} + 2 * i) * ({a} + 2 * i + 1))"
+
+    def state(c: str, d: str, h: str) -> str:
+        return f"named_struct('c', {c}, 'd', {d}, 'h', {h})"
+
+    step = "s"
+    for coefficient in (even, odd):
+        c, d = f"(1D + ({coefficient}) / {step}.c)", f"(1D / (1D + ({coefficient}) * {step}.d))"
+        step = state(c, d, f"{step}.h * {c} * {d}")
+    d = f"(1D / (1D - ({a} + {b}) * {x} / ({a} + 1)))"
+    return f"aggregate({rounds}, {state('1D', d, d)}, (s, i) -> {step}, s -> s.h)"
+
+
+def beta_tail(a: str, b: str, x: float) -> Column:
+    """P(X >= x) of Beta(a, b) for the columns ``a`` and ``b``, both positive, and x within 0 and 1."""
+    if not 0 < x < 1:
+        return F.lit(1.0 if x <= 0 else 0.0)
+    low, high = f"{x!r}D", f"{1 - x!r}D"
+    front = f"exp({_log_gamma(f'({a} + {b})')} - {_log_gamma(a)} - {_log_gamma(b)} + {a} * ln({low}) + {b} * ln({high}))"
+    below = f"1D - {front} * {_fraction(a, b, low)} / {a}"
+    above = f"{front} * {_fraction(b, a, high)} / {b}"
+    return F.expr(f"CASE WHEN {low} < ({a} + 1) / ({a} + {b} + 2) THEN {below} ELSE {above} END")
+
+
 def reputations(
-    pages: DataFrame, outcomes: DataFrame, url: str = "url", bound: float = 1.645,
+    pages: DataFrame, outcomes: DataFrame, url: str = "url", min_good: float = 0.5,
     suffixes: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per host of ``pages``: ``host``, ``labelled``, ``good_rate``, ``upper``.
+    """One row per host of ``pages``: ``host``, ``labelled``, ``good_rate``, the posterior's mean, and
+    ``p_good``, the probability that the rate is at least ``min_good``.
 
     ``outcomes``: url and ``good``, 1 or 0; null outcomes don't count. Without outcomes every
-    rate is 0.5 and every bound near 1. Hosts that only outcomes have count for their levels.
+    rate is 0.5. Hosts that only outcomes have count for their levels. Prior strengths are kept
+    within WEAKEST and STRONGEST.
     """
     domain, suffix = domain_of(F.col("host"), suffixes)
     known = outcomes.filter(F.col("good").isNotNull()).groupBy(host_of(url).alias("host")).agg(
@@ -95,9 +135,10 @@ def reputations(
     domains = hosts.groupBy("suffix", "domain").agg(*counts).join(level, "suffix")
     level = posterior(materialized(domains), "m_domain").select("domain", "suffix", F.col("m_domain").alias("m"))
     final = posterior(materialized(hosts.join(level, ["domain", "suffix"])), "good_rate")
-    rate = F.col("good_rate")
-    upper = rate + bound * F.sqrt(rate * (1 - rate) / (F.col("strength") + 1))
-    return final.select("host", F.col("n").alias("labelled"), "good_rate", F.least(upper, F.lit(1.0)).alias("upper"))
+    rate, size = F.col("good_rate"), F.col("strength")
+    final = final.withColumns({"_a": rate * size, "_b": (1 - rate) * size})
+    p_good = beta_tail("_a", "_b", min_good).alias("p_good")
+    return final.select("host", F.col("n").alias("labelled"), "good_rate", p_good)
 
 
 def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
@@ -114,20 +155,20 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> C
 
 def judged_pages(
     pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], min_good: float = 0.5,
-    url: str = "url", key: str = "page_id",
+    chance: float = 0.05, url: str = "url", key: str = "page_id",
 ) -> DataFrame:
-    """Key, ``host``, ``path``, ``rule``, ``verdict``, ``good_rate``, ``upper`` of every row.
+    """Key, ``host``, ``path``, ``rule``, ``verdict``, ``good_rate``, ``p_good`` of every row.
 
     A null url or one without ``://`` has an empty host, which is judged as any other host.
     Repeated rows are judged one by one; other columns are ignored; no rows give no rows.
     """
-    known = materialized(reputations(pages, outcomes, url)).withColumnRenamed("host", "_host")
+    known = materialized(reputations(pages, outcomes, url, min_good)).withColumnRenamed("host", "_host")
     host, path = F.col("host"), F.col("path")
     rows = pages.select(F.col(key), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.join(broadcast_if_small(known), F.col("host") == F.col("_host"), "left")
     rows = rows.withColumn("_rule", matching_rule(host, path, rules))
-    own = F.when(F.col("upper") < min_good, "block").otherwise("allow")
+    own = F.when(F.col("p_good") < chance, "block").otherwise("allow")
     return rows.select(
         key, "host", "path", F.col("_rule.rule").alias("rule"),
-        F.coalesce(F.col("_rule.verdict"), own).alias("verdict"), "good_rate", "upper",
+        F.coalesce(F.col("_rule.verdict"), own).alias("verdict"), "good_rate", "p_good",
     )

@@ -72,7 +72,9 @@ OP2 = f"""WITH judged AS (SELECT page_id, url, {_host('url')} AS host, {_path('u
     {_posterior('l2', 'p2', 'suffix, domain')},
     l3 AS (SELECT host, h.n::DOUBLE AS n, h.k::DOUBLE AS k, rate AS m FROM hosts h JOIN p2 USING (suffix, domain)),
     {_posterior('l3', 'p3', 'host')},
-    bounds AS (SELECT host, rate, least(1.0, rate + 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + s + 1))) AS upper FROM p3),
+    betas AS (SELECT host, rate, rate * (n + s) AS a, (1 - rate) * (n + s) AS b FROM p3),
+    bounds AS (SELECT host, rate, 1 - list_sum(list_transform(range(0, (200 + greatest(b - a, 0))::BIGINT), lambda i:
+            exp(lgamma(a + b + i) - lgamma(b) - lgamma(a + 1 + i) + (a + b + i) * ln(0.5::DOUBLE)))) AS p_good FROM betas),
     rules(rule, verdict) AS (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'),
         ('org/fr/', 'allow')),
     fits AS (SELECT page_id, rule, verdict FROM judged, rules
@@ -80,8 +82,8 @@ OP2 = f"""WITH judged AS (SELECT page_id, url, {_host('url')} AS host, {_path('u
           AND starts_with(path, substring(rule, strpos(rule, '/')))
         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule DESC) = 1)
     SELECT page_id, host, path, rule,
-        coalesce(verdict, CASE WHEN upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
-        round(rate, 6) AS good_rate, round(upper, 6) AS upper
+        coalesce(verdict, CASE WHEN p_good < 0.05 THEN 'block' ELSE 'allow' END) AS verdict,
+        round(rate, 6) AS good_rate, round(p_good, 6) AS p_good
     FROM judged JOIN bounds USING (host) LEFT JOIN fits USING (page_id)"""
 
 OP9 = f"""WITH split AS (SELECT doc_id, lang, text,

@@ -42,7 +42,7 @@ def op2_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     outcomes = page_outcomes(pages, table(spark, folder, "labels"))
     judged = host_reputation.judged_pages(pages, outcomes, RULES)
-    return judged.withColumns({c: F.round(c, 6) for c in ("good_rate", "upper")})
+    return judged.withColumns({c: F.round(c, 6) for c in ("good_rate", "p_good")})
 
 
 def op3_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
