@@ -10,7 +10,7 @@ from termshard.operators.bounds import materialized, scratch_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 
-__all__ = ["BLANKS", "UPPER", "ascii_lower", "materialized", "partitions", "scratch_path", "whole"]
+__all__ = ["BLANKS", "UPPER", "ascii_lower", "materialized", "partitions", "scratch_path", "whole", "whole_row"]
 
 
 def whole(text: str | Column = "text") -> Column:
@@ -19,6 +19,11 @@ def whole(text: str | Column = "text") -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns, whatever their names, as the struct ``_row``; ``_row.*`` gives them back."""
+    return F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("_row")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. ``lower`` does just that where all characters are ASCII."""
     one_byte = F.octet_length(text) == F.char_length(text)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termshard.llm.common import ascii_lower, materialized, partitions, whole
+from termshard.llm.common import ascii_lower, materialized, partitions, whole, whole_row
 
 SPLITTER_CHARS = 16
 
@@ -41,7 +41,7 @@ def _grouped(docs: DataFrame, text: str, key: str, keep: str, carry: bool) -> Da
     base = docs.select(
         F.col(key).alias("_id"), F.xxhash64(low).alias("_hash"),
         F.substring(low, 1, SPLITTER_CHARS).alias("_start"),
-        (F.struct(*docs.columns) if carry else F.struct(text)).alias("_row"),
+        whole_row(docs) if carry else F.struct(text).alias("_row"),
     )
     rows = docs.count()
     frequent = frequent_contents(base, rows, max(64, rows // (4 * parts)))
@@ -103,5 +103,6 @@ def content_groups(
 def drop_copies(
     docs: DataFrame, text: str = "text", key: str = "doc_id", keep: str = "smallest"
 ) -> DataFrame:
-    """The rows of ``docs`` that ``content_groups`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``content_groups`` keeps, with all their columns: of nulls and empty
+    texts, which are equal, one, and of repeated rows one. No rows give no rows."""
     return _grouped(docs, text, key, keep, carry=True).filter("_kept").select("_row.*")

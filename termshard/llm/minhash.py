@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized
+from termshard.llm.common import materialized, whole_row
 from termshard.llm.components import components
 from termshard.llm.encoding import byte_slices
 from termshard.operators.bounds import broadcast_if_small
@@ -313,11 +313,11 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps."""
-    names = docs.columns
+    """The rows of ``docs``, all columns, that ``near_duplicates`` keeps: all without words or without a
+    key, and repeated rows all or none. No rows give no rows."""
     judged = _judged(docs, width, percent, text, key).filter("NOT kept")
     gone = materialized(judged.select(F.col("id").alias("_gone"), F.col("mark").alias("_text")).distinct())
     gone = broadcast_if_small(gone)
-    rows = docs.select(F.struct(*names).alias("_row"), F.col(key).cast("bigint").alias("_id"), _mark(text).alias("_mark"))
+    rows = docs.select(whole_row(docs), F.col(key).cast("bigint").alias("_id"), _mark(text).alias("_mark"))
     same = (F.col("_id") == F.col("_gone")) & (F.col("_mark") == F.col("_text"))
     return rows.join(gone, same, "left_anti").select("_row.*")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized, whole
+from termshard.llm.common import materialized, whole, whole_row
 from termshard.operators.bounds import broadcast_if_small
 
 GRID, PASSES = 16, 8
@@ -137,7 +137,7 @@ def mixed(
     others, those of one key together. No rows give no rows.
     """
     rows = docs.select(
-        F.struct(*docs.columns).alias("_row"), _label(F.col(source)).alias("_label"),
+        whole_row(docs), _label(F.col(source)).alias("_label"),
         F.col(key).alias("_id"), F.col(text).alias("_text"),
     )
     light = materialized(rows.select("_label", "_id", token_count(whole("_text")).alias("_tokens")))
@@ -153,5 +153,6 @@ def mixed(
 
 
 def mixed_documents(docs: DataFrame, repetitions: float = 1.5, seed: int = 0) -> DataFrame:
-    """The documents, all columns, each as often as its source's budget takes it."""
+    """The documents, all columns, each as often as its source's budget takes it; null sources and
+    texts, empty texts and repeated rows as in ``mixed``. No rows give no rows."""
     return mixed(docs, repetitions, seed=seed).select("_row.*")

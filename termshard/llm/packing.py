@@ -170,7 +170,8 @@ def write_sequences(
     docs: DataFrame, to: str, size: int = 2048, end_id: int = 0, path: str | None = None
 ) -> None:
     """Cut and packed, as Parquet files of the rows of ``pack_pieces`` in the folder ``to``. The ids
-    are made, shuffled once, and written."""
+    are made, shuffled once, and written. Null and empty texts are the end id alone, repeated rows are
+    documents of their own, and no rows give no sequences."""
     pack_pieces(cut_pieces(docs, size, end_id, path), size, groups=groups_for(docs)).write.parquet(to)
 
 

@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from termshard.llm.common import materialized, whole
+from termshard.llm.common import materialized, whole, whole_row
 from termshard.operators.bounds import broadcast_if_small
 
 BLANK = r"[ \t-\r]+"
@@ -47,7 +47,7 @@ def _repeated(windows: str, width: int) -> Column:
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` as a struct ``_row`` with the counts and the rule shares of each text."""
     body = whole(F.col("_row")[text])
-    rows = docs.select(F.struct(*docs.columns).alias("_row"))
+    rows = docs.select(whole_row(docs))
     step = rows.withColumn("_words", F.array_remove(F.split(body, BLANK), ""))
     step = step.withColumn("n_words", F.size("_words").cast("bigint"))
     runs = [f"slice(_words, {i + 1}, greatest(int(n_words) - {WINDOW - 1}, 0))" for i in range(WINDOW)]
