@@ -83,6 +83,13 @@ def main() -> None:
             {"query_id": 3, "value": "erth", "occur": "must_not"},
         ],
     )
+    others = fulltext.clauses_table(
+        spark,
+        [
+            {"query_id": 1, "value": "erth", "occur": "must_not"},
+            {"query_id": 2, "kind": "prefix", "value": "th", "occur": "must_not"},
+        ],
+    )
     work = {
         "normalize_tokenize": lambda: run(words),
         "stem_map": lambda: run(stemming.stem_map(stemming.distinct_terms(words), roots, "hybrid")),
@@ -100,9 +107,10 @@ def main() -> None:
         "bm25_one_query": lambda: run(fulltext.search_text(first, text)),
         "bm25_batch": lambda: run(fulltext.search_text(batch, text)),
         "clauses": lambda: run(fulltext.search(clauses, text)),
+        "not_only": lambda: run(fulltext.search(others, text)),
     }
     chosen = sys.argv[1:] or list(work)
-    searches = ("cosine", "bm25", "clauses")
+    searches = ("cosine", "bm25", "clauses", "not_only")
     seconds = {
         name: median_seconds(work[name], RUNS if name.startswith(searches) else 1)
         for name in chosen

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import reduce
 from operator import or_
 
@@ -83,26 +84,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
-_scopes: list[list[str]] = []
+#: The paths made in the scope of this thread or task, if it is within one.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     return path
 
 
 @contextmanager
 def scratch_space(spark: SparkSession) -> Iterator[None]:
-    """Removes at its end every stage that was stored within. What is read lazily from them must
-    be read before."""
-    _scopes.append([])
+    """Removes at its end every stage that was stored within, by this thread. What is read lazily
+    from them must be read before."""
+    paths: list[str] = []
+    outer = _scope.set(paths)
     try:
         yield
     finally:
+        _scope.reset(outer)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _scopes.pop():
+        for path in paths:
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(conf).delete(place, True)
 
