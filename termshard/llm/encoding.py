@@ -110,10 +110,10 @@ class Encoder:
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         return flat, np.concatenate([[0], ends])[bounds]
 
-    def encode(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of whole texts, a null one having none, and where each text's begin, with the
-        end: for slices of the texts of about CHUNK_BYTES, in order."""
-        for part in byte_slices(texts, CHUNK_BYTES):
+        end: for slices of the texts of about ``size`` bytes, in order."""
+        for part in byte_slices(texts, size):
             yield self._encode(part)
 
 

@@ -29,8 +29,9 @@ from termshard.llm.encoding import default_path, encoder
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint, copy int"
 #: Bytes of text that make about a whole piece.
 PIECE_BYTES = 8_192
-#: Words whose ids a worker keeps.
-STORED_WORDS = 200_000
+#: What bounds a worker's memory: words whose ids it keeps, and bytes of text encoded at a time.
+STORED_WORDS = 300_000
+SLICE_BYTES = 2 << 20
 SPAN = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
 SEQUENCES = f"sequence_id bigint, length bigint, ids binary, pieces array<{SPAN}>"
 DIGEST = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -58,7 +59,7 @@ def cut_pieces(
         copies: Counter = Counter()
         for batch in batches:
             docs_left = iter(batch.column(0).to_pylist())
-            for flat, bounds in encode(batch.column(1)):
+            for flat, bounds in encode(batch.column(1), SLICE_BYTES):
                 rows = []
                 for at, to in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     doc, ids = next(docs_left), np.concatenate([flat[at:to], end])
