@@ -14,16 +14,29 @@ from termshard.functions.tokens import MIN_INDEXED_LENGTH
 from termshard.operators.bounds import broadcast_if_small, materialized
 
 DOCUMENT = ("theme", "doc_id")
+#: A task makes rows of so many tokens, some hundred bytes each, whatever the size of the data.
+SHARD_TOKENS = 1_000_000
+
+
+def shards_for(tokens: DataFrame) -> int:
+    """Shards of about SHARD_TOKENS tokens, at least one for each core. Reads all tokens: give stored ones."""
+    total = tokens.agg(F.sum(F.size("tokens").cast("bigint"))).first()[0] or 0
+    return max(tokens.sparkSession.sparkContext.defaultParallelism, -(-total // SHARD_TOKENS))
 
 
 def shard_by_document(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """The one exchange of a build; token arrays travel whole.
 
     The key is the id alone: it is what an index on disk is bucketed by, and it spreads a
-    theme of any size. With a number of shards the partitions are the buckets.
+    theme of any size. With a number of shards the partitions are the buckets. Without, the tokens
+    are stored and counted first: partitions left to the optimizer are joined again by their packed
+    size, and what a task makes of them outgrows its memory.
     """
     rows = tokens.select(*DOCUMENT, "tokens")
-    return rows.repartition("doc_id") if shards is None else rows.repartition(shards, "doc_id")
+    if shards is None:
+        rows = materialized(rows)
+        shards = shards_for(rows)
+    return rows.repartition(shards, "doc_id")
 
 
 def _counted(sharded: DataFrame) -> DataFrame:

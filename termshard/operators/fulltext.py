@@ -44,7 +44,7 @@ from termshard.operators.bounds import (
     measured_size,
     one_of,
 )
-from termshard.operators.bow import DOCUMENT, shard_by_document
+from termshard.operators.bow import DOCUMENT, shard_by_document, shards_for
 from termshard.operators.patterns import EXPANDED, expand_patterns
 from termshard.operators.phrases import phrase_hits
 from termshard.operators.ranking import SUM_DIGITS, by_score, checked_count, top_n
@@ -100,11 +100,16 @@ class TextIndex:
 
 def text_postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """Positions count the words the analyser keeps, so a phrase may span a left-out word."""
-    words = shard_by_document(
-        tokens.select(*DOCUMENT, indexed_words(F.col("tokens")).alias("tokens")), shards
-    )
+    return _positions(kept_words(tokens), shards)
+
+
+def kept_words(tokens: DataFrame) -> DataFrame:
+    return tokens.select(*DOCUMENT, indexed_words(F.col("tokens")).alias("tokens"))
+
+
+def _positions(words: DataFrame, shards: int | None) -> DataFrame:
     return (
-        words.select(
+        shard_by_document(words, shards).select(
             *DOCUMENT,
             F.size("tokens").cast("bigint").alias("dl"),
             F.posexplode_outer("tokens").alias("position", "term"),
@@ -121,9 +126,11 @@ def text_postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
 
 
 def text_doc_stats(tokens: DataFrame) -> DataFrame:
-    return tokens.select(
-        *DOCUMENT, F.size(indexed_words(F.col("tokens"))).cast("bigint").alias("dl")
-    )
+    return _lengths(kept_words(tokens))
+
+
+def _lengths(words: DataFrame) -> DataFrame:
+    return words.select(*DOCUMENT, F.size("tokens").cast("bigint").alias("dl"))
 
 
 def corpus_stats(doc_stats: DataFrame) -> DataFrame:
@@ -134,11 +141,12 @@ def corpus_stats(doc_stats: DataFrame) -> DataFrame:
 
 
 def text_index(tokens: DataFrame) -> TextIndex:
-    postings = text_postings(tokens)
+    words = materialized(kept_words(tokens))
+    postings = _positions(words, shards_for(words))
     vocabulary = postings.groupBy("theme", "term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf")
     )
-    stats = text_doc_stats(tokens)
+    stats = materialized(_lengths(words))
     return TextIndex(postings, vocabulary, stats, corpus_stats(stats))
 
 

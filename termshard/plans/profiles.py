@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from termshard.functions.normalize import normalize, query_letters, squeeze
 from termshard.functions.tokens import HEADER_WORDS, drop_words, is_noise, split_words
 from termshard.operators.bounds import broadcast_if_small, fits_broadcast, listed, materialized
-from termshard.operators.bow import DOCUMENT, shard_by_document
+from termshard.operators.bow import DOCUMENT, shard_by_document, shards_for
 from termshard.operators.skew import join_by_term
 from termshard.operators.stemming import distinct_terms, stem_map, stem_rows
 
@@ -78,16 +78,18 @@ def term_table(
 
 
 def map_tokens(
-    tokens: DataFrame, table: DataFrame, keep_unknown: bool = False, fits: bool | None = None
-) -> DataFrame:
+    tokens: DataFrame, table: DataFrame, keep_unknown: bool = False, fits: bool | None = None,
+    shards: int | None = None,
+) -> DataFrame:
     """Replace each token by its stem, order kept, and drop those without one, unless
     ``keep_unknown``; documents that lose all their tokens stay. ``fits``: whether the table may
-    be broadcast; it is measured if not given."""
+    be broadcast; it is measured if not given, and so is the number of ``shards`` that the rows of
+    tokens are made in."""
     if fits is None:
         fits = fits_broadcast(table)
     if fits:
         table = table.filter("stem is not null")
-    rows = shard_by_document(tokens).select(
+    rows = shard_by_document(tokens, shards).select(
         *DOCUMENT, F.posexplode_outer("tokens").alias("pos", "term")
     )
     if fits:
@@ -120,13 +122,15 @@ def analyse(
     first, since both the table and the result need them.
     """
     words = documents.select(*DOCUMENT, words_of(F.col("text"), profile).alias("tokens"))
+    shards = None
     if table is None:
         if roots is None:
             raise ValueError("give the root words or a term table")
         words = materialized(words)
+        shards = shards_for(words)
         terms = materialized(distinct_terms(words))
         table = materialized(term_table(terms, profile, stop, roots))
-    return map_tokens(words, table, fits=fits)
+    return map_tokens(words, table, fits=fits, shards=shards)
 
 
 def analyse_queries(

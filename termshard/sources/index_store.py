@@ -12,7 +12,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termshard.operators.bow import postings, shard_by_document, vocabulary
+from termshard.operators.bounds import materialized
+from termshard.operators.bow import DOCUMENT, postings, shard_by_document, vocabulary
 from termshard.operators.cosine import BowIndex, cosine_levels
 from termshard.operators.fulltext import (
     TextIndex,
@@ -23,7 +24,8 @@ from termshard.operators.fulltext import (
 )
 from termshard.operators.patterns import backward_terms, term_grams
 
-TOKENS_PER_BUCKET = 20_000_000
+#: The task of a bucket makes rows of all its tokens, at the build and for a batch of queries.
+TOKENS_PER_BUCKET = 2_000_000
 LEAST_BUCKETS = 8
 
 
@@ -83,9 +85,11 @@ def build_bow_index(
 ) -> BowIndex:
     """Count the tokens, write the index to an empty folder and give it back as read.
 
-    One exchange of token arrays: counting, sorting and writing happen in the same tasks.
+    The tokens are stored first, as several steps read them. One exchange of token arrays: counting,
+    sorting and writing happen in the same tasks.
     """
     spark = tokens.sparkSession
+    tokens = materialized(tokens.select(*DOCUMENT, "tokens"))
     buckets = buckets or buckets_for(tokens)
     _write_info(spark, path, buckets)
     _write_bucketed(postings(tokens, buckets), path, "postings", buckets, ["term"])
@@ -116,6 +120,7 @@ def build_text_index(
     tokens: DataFrame, path: str, buckets: int | None = None
 ) -> TextIndex:
     spark = tokens.sparkSession
+    tokens = materialized(tokens.select(*DOCUMENT, "tokens"))
     buckets = buckets or buckets_for(tokens)
     _write_info(spark, path, buckets)
     _write_bucketed(text_postings(tokens, buckets), path, "postings", buckets, ["term"])
@@ -151,7 +156,9 @@ def open_text_index(spark: SparkSession, path: str) -> TextIndex:
 
 def save_tokens(tokens: DataFrame, path: str, buckets: int | None = None) -> DataFrame:
     """Token arrays bucketed by document, so that a few documents are fetched by bucket."""
-    buckets = buckets or buckets_for(tokens)
+    if buckets is None:
+        tokens = materialized(tokens.select(*DOCUMENT, "tokens"))
+        buckets = buckets_for(tokens)
     _write_info(tokens.sparkSession, path, buckets)
     sharded = shard_by_document(tokens, buckets)
     _write_bucketed(sharded, path, "tokens", buckets, ["doc_id"])

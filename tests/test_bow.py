@@ -4,7 +4,8 @@ from math import sqrt
 import pytest
 from pyspark.sql import functions as F
 
-from termshard.operators import bounds, bow, skew
+from termshard.operators import bounds, bow, cosine, fulltext, skew
+from termshard.plans import profiles
 
 
 def counts(corpus):
@@ -93,3 +94,14 @@ def test_many_values_prune_by_ranges(spark):
     assert rows.filter(bounds.one_of("term", [])).count() == 0
     n, listed = bounds.counted_values(rows.filter(rows.term.isin(values)), "term")
     assert (n, listed) == (200, values)
+
+
+def test_tasks_hold_so_many_tokens(spark, corpus_df, monkeypatch):
+    """Partitions follow the number of tokens, whatever the optimizer makes of their packed size."""
+    tokens = corpus_df.agg(F.sum(F.size("tokens"))).first()[0]
+    monkeypatch.setattr(bow, "SHARD_TOKENS", 50)
+    roots = spark.createDataFrame([("w1",)], "term string")
+    texts = corpus_df.select("theme", "doc_id", F.array_join("tokens", " ").alias("text"))
+    for made in (bow.postings(corpus_df), cosine.bow_index(corpus_df).postings, fulltext.text_index(corpus_df).postings,
+                 bow.doc_stats(corpus_df), profiles.analyse(texts, profiles.THESIS, ["w2"], roots)):
+        assert made.rdd.getNumPartitions() >= tokens // 50
