@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termshard.functions.display import document_key, preview, shown_score
 from termshard.functions.tokens import MIN_INDEXED_LENGTH
-from termshard.operators import bow, impacts
+from termshard.operators import blocks, bow, impacts
 from termshard.operators.bounds import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
@@ -57,7 +57,8 @@ def cosine_levels(postings: DataFrame) -> DataFrame:
 
 
 def bow_index(tokens: DataFrame, themes: DataFrame | None = None) -> BowIndex:
-    postings = bow.postings(tokens)
+    tokens = materialized(tokens.select(*bow.DOCUMENT, "tokens"))
+    postings = bow.postings(tokens, bow.shards_for(tokens))
     if themes is None:
         themes = tokens.select("theme").distinct()
     return BowIndex(postings, bow.vocabulary(postings), themes)
@@ -100,10 +101,12 @@ def scores(
     ``small``: whether the query side may be broadcast; it is measured if not given.
 
     With ``best`` only the documents that can be among that many of a query and theme need be
-    given. ``prune``: whether to find these by impact bounds first; a large batch does where most
-    of its postings are of words that don't decide.
+    given. ``prune``: whether to find these by impact bounds first. A large batch is scored cell by
+    cell if it is not given.
     """
     rows, words = counted_values(terms, "term")
+    if best is not None and prune is None and rows >= impacts.BATCH_WORDS:
+        return blocks.best_cosines(index.postings, terms, index.vocabulary, best)
     if small is None:
         size = measured_size(terms)[1] if words is None else 0  # listed words are few
         themes = max(index.themes.count(), 1)
@@ -114,15 +117,14 @@ def scores(
         vocabulary = vocabulary.filter(one_of("term", words))
     weights = query_weights(terms, vocabulary, small)
     found = None
-    if best is not None and prune is not False and (prune or rows >= impacts.BATCH_WORDS):
+    if best is not None and prune:
         levels = cosine_levels(postings) if index.levels is None else index.levels
         weight = (F.col("qtf") / F.sqrt(F.col("q_norm_sq").cast("double"))).alias("weight")
         weighted = weights.select("query_id", "theme", "term", weight)
         bounds = materialized(impacts.bounded(weighted, levels, best, small))
-        if prune or impacts.is_worth_it(bounds):
-            found = impacts.candidates(postings, cosine_impact(), bounds, vocabulary, best, small, limit)
-            fewer = impacts.only_documents(postings, found)
-            postings, found = (postings, None) if fewer is None else (fewer, found)
+        found = impacts.candidates(postings, cosine_impact(), bounds, vocabulary, best, small, limit)
+        fewer = impacts.only_documents(postings, found)
+        postings, found = (postings, None) if fewer is None else (fewer, found)
     needed = postings.select("theme", "term", "doc_id", "tf", "norm_sq")
     dots = (
         join_postings(needed, weights, vocabulary, small, limit)

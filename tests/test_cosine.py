@@ -1,10 +1,11 @@
+import random
 from collections import Counter
 from math import sqrt
 
 import pytest
 from pyspark.sql import functions as F
 
-from termshard.operators import cosine
+from termshard.operators import blocks, cosine
 from termshard.sources.corpora import themes_table
 
 
@@ -170,3 +171,23 @@ def test_impact_bounds_leave_few_documents(spark):
     few = cosine.scores(terms, index, best=5, prune=True)
     assert every.count() == 3000 and few.count() == 30
     assert every.join(few, ["query_id", "theme", "doc_id", "similarity_score"], "left_semi").count() == 30
+
+
+def test_large_batches_are_scored_by_cells(spark, monkeypatch):
+    """The same rows as by joins, ties, copies, null keys and a hundred queries included."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(rng.choice(["a", "b", None]), i, [rng.choice(words) for _ in range(rng.randrange(12))]) for i in range(400)]
+    rows += [("a", 1000 + i, ["w1", "w2"]) for i in range(60)] + [("b", None, ["w1", "w1", "w3"])] + rows[:5]
+    tokens = spark.createDataFrame(rows, "theme string, doc_id bigint, tokens array<string>")
+    asked = [(None if i == 7 else i, [rng.choice([*words, "none"]) for _ in range(rng.randrange(6))]) for i in range(100)]
+    queries = spark.createDataFrame([*asked, (100, ["w1", "w2"])], "query_id bigint, tokens array<string>")
+    index = cosine.bow_index(tokens)
+    joined = cosine.search_each(queries, index, 3, prune=False).collect(), cosine.search_all(queries, index, 4, prune=False).collect()
+    monkeypatch.setattr(cosine.impacts, "BATCH_WORDS", 1)
+    monkeypatch.setattr(blocks, "SLICE_POSTINGS", 100)
+    monkeypatch.setattr(blocks, "BLOCK_WORDS", 60)
+    monkeypatch.setattr(cosine, "join_postings", None)  # no row per query, word and document
+    cells = cosine.search_each(queries, index, 3).collect(), cosine.search_all(queries, index, 4).collect()
+    for got, want in zip(cells, joined):
+        assert sorted(map(str, got)) == sorted(map(str, want))
