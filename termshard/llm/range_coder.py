@@ -41,11 +41,16 @@ class Model:
         self.count = np.zeros(vocabulary, np.int64)
         self.last = self.before = np.zeros(lanes, np.uint32)
         self.step, self.next_table = 0, 0
+        self.ids, self.events = [], []  # not yet counted: counts matter when tables are made
         self.tables()
         self.shares()
 
     def tables(self) -> None:
         """Order 0 again from the counts: first at every doubling, later every 64 steps."""
+        if self.ids:
+            self.count += np.bincount(np.concatenate(self.ids), minlength=len(self.count))
+            self.seen += np.bincount(np.concatenate(self.events), minlength=192).reshape(64, 3)
+            self.ids, self.events = [], []
         room = (1 << ID_BITS) - len(self.count)
         total = max(1, int(self.count.sum()))
         self.freq = (1 + self.count * room // total).astype(np.uint64)
@@ -77,10 +82,8 @@ class Model:
             up = np.minimum(trust + np.uint32(1), np.uint32(7))
             kept = np.where(trust > 0, predicted, ids) | ((trust >> np.uint32(1)) << np.uint32(16))
             table[at] = np.where(right, ids | (up << np.uint32(16)), kept)
-        self.seen += np.bincount(self.state * np.uint32(3) + event, minlength=192).reshape(64, 3)
-        self.count += np.bincount(ids, minlength=len(self.count)) if len(ids) > 512 else 0
-        if len(ids) <= 512:
-            np.add.at(self.count, ids, 1)
+        self.events.append(self.state * np.uint32(3) + event)
+        self.ids.append(ids)
         self.before, self.last = self.last, ids
         self.step += 1
         if self.step >= self.next_table:
@@ -93,6 +96,16 @@ def _rows(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _narrow(low: np.ndarray, span: np.ndarray, which: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lanes that give a word, with their lows, and their spans cut where these cross one."""
+    lows, spans = (low, span) if which is None else (low[which], span[which])
+    same = (lows ^ (lows + spans)) < TOP
+    at = np.flatnonzero(same | (spans < BOTTOM))
+    lows, spans, cut = lows[at], spans[at], ~same[at]
+    spans[cut] = (U0 - lows[cut]) & LOW32
+    return at if which is None else which[at], lows, spans
+
+
 def encode_block(ids: np.ndarray) -> bytes:
     n = len(ids)
     lanes, steps = _rows(n)
@@ -106,20 +119,16 @@ def encode_block(ids: np.ndarray) -> bytes:
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
     words, filled = np.zeros((lanes, 2 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
 
-    def renew() -> None:
-        nonlocal words
+    def renew(which: np.ndarray | None = None) -> None:
+        """Of all lanes or those whose span changed; then again of those that were renewed."""
         while True:
-            same = (low ^ (low + span)) < TOP
-            small = span < BOTTOM
-            at = np.flatnonzero(same | small)
-            if not len(at):
+            which, lows, spans = _narrow(low, span, which)
+            if not len(which):
                 return
-            cut = at[~same[at]]
-            span[cut] = (U0 - low[cut]) & LOW32
-            words[at, filled[at]] = low[at] >> np.uint64(48)
-            filled[at] += 1
-            low[at] <<= U16
-            span[at] <<= U16
+            words[which, filled[which]] = lows >> np.uint64(48)
+            filled[which] += 1
+            low[which] = lows << U16
+            span[which] = spans << U16
 
     for now in columns:
         model.predict()
@@ -134,7 +143,7 @@ def encode_block(ids: np.ndarray) -> bytes:
             part = span[rest] >> np.uint64(ID_BITS)
             low[rest] += part * model.start[now[rest]]
             span[rest] = part * model.freq[now[rest]]
-            renew()
+            renew(rest)
         model.learn(now, event)
         if filled.max() + 8 > words.shape[1]:
             words = np.hstack([words, np.zeros_like(words)])
@@ -174,18 +183,14 @@ def decode_block(block: bytes) -> np.ndarray:
     for _ in range(4):
         code = (code << U16) | pull(everyone)
 
-    def renew() -> None:
+    def renew(which: np.ndarray | None = None) -> None:
         while True:
-            same = (low ^ (low + span)) < TOP
-            small = span < BOTTOM
-            which = np.flatnonzero(same | small)
+            which, lows, spans = _narrow(low, span, which)
             if not len(which):
                 return
-            cut = which[~same[which]]
-            span[cut] = (U0 - low[cut]) & LOW32
             code[which] = (code[which] << U16) | pull(which)
-            low[which] <<= U16
-            span[which] <<= U16
+            low[which] = lows << U16
+            span[which] = spans << U16
 
     out = np.zeros((steps, lanes), np.uint32)
     most_mix, most_id = np.uint64((1 << MIX_BITS) - 1), np.uint64((1 << ID_BITS) - 1)
@@ -209,7 +214,7 @@ def decode_block(block: bytes) -> np.ndarray:
             now[rest] = ids
             low[rest] += part * model.start[ids]
             span[rest] = part * model.freq[ids]
-            renew()
+            renew(rest)
         out[step] = now
         model.learn(now, event.astype(np.uint32))
     ids = out.T.reshape(-1)[:n]
