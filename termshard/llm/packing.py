@@ -30,7 +30,7 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary, ids
 #: Bytes of text that make about a whole piece.
 PIECE_BYTES = 8_192
 #: What bounds a worker's memory: words whose ids it keeps, and bytes of text encoded at a time.
-STORED_WORDS = 300_000
+STORED_WORDS = 100_000
 SLICE_BYTES = 2 << 20
 SPAN = "struct<doc_id: bigint, piece: int, start: bigint, length: bigint, offset: bigint>"
 SEQUENCES = f"sequence_id bigint, length bigint, ids binary, pieces array<{SPAN}>"
