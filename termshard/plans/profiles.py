@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from termshard.functions.normalize import normalize, query_letters, squeeze
 from termshard.functions.tokens import HEADER_WORDS, drop_words, is_noise, split_words
 from termshard.operators.bounds import broadcast_if_small, fits_broadcast, listed, materialized
-from termshard.operators.bow import DOCUMENT, shard_by_document, shards_for
-from termshard.operators.skew import join_by_term
+from termshard.operators.bow import DOCUMENT, shards_for
+from termshard.operators.document_terms import replaced
 from termshard.operators.stemming import distinct_terms, stem_map, stem_rows
 
 
@@ -83,29 +83,17 @@ def map_tokens(
 ) -> DataFrame:
     """Replace each token by its stem, order kept, and drop those without one, unless
     ``keep_unknown``; documents that lose all their tokens stay. ``fits``: whether the table may
-    be broadcast; it is measured if not given, and so is the number of ``shards`` that the rows of
-    tokens are made in."""
+    be broadcast; it is measured if not given, and so is the number of ``shards`` that the tokens are
+    dealt out in."""
     if fits is None:
         fits = fits_broadcast(table)
     if fits:
         table = table.filter("stem is not null")
-    rows = shard_by_document(tokens, shards).select(
-        *DOCUMENT, F.posexplode_outer("tokens").alias("pos", "term")
-    )
-    if fits:
-        rows = rows.withColumn("places", F.array("pos"))
-    else:  # a word of a document is one row with its places: fewer rows to shuffle
-        rows = rows.groupBy(*DOCUMENT, "term").agg(F.collect_list("pos").alias("places"))
-    mapped = join_by_term(rows, table, ["term"], DOCUMENT, broadcast=fits)
-    if keep_unknown:
-        mapped = mapped.withColumn("stem", F.coalesce("stem", "term"))
-    placed = F.transform("places", lambda p: F.struct(p.alias("pos"), F.col("stem").alias("stem")))
-    kept = F.when(F.col("stem").isNotNull(), placed)
-    return (
-        mapped.groupBy(*DOCUMENT)
-        .agg(F.sort_array(F.flatten(F.collect_list(kept))).alias("kept"))
-        .select(*DOCUMENT, F.col("kept.stem").alias("tokens"))
-    )
+    tokens = tokens.select(*DOCUMENT, "tokens")
+    if shards is None:
+        tokens = materialized(tokens)
+        shards = shards_for(tokens)
+    return replaced(tokens, table, shards, fits, keep_unknown)
 
 
 def analyse(
