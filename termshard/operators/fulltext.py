@@ -45,6 +45,7 @@ from termshard.operators.bounds import (
     one_of,
 )
 from termshard.operators.bow import DOCUMENT, shard_by_document, shards_for
+from termshard.operators.document_terms import with_positions
 from termshard.operators.patterns import EXPANDED, expand_patterns
 from termshard.operators.phrases import phrase_hits
 from termshard.operators.ranking import SUM_DIGITS, by_score, checked_count, top_n
@@ -108,21 +109,7 @@ def kept_words(tokens: DataFrame) -> DataFrame:
 
 
 def _positions(words: DataFrame, shards: int | None) -> DataFrame:
-    return (
-        shard_by_document(words, shards).select(
-            *DOCUMENT,
-            F.size("tokens").cast("bigint").alias("dl"),
-            F.posexplode_outer("tokens").alias("position", "term"),
-        )
-        .filter("term is not null")
-        .groupBy(*DOCUMENT, "term")
-        .agg(
-            F.count("*").alias("tf"),
-            F.sort_array(F.collect_list("position")).alias("positions"),
-            F.max("dl").alias("dl"),
-        )
-        .select("theme", "term", "doc_id", "tf", "positions", "dl")
-    )
+    return with_positions(shard_by_document(words, shards))
 
 
 def text_doc_stats(tokens: DataFrame) -> DataFrame:
@@ -141,13 +128,13 @@ def corpus_stats(doc_stats: DataFrame) -> DataFrame:
 
 
 def text_index(tokens: DataFrame) -> TextIndex:
+    """Postings and vocabulary are stored, as every step of a search reads them again."""
     words = materialized(kept_words(tokens))
-    postings = _positions(words, shards_for(words))
-    vocabulary = postings.groupBy("theme", "term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("cf")
-    )
+    shards = shards_for(words)
+    stored = materialized(_positions(words, shards))
+    vocabulary = stored.groupBy("theme", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     stats = materialized(_lengths(words))
-    return TextIndex(postings, vocabulary, stats, corpus_stats(stats))
+    return TextIndex(stored.repartition(shards, "doc_id"), materialized(vocabulary), stats, corpus_stats(stats))
 
 
 def term_part(postings: DataFrame, stats: DataFrame) -> tuple[DataFrame, Column]:
