@@ -57,11 +57,13 @@ def cosine_levels(postings: DataFrame) -> DataFrame:
 
 
 def bow_index(tokens: DataFrame, themes: DataFrame | None = None) -> BowIndex:
+    """Postings and vocabulary are stored, as every step of a search reads them again."""
     tokens = materialized(tokens.select(*bow.DOCUMENT, "tokens"))
-    postings = bow.postings(tokens, bow.shards_for(tokens))
+    shards = bow.shards_for(tokens)
+    stored = materialized(bow.postings(tokens, shards))
     if themes is None:
         themes = tokens.select("theme").distinct()
-    return BowIndex(postings, bow.vocabulary(postings), themes)
+    return BowIndex(stored.repartition(shards, "doc_id"), materialized(bow.vocabulary(stored)), themes)
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
