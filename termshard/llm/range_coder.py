@@ -40,6 +40,7 @@ class Model:
         self.seen = np.ones((64, 3), np.int64)  # by confidences: order 2 right, order 1, neither
         self.count = np.zeros(vocabulary, np.int64)
         self.last = self.before = np.zeros(lanes, np.uint32)
+        self.last_at = np.zeros(lanes, np.intp)  # last, as an index
         self.step, self.next_table = 0, 0
         self.ids, self.events = [], []  # not yet counted: counts matter when tables are made
         self.tables()
@@ -63,28 +64,32 @@ class Model:
     def shares(self) -> None:
         f = 1 + self.seen * ((1 << MIX_BITS) - 3) // self.seen.sum(axis=1, keepdims=True)
         f[:, 2] += (1 << MIX_BITS) - f.sum(axis=1)
-        self.mix = f.astype(np.uint64)
-        self.mix_start = np.cumsum(self.mix, axis=1) - self.mix
+        mix = f.astype(np.uint64)
+        start = np.cumsum(mix, axis=1) - mix
+        # By state * 3 + event; and the two inner bounds by state.
+        self.mix, self.mix_start = mix.ravel(), start.ravel()
+        self.first, self.second = start[:, 1].copy(), start[:, 2].copy()
 
     def predict(self) -> None:
         h = (self.before * np.uint32(0x9E3779B1)) ^ (self.last * np.uint32(0x85EBCA6B))
-        self.at = h >> np.uint32(32 - PAIR_BITS)
-        self.p2, self.p1 = self.two[self.at], self.one[self.last]
+        self.at = (h >> np.uint32(32 - PAIR_BITS)).astype(np.intp)
+        self.p2, self.p1 = self.two.take(self.at), self.one.take(self.last_at)
         self.id2, self.id1 = self.p2 & np.uint32(0xFFFF), self.p1 & np.uint32(0xFFFF)
-        self.state = ((self.p2 >> np.uint32(16)) << np.uint32(3)) | (self.p1 >> np.uint32(16))
+        self.trust2, self.trust1 = self.p2 >> np.uint32(16), self.p1 >> np.uint32(16)
+        self.state = ((self.trust2 << np.uint32(3)) | self.trust1).astype(np.intp)
 
-    def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
-        for table, at, p, predicted in (
-            (self.two, self.at, self.p2, self.id2), (self.one, self.last, self.p1, self.id1),
+    def learn(self, ids: np.ndarray, at_event: np.ndarray) -> None:
+        """The ids of a step and their events, each as state * 3 + event."""
+        for table, at, trust, predicted in (
+            (self.two, self.at, self.trust2, self.id2), (self.one, self.last_at, self.trust1, self.id1),
         ):
-            trust = p >> np.uint32(16)
             right = predicted == ids
             up = np.minimum(trust + np.uint32(1), np.uint32(7))
             kept = np.where(trust > 0, predicted, ids) | ((trust >> np.uint32(1)) << np.uint32(16))
             table[at] = np.where(right, ids | (up << np.uint32(16)), kept)
-        self.events.append(self.state * np.uint32(3) + event)
+        self.events.append(at_event)
         self.ids.append(ids)
-        self.before, self.last = self.last, ids
+        self.before, self.last, self.last_at = self.last, ids, ids.astype(np.intp)
         self.step += 1
         if self.step >= self.next_table:
             self.tables()
@@ -98,7 +103,7 @@ def _rows(n: int) -> tuple[int, int]:
 
 def _narrow(low: np.ndarray, span: np.ndarray, which: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The lanes that give a word, with their lows, and their spans cut where these cross one."""
-    lows, spans = (low, span) if which is None else (low[which], span[which])
+    lows, spans = (low, span) if which is None else (low.take(which), span.take(which))
     same = (lows ^ (lows + spans)) < TOP
     at = np.flatnonzero(same | (spans < BOTTOM))
     lows, spans, cut = lows[at], spans[at], ~same[at]
@@ -132,19 +137,20 @@ def encode_block(ids: np.ndarray) -> bytes:
 
     for now in columns:
         model.predict()
-        hit2 = model.id2 == now
-        event = np.where(hit2, np.uint32(0), np.where(model.id1 == now, np.uint32(1), np.uint32(2)))
+        miss2 = model.id2 != now
+        miss = miss2 & (model.id1 != now)
+        at_event = model.state * 3 + miss2 + miss
         part = span >> np.uint64(MIX_BITS)
-        low += part * model.mix_start[model.state, event]
-        np.multiply(part, model.mix[model.state, event], out=span)
+        low += part * model.mix_start.take(at_event)
+        np.multiply(part, model.mix.take(at_event), out=span)
         renew()
-        rest = np.flatnonzero(event == 2)
+        rest = np.flatnonzero(miss)
         if len(rest):
-            part = span[rest] >> np.uint64(ID_BITS)
-            low[rest] += part * model.start[now[rest]]
-            span[rest] = part * model.freq[now[rest]]
+            part, ids_at = span.take(rest) >> np.uint64(ID_BITS), now.take(rest).astype(np.intp)
+            low[rest] += part * model.start.take(ids_at)
+            span[rest] = part * model.freq.take(ids_at)
             renew(rest)
-        model.learn(now, event)
+        model.learn(now, at_event)
         if filled.max() + 8 > words.shape[1]:
             words = np.hstack([words, np.zeros_like(words)])
     # Two words name a number within the span whatever follows.
@@ -198,25 +204,26 @@ def decode_block(block: bytes) -> np.ndarray:
         model.predict()
         part = span >> np.uint64(MIX_BITS)
         value = np.minimum((code - low) // part, most_mix)
-        bounds = model.mix_start[model.state]
-        event = (value >= bounds[:, 1]).astype(np.uint32) + (value >= bounds[:, 2])
-        low += part * bounds[everyone, event]
-        np.multiply(part, model.mix[model.state, event], out=span)
+        miss2, miss = value >= model.first.take(model.state), value >= model.second.take(model.state)
+        at_event = model.state * 3 + miss2 + miss
+        low += part * model.mix_start.take(at_event)
+        np.multiply(part, model.mix.take(at_event), out=span)
         renew()
-        now = np.where(event == 0, model.id2, model.id1)
-        rest = np.flatnonzero(event == 2)
+        now = np.where(miss2, model.id1, model.id2)
+        rest = np.flatnonzero(miss)
         if len(rest):
             if model.by_value is None:
                 model.by_value = np.repeat(np.arange(vocabulary, dtype=np.uint32), model.freq.astype(np.int64))
-            part = span[rest] >> np.uint64(ID_BITS)
-            value = np.minimum((code[rest] - low[rest]) // part, np.uint64(len(model.by_value) - 1))
-            ids = model.by_value[value.astype(np.int64)]
+            part, lows = span.take(rest) >> np.uint64(ID_BITS), low.take(rest)
+            value = np.minimum((code.take(rest) - lows) // part, np.uint64(len(model.by_value) - 1))
+            ids = model.by_value.take(value.astype(np.intp))
             now[rest] = ids
-            low[rest] += part * model.start[ids]
-            span[rest] = part * model.freq[ids]
+            ids_at = ids.astype(np.intp)
+            low[rest] = lows + part * model.start.take(ids_at)
+            span[rest] = part * model.freq.take(ids_at)
             renew(rest)
         out[step] = now
-        model.learn(now, event.astype(np.uint32))
+        model.learn(now, at_event)
     ids = out.T.reshape(-1)[:n]
     if zlib.crc32(ids.astype("<u4")) != check:
         raise ValueError("the ids of a block differ from what was written")
