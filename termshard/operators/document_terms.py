@@ -16,9 +16,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termshard.operators.bounds import materialized
-from termshard.operators.skew import join_by_term
-
 KEYS = ["theme", "doc_id"]
 ROWS_OUT = 50_000
 
@@ -172,9 +169,9 @@ def replaced(tokens: DataFrame, table: DataFrame, shards: int, fits: bool, keep_
         return _replaced(rows, words, keep_unknown, schema)
 
     words = rows.groupBy("shard").applyInArrow(distinct, "shard int, term string")
-    if not fits:  # read several times by the join
-        words = materialized(words)
-    words = join_by_term(words, table, ["term"], broadcast=fits).filter("stem IS NOT NULL")
+    # However frequent a word is, it is one row a shard: no key is hot.
+    stems = table.filter("stem IS NOT NULL").select("term", "stem")
+    words = words.join(F.broadcast(stems) if fits else stems, "term")
     words = words.select("shard", "term", "stem").repartition(shards, "shard")
     result = f"theme {kinds['theme']}, doc_id {kinds['doc_id']}, tokens array<string>"
     return rows.groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(work, result)

@@ -87,8 +87,6 @@ def map_tokens(
     dealt out in."""
     if fits is None:
         fits = fits_broadcast(table)
-    if fits:
-        table = table.filter("stem is not null")
     tokens = tokens.select(*DOCUMENT, "tokens")
     if shards is None:
         tokens = materialized(tokens)
