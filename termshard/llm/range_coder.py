@@ -10,9 +10,10 @@ starts anew:
   for every pair of confidences: that mixes the three distributions into one;
 * order 0 is the adaptive frequency of the ids.
 
-The mixed distribution drives a 64-bit carry-less range coder per lane. Block layout, all
-numbers little-endian: MAGIC, crc32 of what follows, then a header (ids, lanes, ids' range,
-crc32 of the ids), the words of each lane, and the words, 16 bits each.
+The mixed distribution drives a 64-bit range coder per lane; a carry goes into the words that
+the lane has given. Words lie in the order in which a decoder asks for them, so that it reads
+slices. Block layout, all numbers little-endian: MAGIC, crc32 of what follows, then a header
+(ids, lanes, ids' range, crc32 of the ids), and the words, 16 bits each.
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TSM1"
+MAGIC = b"TSM2"
 HEADER = struct.Struct("<QIII")
 LANES, LANE_IDS = 4096, 512
 MIX_BITS, ID_BITS = 16, 18
 PAIR_BITS = 20
-TOP, BOTTOM, LOW32 = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64((1 << 32) - 1)
-U16, U0 = np.uint64(16), np.uint64(0)
+WINDOW = 4  # words of 16 bits in the 64 bits of a lane
+BOTTOM = np.uint64(1 << 48)  # a wider span is left for MIX_BITS and ID_BITS together
+U0, U16, U48, MIX, ORDER0 = (np.uint64(n) for n in (0, 16, 48, MIX_BITS, ID_BITS))
+ID, TRUST, MOST = np.uint32(0xFFFF), np.uint32(1 << 16), np.uint32(7 << 16)
 
 
 class Model:
@@ -41,6 +44,7 @@ class Model:
         self.count = np.zeros(vocabulary, np.int64)
         self.last = self.before = np.zeros(lanes, np.uint32)
         self.last_at = np.zeros(lanes, np.intp)  # last, as an index
+        self.held = np.zeros((2, lanes), np.uint32)  # what two and one hold for each lane
         self.step, self.next_table = 0, 0
         self.ids, self.events = [], []  # not yet counted: counts matter when tables are made
         self.tables()
@@ -55,9 +59,7 @@ class Model:
         room = (1 << ID_BITS) - len(self.count)
         total = max(1, int(self.count.sum()))
         self.freq = (1 + self.count * room // total).astype(np.uint64)
-        ends = np.cumsum(self.freq)
-        self.start = ends - self.freq
-        self.ends = ends
+        self.start = np.cumsum(self.freq) - self.freq
         self.by_value = None
         self.next_table = self.step + min(64, max(1, self.step))
 
@@ -73,23 +75,29 @@ class Model:
     def predict(self) -> None:
         h = (self.before * np.uint32(0x9E3779B1)) ^ (self.last * np.uint32(0x85EBCA6B))
         self.at = (h >> np.uint32(32 - PAIR_BITS)).astype(np.intp)
-        self.p2, self.p1 = self.two.take(self.at), self.one.take(self.last_at)
-        self.id2, self.id1 = self.p2 & np.uint32(0xFFFF), self.p1 & np.uint32(0xFFFF)
-        self.trust2, self.trust1 = self.p2 >> np.uint32(16), self.p1 >> np.uint32(16)
-        self.state = ((self.trust2 << np.uint32(3)) | self.trust1).astype(np.intp)
+        self.two.take(self.at, out=self.held[0], mode="clip")
+        self.one.take(self.last_at, out=self.held[1], mode="clip")
+        self.id2, self.id1 = self.held & ID
+        trust2, trust1 = self.held >> np.uint32(16)
+        self.state = ((trust2 << np.uint32(3)) | trust1).astype(np.intp)
 
     def learn(self, ids: np.ndarray, at_event: np.ndarray) -> None:
         """The ids of a step and their events, each as state * 3 + event."""
-        for table, at, trust, predicted in (
-            (self.two, self.at, self.trust2, self.id2), (self.one, self.last_at, self.trust1, self.id1),
-        ):
-            right = predicted == ids
-            up = np.minimum(trust + np.uint32(1), np.uint32(7))
-            kept = np.where(trust > 0, predicted, ids) | ((trust >> np.uint32(1)) << np.uint32(16))
-            table[at] = np.where(right, ids | (up << np.uint32(16)), kept)
+        # Right: one more confidence, up to the most. Wrong: half of it; without any, the new id.
+        # Masks of all bits stand for the conditions: cheaper than choosing lane by lane.
+        held, differs = self.held, self.held ^ ids
+        right = ((differs & ID) - np.uint32(1)).view(np.int32) >> 31
+        unsure = (held - TRUST).view(np.int32) >> 31
+        more = held + TRUST
+        less = held - ((more >> np.uint32(17)) << np.uint32(16))
+        less ^= differs & unsure.view(np.uint32)
+        np.minimum(more, held | MOST, out=more)
+        new = less ^ ((less ^ more) & right.view(np.uint32))
+        self.two[self.at], self.one[self.last_at] = new
+        ids_at = ids.astype(np.intp)
         self.events.append(at_event)
-        self.ids.append(ids)
-        self.before, self.last, self.last_at = self.last, ids, ids.astype(np.intp)
+        self.ids.append(ids_at)
+        self.before, self.last, self.last_at = self.last, ids, ids_at
         self.step += 1
         if self.step >= self.next_table:
             self.tables()
@@ -101,14 +109,12 @@ def _rows(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
-def _narrow(low: np.ndarray, span: np.ndarray, which: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The lanes that give a word, with their lows, and their spans cut where these cross one."""
-    lows, spans = (low, span) if which is None else (low.take(which), span.take(which))
-    same = (lows ^ (lows + spans)) < TOP
-    at = np.flatnonzero(same | (spans < BOTTOM))
-    lows, spans, cut = lows[at], spans[at], ~same[at]
-    spans[cut] = (U0 - lows[cut]) & LOW32
-    return at if which is None else which[at], lows, spans
+def _shift(state: np.ndarray, span: np.ndarray, which: np.ndarray, below: np.ndarray | np.uint64) -> np.ndarray:
+    """Moves the lanes ``which`` on by a word; the lanes of them whose span is narrow still."""
+    state[which] = (state.take(which) << U16) | below
+    spans = span.take(which) << U16
+    span[which] = spans
+    return which[spans < BOTTOM]
 
 
 def encode_block(ids: np.ndarray) -> bytes:
@@ -117,50 +123,54 @@ def encode_block(ids: np.ndarray) -> bytes:
     vocabulary = int(ids.max()) + 1 if n else 1
     if vocabulary > 1 << 16:
         raise ValueError("ids must be below 65536")
-    padded = np.zeros(lanes * steps, np.uint32)
+    padded = np.zeros(lanes * steps, np.uint16)
     padded[:n] = ids
     columns = np.ascontiguousarray(padded.reshape(lanes, steps).T)
     model = Model(vocabulary, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    words, filled = np.zeros((lanes, 2 * steps + 16), np.uint16), np.zeros(lanes, np.int64)
-
-    def renew(which: np.ndarray | None = None) -> None:
-        """Of all lanes or those whose span changed; then again of those that were renewed."""
-        while True:
-            which, lows, spans = _narrow(low, span, which)
-            if not len(which):
-                return
-            words[which, filled[which]] = lows >> np.uint64(48)
-            filled[which] += 1
-            low[which] = lows << U16
-            span[which] = spans << U16
+    # A row holds one word of every lane: lanes move on much alike, so writes lie close together.
+    words = np.zeros((steps + 2 * WINDOW) * lanes, np.uint16)
+    places, given = np.arange(lanes), []  # of each lane's next word; of all words, in order
+
+    def add(up: np.ndarray) -> None:
+        np.add(low, up, out=low)
+        over = np.flatnonzero(low < up)
+        carried = places[over] - lanes
+        while len(carried):
+            words[carried] += np.uint16(1)
+            carried = carried[words[carried] == 0] - lanes
 
     for now in columns:
+        now = now.astype(np.uint32)
         model.predict()
         miss2 = model.id2 != now
         miss = miss2 & (model.id1 != now)
         at_event = model.state * 3 + miss2 + miss
-        part = span >> np.uint64(MIX_BITS)
-        low += part * model.mix_start.take(at_event)
+        part = span >> MIX
+        up = part * model.mix_start.take(at_event)
         np.multiply(part, model.mix.take(at_event), out=span)
-        renew()
         rest = np.flatnonzero(miss)
         if len(rest):
-            part, ids_at = span.take(rest) >> np.uint64(ID_BITS), now.take(rest).astype(np.intp)
-            low[rest] += part * model.start.take(ids_at)
+            part, ids_at = span.take(rest) >> ORDER0, now.take(rest).astype(np.intp)
+            up[rest] += part * model.start.take(ids_at)
             span[rest] = part * model.freq.take(ids_at)
-            renew(rest)
+        add(up)
+        which = np.flatnonzero(span < BOTTOM)
+        while len(which):
+            at = places.take(which)
+            words[at] = low.take(which) >> U48
+            given.append(at)
+            places[which] = at + lanes
+            which = _shift(low, span, which, U0)
         model.learn(now, at_event)
-        if filled.max() + 8 > words.shape[1]:
-            words = np.hstack([words, np.zeros_like(words)])
-    # Two words name a number within the span whatever follows.
-    last = low + LOW32
-    words[np.arange(lanes), filled] = last >> np.uint64(48)
-    words[np.arange(lanes), filled + 1] = (last >> np.uint64(32)) & np.uint64(0xFFFF)
-    filled += 2
+        if places.max() + 2 * WINDOW * lanes > len(words):
+            words = np.concatenate([words, np.zeros_like(words)])
+    # One word and zeros name a number within the span.
+    add(np.full(lanes, BOTTOM - np.uint64(1)))
+    words[places] = low >> U48
+    given = np.concatenate([np.arange(-WINDOW * lanes, 0), *given])
     body = HEADER.pack(n, lanes, vocabulary, zlib.crc32(ids.astype("<u4")))
-    body += filled.astype("<u4").tobytes()
-    body += words[np.arange(words.shape[1]) < filled[:, None]].astype("<u2").tobytes()
+    body += words[given + WINDOW * lanes].astype("<u2").tobytes()
     return MAGIC + struct.pack("<I", zlib.crc32(body)) + body
 
 
@@ -170,61 +180,40 @@ def decode_block(block: bytes) -> np.ndarray:
         raise ValueError("not a block, or a damaged one")
     n, lanes, vocabulary, check = HEADER.unpack_from(block, 8)
     steps = -(-n // lanes)
-    sizes = np.frombuffer(block, "<u4", lanes, 8 + HEADER.size).astype(np.int64)
-    flat = np.frombuffer(block, "<u2", -1, 8 + HEADER.size + 4 * lanes)
-    flat = np.concatenate([flat, np.zeros(8, np.uint16)]).astype(np.uint64)
-    at = np.cumsum(sizes) - sizes
-    end = at + sizes
+    words = np.frombuffer(block, "<u2", -1, 8 + HEADER.size)
     model = Model(vocabulary, lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-
-    def pull(which: np.ndarray) -> np.ndarray:
-        a = at[which]
-        word = np.where(a < end[which], flat[np.minimum(a, len(flat) - 1)], U0)
-        at[which] += 1
-        return word
-
-    everyone = np.arange(lanes)
-    for _ in range(4):
-        code = (code << U16) | pull(everyone)
-
-    def renew(which: np.ndarray | None = None) -> None:
-        while True:
-            which, lows, spans = _narrow(low, span, which)
-            if not len(which):
-                return
-            code[which] = (code[which] << U16) | pull(which)
-            low[which] = lows << U16
-            span[which] = spans << U16
-
-    out = np.zeros((steps, lanes), np.uint32)
-    most_mix, most_id = np.uint64((1 << MIX_BITS) - 1), np.uint64((1 << ID_BITS) - 1)
+    span = np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
+    code = np.zeros(lanes, np.uint64)  # how far the number lies above the low of the encoder
+    for row in words[: WINDOW * lanes].reshape(WINDOW, lanes):
+        code = (code << U16) | row
+    at = WINDOW * lanes
+    out = np.zeros((steps, lanes), np.uint16)
     for step in range(steps):
         model.predict()
-        part = span >> np.uint64(MIX_BITS)
-        value = np.minimum((code - low) // part, most_mix)
+        part = span >> MIX
+        value = code // part
         miss2, miss = value >= model.first.take(model.state), value >= model.second.take(model.state)
         at_event = model.state * 3 + miss2 + miss
-        low += part * model.mix_start.take(at_event)
+        code -= part * model.mix_start.take(at_event)
         np.multiply(part, model.mix.take(at_event), out=span)
-        renew()
         now = np.where(miss2, model.id1, model.id2)
         rest = np.flatnonzero(miss)
         if len(rest):
             if model.by_value is None:
-                model.by_value = np.repeat(np.arange(vocabulary, dtype=np.uint32), model.freq.astype(np.int64))
-            part, lows = span.take(rest) >> np.uint64(ID_BITS), low.take(rest)
-            value = np.minimum((code.take(rest) - lows) // part, np.uint64(len(model.by_value) - 1))
-            ids = model.by_value.take(value.astype(np.intp))
-            now[rest] = ids
-            ids_at = ids.astype(np.intp)
-            low[rest] = lows + part * model.start.take(ids_at)
+                model.by_value = np.repeat(np.arange(vocabulary, dtype=np.uint16), model.freq.astype(np.int64))
+            part, codes = span.take(rest) >> ORDER0, code.take(rest)
+            ids_at = model.by_value.take((codes // part).astype(np.intp), mode="clip").astype(np.intp)
+            now[rest] = ids_at
+            code[rest] = codes - part * model.start.take(ids_at)
             span[rest] = part * model.freq.take(ids_at)
-            renew(rest)
+        which = np.flatnonzero(span < BOTTOM)
+        while len(which):
+            to = at + len(which)
+            which = _shift(code, span, which, words[at:to])
+            at = to
         out[step] = now
         model.learn(now, at_event)
-    ids = out.T.reshape(-1)[:n]
+    ids = out.T.reshape(-1)[:n].astype(np.uint32)
     if zlib.crc32(ids.astype("<u4")) != check:
         raise ValueError("the ids of a block differ from what was written")
     return ids
