@@ -96,19 +96,15 @@ class Encoder:
         lists = pc.split_pattern(texts, " ")
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(self.words.__getitem__, distinct))
+        ids = pa.array(map(self.words.__getitem__, distinct), pa.large_binary())
         self.words.trim()
         self.parts.trim()
-        length = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        first = np.cumsum(length) - length
-        which = words.indices.to_numpy()
-        length, first = length[which], first[which]
-        ends = np.cumsum(length)
-        at = np.repeat(first - (ends - length), length)
-        at += np.arange(len(at))
-        flat = np.frombuffer(b"".join(ids), "<u4")[at]
+        ids = ids.take(words.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1) >> 2
+        flat = np.frombuffer(data if data else b"", "<u4", ends[-1])
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return flat, np.concatenate([[0], ends])[bounds]
+        return flat, ends[bounds]
 
     def encode(self, texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of whole texts, a null one having none, and where each text's begin, with the

@@ -35,6 +35,15 @@ def test_ids_are_the_librarys(tokenizer, sample):
     assert got == [encoded(tokenizer, t, 0)[:-1].tolist() for t in texts]
 
 
+@pytest.mark.parametrize("texts", [[""], [None, "", None], [" ", "\n\n"], ["\u3000"], ["", "a b", None, "c"]])
+def test_texts_without_ids(tokenizer, texts):
+    own = Encoder(default_path(), words=50, parts=20)
+    for part in (pa.array(texts), pa.array(["zz", *texts]).slice(1)):
+        [(flat, bounds)] = own.encode(part)
+        got = [flat[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert flat.dtype == np.uint32 and got == [encoded(tokenizer, t, 0)[:-1].tolist() for t in texts]
+
+
 def test_slices_cover_the_texts():
     texts = pa.array(["a" * n for n in (5, 0, 30, 1, 1, 1, 9)] + [None])
     for size in (1, 7, 1000):
