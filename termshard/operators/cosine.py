@@ -31,12 +31,14 @@ DEFAULT_RESULTS = 5
 class BowIndex:
     """Postings and vocabulary. ``themes`` lists the corpora, with ``ordinal`` if they have
     an order; otherwise equal scores are ordered by theme name. ``levels`` are the impact levels of
-    the words, if they are stored."""
+    the words, if they are stored. ``stored`` are the postings as they lie on disk, if ``postings``
+    deals them out by document."""
 
     postings: DataFrame
     vocabulary: DataFrame
     themes: DataFrame
     levels: DataFrame | None = None
+    stored: DataFrame | None = None
 
     def only(self, theme: str) -> BowIndex:
         here = F.col("theme") == theme
@@ -45,6 +47,7 @@ class BowIndex:
             self.vocabulary.filter(here),
             self.themes.filter(here),
             None if self.levels is None else self.levels.filter(here),
+            None if self.stored is None else self.stored.filter(here),
         )
 
 
@@ -63,7 +66,8 @@ def bow_index(tokens: DataFrame, themes: DataFrame | None = None) -> BowIndex:
     stored = materialized(bow.postings(tokens, shards))
     if themes is None:
         themes = tokens.select("theme").distinct()
-    return BowIndex(stored.repartition(shards, "doc_id"), materialized(bow.vocabulary(stored)), themes)
+    dealt = stored.repartition(shards, "doc_id")
+    return BowIndex(dealt, materialized(bow.vocabulary(stored)), themes, stored=stored)
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -98,17 +102,19 @@ def scores(
     small: bool | None = None,
     best: int | None = None,
     prune: bool | None = None,
+    each: bool = True,
 ) -> DataFrame:
     """``(query_id, theme, doc_id, similarity_score)`` of every document that shares a word.
     ``small``: whether the query side may be broadcast; it is measured if not given.
 
-    With ``best`` only the documents that can be among that many of a query and theme need be
-    given. ``prune``: whether to find these by impact bounds first. A large batch is scored cell by
-    cell if it is not given.
+    With ``best`` only the documents that can be among that many of a query and theme, or without
+    ``each`` of a query, need be given. ``prune``: whether to find these by impact bounds first. If it
+    is not given, a large batch and one that may not be broadcast are scored cell by cell.
     """
     rows, words = counted_values(terms, "term")
-    if best is not None and prune is None and rows >= impacts.BATCH_WORDS:
-        return blocks.best_cosines(index.postings, terms, index.vocabulary, best)
+    if best is not None and prune is None and (rows >= impacts.BATCH_WORDS or small is False):
+        postings = index.postings if index.stored is None else index.stored
+        return blocks.best_cosines(postings, terms, index.vocabulary, best, each)
     if small is None:
         size = measured_size(terms)[1] if words is None else 0  # listed words are few
         themes = max(index.themes.count(), 1)
@@ -175,7 +181,7 @@ def search_all(
     are its best ones, so their rank among the hits is their rank in the theme.
     """
     checked_count(n)
-    scored = scores(query_terms(queries), index, best=n, prune=prune)
+    scored = scores(query_terms(queries), index, best=n, prune=prune, each=False)
     theme_order = [F.col("theme"), F.col("doc_id")]
     if "ordinal" in index.themes.columns:
         ordinals = broadcast_if_small(index.themes.select("theme", "ordinal"))

@@ -191,3 +191,24 @@ def test_large_batches_are_scored_by_cells(spark, monkeypatch):
     cells = cosine.search_each(queries, index, 3).collect(), cosine.search_all(queries, index, 4).collect()
     for got, want in zip(cells, joined):
         assert sorted(map(str, got)) == sorted(str(r) for r in want if r["query_id"] is not None)
+
+
+def test_cells_copy_neither_side(spark, monkeypatch):
+    """However many blocks and slices: no exchange, the best of all themes alone, and exact large counts."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(rng.choice("abc"), i, [rng.choice(words) for _ in range(rng.randrange(9))]) for i in range(300)]
+    rows += [("a", 900 + i, ["w1"] * (5000 + i % 3) + ["w2"] * 3) for i in range(12)]
+    index = cosine.bow_index(spark.createDataFrame(rows, "theme string, doc_id bigint, tokens array<string>"))
+    asked = [(i, [rng.choice([*words, "none"]) for _ in range(rng.randrange(6))]) for i in range(60)] + [(77, ["w1"] * 4000 + ["w2"])]
+    queries = spark.createDataFrame([*asked, (78, ["none"])], "query_id bigint, tokens array<string>")
+    want = cosine.search_all(queries, index, 4, prune=False).collect()
+    monkeypatch.setattr(cosine.impacts, "BATCH_WORDS", 1)
+    for name, value in {"SLICE_POSTINGS": 50, "BLOCK_WORDS": 40, "CHUNK_QUERIES": 7, "PRODUCTS": 20, "DENSE": 0.3}.items():
+        monkeypatch.setattr(blocks, name, value)
+    found = cosine.scores(cosine.query_terms(queries), index, best=4, each=False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    assert sorted(map(str, cosine.search_all(queries, index, 4).collect())) == sorted(map(str, want))
+    nothing = cosine.query_terms(queries.filter("query_id = 78"))
+    assert cosine.scores(nothing, index, best=4).count() == 0
