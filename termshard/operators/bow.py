@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from termshard.functions.tokens import MIN_INDEXED_LENGTH
 from termshard.operators.bounds import broadcast_if_small, materialized
+from termshard.operators.document_terms import with_counts
 
 DOCUMENT = ("theme", "doc_id")
 #: A task makes rows of so many tokens, some hundred bytes each, whatever the size of the data.
 SHARD_TOKENS = 1_000_000
+#: Between the words of a document on their way to its shard.
+BREAK = "\n"
 
 
 def shards_for(tokens: DataFrame) -> int:
@@ -39,15 +42,33 @@ def shard_by_document(tokens: DataFrame, shards: int | None = None) -> DataFrame
     return rows.repartition(shards, "doc_id")
 
 
-def _counted(sharded: DataFrame) -> DataFrame:
+def _dealt(tokens: DataFrame, shards: int | None) -> DataFrame:
+    """The tokens that are counted, sharded by document. They travel as one text, less than half
+    the size of an array, but where a token holds the break itself."""
+    rows = tokens.select(*DOCUMENT, "tokens")
+    if shards is None:
+        rows = materialized(rows)
+        shards = shards_for(rows)
+    words = F.filter("tokens", lambda t: F.length(t) >= MIN_INDEXED_LENGTH).alias("tokens")
+    broken = F.exists("tokens", lambda t: t.contains(BREAK))
+    packed = rows.select(*DOCUMENT, words).select(
+        *DOCUMENT,
+        F.when(~broken, F.array_join("tokens", BREAK)).alias("text"),
+        F.when(broken, F.col("tokens")).alias("rest"),
+    )
+    return packed.repartition(shards, "doc_id")
+
+
+def _counted(dealt: DataFrame) -> DataFrame:
     """``(theme, doc_id, term, tf)``, with a row of count 0 for what is too short or absent.
 
     The outer form of explode keeps Spark from deriving a filter on the array, which would
     run the analysis of the text twice.
     """
     word = F.when(F.length("term") >= MIN_INDEXED_LENGTH, F.col("term"))
+    words = F.coalesce(F.split("text", BREAK), "rest")
     return (
-        sharded.select(*DOCUMENT, F.explode_outer("tokens").alias("term"))
+        dealt.select(*DOCUMENT, F.explode_outer(words).alias("term"))
         .select(*DOCUMENT, word.alias("term"))
         .groupBy(*DOCUMENT, "term")
         .agg(F.count("term").alias("tf"))
@@ -56,21 +77,13 @@ def _counted(sharded: DataFrame) -> DataFrame:
 
 def term_frequencies(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """``(theme, doc_id, term, tf)``; words of one letter are not counted."""
-    return _counted(shard_by_document(tokens, shards)).filter("term is not null")
+    return _counted(_dealt(tokens, shards)).filter("term is not null")
 
 
 def postings(tokens: DataFrame, shards: int | None = None) -> DataFrame:
     """``(theme, term, doc_id, tf, dl, norm_sq)``: each posting carries the length and the
     squared norm of its document, so scoring joins nothing to the document side."""
-    document = Window.partitionBy(*DOCUMENT)
-    return term_frequencies(tokens, shards).select(
-        "theme",
-        "term",
-        "doc_id",
-        "tf",
-        F.sum("tf").over(document).alias("dl"),
-        F.sum(F.col("tf") * F.col("tf")).over(document).alias("norm_sq"),
-    )
+    return with_counts(_dealt(tokens, shards), BREAK, MIN_INDEXED_LENGTH)
 
 
 def vocabulary(postings: DataFrame) -> DataFrame:
@@ -83,7 +96,7 @@ def vocabulary(postings: DataFrame) -> DataFrame:
 def doc_stats(tokens: DataFrame) -> DataFrame:
     """``(theme, doc_id, dl, norm)`` of every document, also of those without tokens."""
     return (
-        _counted(shard_by_document(tokens))
+        _counted(_dealt(tokens, None))
         .groupBy(*DOCUMENT)
         .agg(
             F.sum("tf").alias("dl"),

@@ -1,7 +1,7 @@
 """Terms of documents from their token arrays, and new arrays from terms, many documents at a time.
 
 A row per token, grouped again, costs far more than the tokens. Here the arrays go to Arrow batches.
-Positions are made of batches in which the rows of a document lie side by side, so a batch and its last
+Counts and positions are made of batches in which the rows of a document lie side by side, so a batch and its last
 document are all that a task holds. Tokens are replaced shard by shard: Spark joins the distinct words of
 a shard to their table, and the shard's arrays meet what comes of it.
 """
@@ -123,6 +123,45 @@ def with_positions(sharded: DataFrame) -> DataFrame:
     return sharded.select(*KEYS, "tokens").sortWithinPartitions(*KEYS).mapInArrow(work, result)
 
 
+def _counts(rows: pa.Table, schema: pa.Schema, pause: str, min_len: int) -> pa.Table:
+    document = document_numbers(rows)
+    lists = pc.split_pattern(rows["text"].combine_chunks(), pause)
+    parts = [(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(), lists.flatten()), flattened(rows["rest"])]
+    words = pa.concat_arrays([flat for _, flat in parts]).dictionary_encode()
+    document = np.concatenate([np.repeat(document, lengths) for lengths, _ in parts])
+    long = pc.greater_equal(pc.utf8_length(words.dictionary), min_len).to_numpy(zero_copy_only=False)
+    size, code = max(len(long), 1), pc.fill_null(words.indices, -1).to_numpy()
+    kept = np.r_[long, False][code]
+    key, tf = np.unique(document[kept] * size + code[kept], return_counts=True)
+    document, code = np.divmod(key, size)
+    # Sums of whole numbers are exact to 2 ** 53.
+    dl, norm_sq = (np.bincount(document, tf.astype(np.float64) ** k).astype(np.int64) for k in (1, 2))
+    at = pa.array(np.unique(document_numbers(rows), return_index=True)[1][document])
+    columns = [
+        rows["theme"].take(at), words.dictionary.take(pa.array(code)), rows["doc_id"].take(at),
+        pa.array(tf), pa.array(dl[document]), pa.array(norm_sq[document]),
+    ]
+    return pa.table(columns, names=schema.names).cast(schema)
+
+
+def with_counts(sharded: DataFrame, pause: str, min_len: int) -> DataFrame:
+    """``(theme, term, doc_id, tf, dl, norm_sq)`` of the words in ``text``, with a pause between them, and in the
+    array ``rest``. The rows of a document lie in one partition, and stay there."""
+    kinds = {f.name: f.dataType.simpleString() for f in sharded.schema}
+    names = ("theme", "term", "doc_id", "tf", "dl", "norm_sq")
+    result = f"theme {kinds['theme']}, term string, doc_id {kinds['doc_id']}, tf bigint, dl bigint, norm_sq bigint"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = None
+        for rows in whole_documents(batches):
+            if schema is None:
+                theme, doc_id = (rows.schema.field(k).type for k in KEYS)
+                schema = pa.schema(list(zip(names, (theme, pa.string(), doc_id, *[pa.int64()] * 3))))
+            yield from _counts(rows, schema, pause, min_len).to_batches(max_chunksize=ROWS_OUT)
+
+    return sharded.select(*KEYS, "text", "rest").sortWithinPartitions(*KEYS).mapInArrow(work, result)
+
+
 def _replaced(rows: pa.Table, words: pa.Table, keep_unknown: bool, schema: pa.Schema) -> pa.Table:
     lengths, flat = flattened(rows["tokens"])
     words = words.filter(words["stem"].is_valid()).sort_by([("term", "ascending"), ("stem", "ascending")])

@@ -212,3 +212,12 @@ def test_cells_copy_neither_side(spark, monkeypatch):
     assert sorted(map(str, cosine.search_all(queries, index, 4).collect())) == sorted(map(str, want))
     nothing = cosine.query_terms(queries.filter("query_id = 78"))
     assert cosine.scores(nothing, index, best=4).count() == 0
+
+
+def test_queries_beyond_a_broadcast_are_scored_by_cells(spark, corpus_df, monkeypatch):
+    queries, index = asked(spark, *QUERIES), cosine.bow_index(corpus_df)
+    want = cosine.search_each(queries, index, 3, prune=False).collect()
+    monkeypatch.setattr(cosine, "join_postings", None)  # no row per query, word and document
+    assert sorted(map(str, cosine.search_each(queries, index, 3, small=False).collect())) == sorted(map(str, want))
+    one = cosine.search_each(queries, index.only("small0"), 3, small=False).collect()
+    assert sorted(map(str, one)) == sorted(str(r) for r in want if r["theme"] == "small0")
