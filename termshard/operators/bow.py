@@ -137,9 +137,13 @@ def vectors(postings: DataFrame, numbered: DataFrame) -> DataFrame:
     from termshard.operators.skew import join_by_term
 
     ids = numbered.select("theme", "term", "term_id", F.col("df").alias("uses"))
-    entry = F.struct("term_id", "tf")
+    # One number per entry, in the order of (term_id, tf); a word without an id comes first.
+    entry = F.shiftleft(F.coalesce("term_id", F.lit(-1).cast("bigint")), 32).bitwiseOR(F.col("tf"))
+    pair = lambda e: F.struct(
+        F.when(e >= 0, F.shiftright(e, 32)).alias("term_id"), e.bitwiseAND(F.lit(0xFFFFFFFF)).alias("tf")
+    )
     return (
         join_by_term(postings.select("theme", "term", "doc_id", "tf"), ids, ["theme", "term"])
         .groupBy(*DOCUMENT)
-        .agg(F.sort_array(F.collect_list(entry)).alias("vector"))
+        .agg(F.transform(F.sort_array(F.collect_list(entry)), pair).alias("vector"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from termshard.operators import bounds, bow, cosine, fulltext, skew
 from termshard.plans import profiles
+from termshard.registry import queries as registered
 
 
 def counts(corpus):
@@ -105,3 +106,34 @@ def test_tasks_hold_so_many_tokens(spark, corpus_df, monkeypatch):
     for made in (bow.postings(corpus_df), cosine.bow_index(corpus_df).postings, fulltext.text_index(corpus_df).postings,
                  bow.doc_stats(corpus_df), profiles.analyse(texts, profiles.THESIS, ["w2"], roots)):
         assert made.rdd.getNumPartitions() >= tokens // 50
+
+
+ODD = [
+    ("a", 1, ["xx\nyy", "zz", None, "q"]), ("a", 1, ["zz", "xx"]), ("b", 2, []), ("b", 3, None), (None, 4, ["kk", "kk", "é"]),
+    ("c", None, ["", "ab", "\n", "éé"]),
+]
+
+
+def test_tokens_travel_as_text(spark):
+    """As arrays only where a token holds the break; rows of a document count together."""
+    df = spark.createDataFrame(ODD, "theme string, doc_id bigint, tokens array<string>")
+    dealt = bow._dealt(df, 3)
+    assert dict(dealt.dtypes)["text"] == "string"
+    assert [(r["theme"], r["rest"]) for r in dealt.filter("rest IS NOT NULL").collect()] == [("a", ["xx\nyy", "zz"])]
+    got = {tuple(r) for r in bow.postings(df, 3).collect()}
+    assert got == {
+        ("a", "xx\nyy", 1, 1, 4, 6), ("a", "zz", 1, 2, 4, 6), ("a", "xx", 1, 1, 4, 6), (None, "kk", 4, 2, 2, 4),
+        ("c", "ab", None, 1, 2, 2), ("c", "éé", None, 1, 2, 2),
+    }
+
+
+def test_vectors_are_made_of_stored_postings(spark, tmp_path):
+    """The text is not analysed and dealt out again for the vectors; a theme that is null has words without ids."""
+    texts = [(1, "la la die", "a"), (2, "die und la", "a"), (3, "la que", "b"), (4, "que", None), (5, None, "a")]
+    spark.createDataFrame(texts, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    made = registered.bow_vectors(spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Generate" not in plan and "documents.parquet" not in plan
+    assert {(r["theme"], r["doc_id"]): r["vector"] for r in made.collect()} == {
+        ("a", 1): "0:1 1:2", ("a", 2): "0:1 1:1 2:1", ("b", 3): "0:1 1:1", (None, 4): "1",
+    }
