@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from termshard.functions.tokens import MIN_INDEXED_LENGTH
 from termshard.operators.bounds import broadcast_if_small, materialized
-from termshard.operators.document_terms import with_counts
+from termshard.operators.document_terms import gathered, with_counts
 
 DOCUMENT = ("theme", "doc_id")
 #: A task makes rows of so many tokens, some hundred bytes each, whatever the size of the data.
@@ -142,8 +142,14 @@ def vectors(postings: DataFrame, numbered: DataFrame) -> DataFrame:
     pair = lambda e: F.struct(
         F.when(e >= 0, F.shiftright(e, 32)).alias("term_id"), e.bitwiseAND(F.lit(0xFFFFFFFF)).alias("tf")
     )
+    joined = join_by_term(postings.select("theme", "term", "doc_id", "tf"), ids, ["theme", "term"])
+    # Gathered before the exchange without a sort, which would spill, and in shards after it.
+    total = numbered.agg(F.sum("df")).first()[0] or 0
+    shards = max(postings.sparkSession.sparkContext.defaultParallelism, -(-total // SHARD_TOKENS))
+    vector = F.sort_array(F.flatten(F.collect_list("entries")))
     return (
-        join_by_term(postings.select("theme", "term", "doc_id", "tf"), ids, ["theme", "term"])
+        gathered(joined.select(*DOCUMENT, entry.alias("entry")))
+        .repartition(shards, "doc_id")
         .groupBy(*DOCUMENT)
-        .agg(F.transform(F.sort_array(F.collect_list(entry)), pair).alias("vector"))
+        .agg(F.transform(vector, pair).alias("vector"))
     )

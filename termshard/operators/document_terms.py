@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 KEYS = ["theme", "doc_id"]
 ROWS_OUT = 50_000
+GATHERED_ROWS = 1_000_000
 
 
 def codes(column: pa.ChunkedArray) -> np.ndarray:
@@ -162,6 +163,37 @@ def with_counts(sharded: DataFrame, pause: str, min_len: int) -> DataFrame:
     return sharded.select(*KEYS, "text", "rest").sortWithinPartitions(*KEYS).mapInArrow(work, result)
 
 
+def _gathered(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    theme, doc_id = (codes(rows[k]) for k in KEYS)
+    order = np.lexsort((doc_id, theme))
+    theme, doc_id = theme[order], doc_id[order]
+    first = np.flatnonzero(np.r_[True, (theme[1:] != theme[:-1]) | (doc_id[1:] != doc_id[:-1])])
+    ends, at = pa.array(np.r_[first, len(order)].astype(np.int32)), pa.array(order[first])
+    entries = rows["entry"].combine_chunks().take(pa.array(order))
+    columns = [*(rows[k].combine_chunks().take(at) for k in KEYS), pa.ListArray.from_arrays(ends, entries)]
+    yield from pa.table(columns, names=[*KEYS, "entries"]).to_batches(max_chunksize=ROWS_OUT)
+
+
+def gathered(entries: DataFrame) -> DataFrame:
+    """``(theme, doc_id, entries)``: rows ``(theme, doc_id, entry)`` of the same document as one, of GATHERED_ROWS
+    rows that follow each other in a partition. A document may still have several."""
+    kinds = {f.name: f.dataType.simpleString() for f in entries.schema}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= GATHERED_ROWS:
+                yield from _gathered(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield from _gathered(pa.Table.from_batches(held))
+
+    result = f"theme {kinds['theme']}, doc_id {kinds['doc_id']}, entries array<{kinds['entry']}>"
+    return entries.select(*KEYS, "entry").mapInArrow(work, result)
+
+
 def _replaced(rows: pa.Table, words: pa.Table, keep_unknown: bool, schema: pa.Schema) -> pa.Table:
     lengths, flat = flattened(rows["tokens"])
     words = words.filter(words["stem"].is_valid()).sort_by([("term", "ascending"), ("stem", "ascending")])

@@ -4,7 +4,7 @@ from math import sqrt
 import pytest
 from pyspark.sql import functions as F
 
-from termshard.operators import bounds, bow, cosine, fulltext, skew
+from termshard.operators import bounds, bow, cosine, document_terms, fulltext, skew
 from termshard.plans import profiles
 from termshard.registry import queries as registered
 
@@ -133,7 +133,23 @@ def test_vectors_are_made_of_stored_postings(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     made = registered.bow_vectors(spark, str(tmp_path))
     plan = made._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" not in plan and "Generate" not in plan and "documents.parquet" not in plan
+    assert "Generate" not in plan and "documents.parquet" not in plan
     assert {(r["theme"], r["doc_id"]): r["vector"] for r in made.collect()} == {
         ("a", 1): "0:1 1:2", ("a", 2): "0:1 1:1 2:1", ("b", 3): "0:1 1:1", (None, 4): "1",
     }
+
+
+@pytest.mark.parametrize("rows", [1, 7, 10_000])
+def test_vectors_are_gathered_without_a_sort(spark, corpus, corpus_df, monkeypatch, rows):
+    """Entries of a document come together after the exchange, however few rows are held before it."""
+    monkeypatch.setattr(document_terms, "GATHERED_ROWS", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        postings = bow.postings(corpus_df)
+        made = bow.vectors(postings, bow.number_terms(bow.vocabulary(postings)))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("ObjectHashAggregate") < plan.index("Exchange hashpartitioning(doc_id") < plan.rindex("MapInArrow")
+        got = {(r["theme"], r["doc_id"]): [e["tf"] for e in r["vector"]] for r in made.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {k: [c[w] for w in sorted(c)] for k, c in counts(corpus).items() if c}
